@@ -163,8 +163,14 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], spread: S
     """
     added = [c for c in groups.columns if c not in keys]
     if not keys:
-        row = groups.agg(F.struct(*[F.max(c).alias(c) for c in added])).scalar()
-        return df.withColumns({c: row.getField(c) for c in added})
+        return with_row(df, groups.agg(*[F.max(c).alias(c) for c in added]), "_row").withColumns(
+            {c: F.col(f"_row.{c}") for c in added}
+        ).drop("_row")
     repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return salted.join(repeated, [*keys, "_salt"], "left").select(*df.columns, *added)
+
+
+def with_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """Add a one-row table to every row as a struct column, read once as a scalar subquery."""
+    return df.withColumn(name, one_row.select(F.struct("*")).scalar())

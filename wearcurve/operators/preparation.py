@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wearcurve.functions.features import clip
 from wearcurve.layout import Layout
-from wearcurve.operators.blocks import attach, join_units, unit_table
+from wearcurve.operators.blocks import attach, join_units, unit_table, with_row
 from wearcurve.operators.quantiles import exact_percentiles
 
 # Fixed values
@@ -39,24 +39,19 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return exact_percentiles(df, columns, [0.5], by).drop("prob")
 
 
-def _column_struct(long: DataFrame, columns: Sequence[str], value: str = "value") -> Column:
-    """One scalar struct with a field per column from rows (column, value)."""
+def _one_row(long: DataFrame, columns: Sequence[str], value: str = "value") -> DataFrame:
+    """One row with a field per column from rows (column, value)."""
     return long.agg(
-        F.struct(
-            *[
-                F.max(F.when(F.col("column") == c, F.col(value))).alias(f"c{i}")
-                for i, c in enumerate(columns)
-            ]
-        )
-    ).scalar()
+        *[F.max(F.when(F.col("column") == c, F.col(value))).alias(f"c{i}") for i, c in enumerate(columns)]
+    )
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str], train: DataFrame | None = None) -> DataFrame:
     """Fill nulls with the medians of ``train`` (of the frame itself if not given)."""
-    fitted = _column_struct(medians(df if train is None else train, columns), columns)
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), fitted.getField(f"c{i}")) for i, c in enumerate(columns)}
-    )
+    rows = with_row(df, _one_row(medians(df if train is None else train, columns), columns), "_fit")
+    return rows.withColumns(
+        {c: F.coalesce(F.col(c), F.col(f"_fit.c{i}")) for i, c in enumerate(columns)}
+    ).drop("_fit")
 
 
 def cap_outliers(
@@ -67,16 +62,14 @@ def cap_outliers(
 ) -> DataFrame:
     """Clip to mean ± ``deviations`` sample deviations of ``train``."""
     fitted = (df if train is None else train).agg(
-        F.struct(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)],
-        )
-    ).scalar()
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)],
+    )
     out = {}
     for i, c in enumerate(columns):
-        mean, reach = fitted.getField(f"m{i}"), fitted.getField(f"s{i}") * deviations
+        mean, reach = F.col(f"_fit.m{i}"), F.col(f"_fit.s{i}") * deviations
         out[c] = clip(F.col(c), mean - reach, mean + reach)
-    return df.withColumns(out)
+    return with_row(df, fitted, "_fit").withColumns(out).drop("_fit")
 
 
 def variances(df: DataFrame, columns: Sequence[str], sample: bool) -> DataFrame:
@@ -140,10 +133,10 @@ def scale(df: DataFrame, columns: Sequence[str], method: str = "minmax", train:
         return df
     fitted = scale_table(df if train is None else train, columns, method)
     names = [n for i in range(len(columns)) for n in (f"a{i}", f"b{i}")]
-    row = fitted.agg(F.struct(*[F.max(n).alias(n) for n in names])).scalar()
-    return df.withColumns(
-        {c: _apply(c, row.getField(f"a{i}"), row.getField(f"b{i}")) for i, c in enumerate(columns)}
-    )
+    rows = with_row(df, fitted.agg(*[F.max(n).alias(n) for n in names]), "_fit")
+    return rows.withColumns(
+        {c: _apply(c, F.col(f"_fit.a{i}"), F.col(f"_fit.b{i}")) for i, c in enumerate(columns)}
+    ).drop("_fit")
 
 
 def scale_per_unit(
@@ -156,34 +149,32 @@ def scale_per_unit(
     """Scale each unit with its own statistics in ``train``, units unseen there with the fleet's."""
     source = df if train is None else train
     names = [n for i in range(len(columns)) for n in (f"a{i}", f"b{i}")]
-    fleet = scale_table(source, columns, method).agg(F.struct(*[F.max(n).alias(n) for n in names])).scalar()
+    fleet = scale_table(source, columns, method).agg(*[F.max(n).alias(n) for n in names])
     own = scale_table(source, columns, method, layout.unit)
     units = unit_table(df, layout).join(own, list(layout.unit), "left")
-    rows = join_units(df, units, layout)
+    rows = with_row(join_units(df, units, layout), fleet, "_fleet")
     out = {
         c: _apply(
             c,
-            F.coalesce(F.col(f"a{i}"), fleet.getField(f"a{i}")),
-            F.coalesce(F.col(f"b{i}"), fleet.getField(f"b{i}")),
+            F.coalesce(F.col(f"a{i}"), F.col(f"_fleet.a{i}")),
+            F.coalesce(F.col(f"b{i}"), F.col(f"_fleet.b{i}")),
         )
         for i, c in enumerate(columns)
     }
-    return rows.withColumns(out).drop(*names)
+    return rows.withColumns(out).drop("_fleet", *names)
 
 
 def normalize_columns(df: DataFrame, columns: Sequence[str], train: DataFrame | None = None) -> DataFrame:
     """Min-max by ``train``; constant columns are left as they are."""
     fitted = (df if train is None else train).agg(
-        F.struct(
-            *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
-            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
-        )
-    ).scalar()
+        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
+        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
+    )
     out = {}
     for i, c in enumerate(columns):
-        lo, hi = fitted.getField(f"lo{i}"), fitted.getField(f"hi{i}")
+        lo, hi = F.col(f"_fit.lo{i}"), F.col(f"_fit.hi{i}")
         out[c] = F.when(hi > lo, (F.col(c) - lo) / (hi - lo)).otherwise(F.col(c))
-    return df.withColumns(out)
+    return with_row(df, fitted, "_fit").withColumns(out).drop("_fit")
 
 
 def variance_weights(df: DataFrame, columns: Sequence[str], layout: Layout) -> DataFrame:
@@ -205,20 +196,19 @@ def add_cycle_features(df: DataFrame, layout: Layout) -> DataFrame:
 
 def add_rul_features(df: DataFrame, rul: str = "RUL") -> DataFrame:
     """``normalized_RUL`` (share of the fleet's largest) and ``RUL_quartile`` (0..3, right-closed)."""
-    from wearcurve.operators.quantiles import percentile_scalars
-
-    top = df.agg(F.max(rul)).scalar()
-    q1, q2, q3 = percentile_scalars(df, rul, [0.25, 0.5, 0.75])
-    value = F.col(rul)
+    table = exact_percentiles(df, [rul], [0.25, 0.5, 0.75])
+    quartiles = table.agg(F.sort_array(F.collect_list("value")).alias("q"))
+    rows = with_row(with_row(df, quartiles, "_q"), df.agg(F.max(rul).alias("top")), "_t")
+    value, q = F.col(rul), F.col("_q.q")
     quartile = (
-        F.when(value <= q1, F.lit(0)).when(value <= q2, F.lit(1)).when(value <= q3, F.lit(2)).otherwise(F.lit(3))
+        F.when(value <= q[0], F.lit(0)).when(value <= q[1], F.lit(1)).when(value <= q[2], F.lit(2)).otherwise(F.lit(3))
     )
-    return df.withColumns(
+    return rows.withColumns(
         {
-            "normalized_RUL": F.try_divide(value.cast("double"), top),
+            "normalized_RUL": F.try_divide(value.cast("double"), F.col("_t.top")),
             "RUL_quartile": F.when(value.isNotNull(), quartile),
         }
-    )
+    ).drop("_q", "_t")
 
 
 def sensor_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

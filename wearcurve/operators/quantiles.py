@@ -1,16 +1,16 @@
 """Exact percentiles with linear interpolation, for groups of any size.
 
 Spark's own exact ``percentile`` keeps every distinct value of a group in one buffer. Here a sketch
-first brackets each wanted rank; one more pass counts what lies below the bracket and keeps only the
-values inside it, so the part that has to be ordered in one place is about 4 / accuracy of the group.
-Groups of up to ``small`` rows are bracketed by their whole range.
+first brackets each wanted rank. One more pass keeps the values inside a bracket and only counts those
+between brackets, so what has to be ordered in one place is about 4 / accuracy of the group. Groups of
+up to ``small`` rows are kept whole. A bracket that misses its rank fails the job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
@@ -20,6 +20,23 @@ _NEG_INF = float("-inf")
 _POS_INF = float("inf")
 
 
+def _brackets(probs: Sequence[float], margin: float, small: int) -> tuple[Column, Column]:
+    """Lower and upper ends per prob, from ``_marks`` = lower marks then upper marks."""
+    k = len(probs)
+    listed = F.array(*[F.lit(float(p)) for p in probs])
+    whole = F.col("_n") <= small
+
+    def lower(p, i):
+        return F.when(p <= margin, F.lit(_NEG_INF)).otherwise(F.get("_marks", i))
+
+    def upper(p, i):
+        return F.when(p >= 1 - margin, F.lit(_POS_INF)).otherwise(F.get("_marks", i + k))
+
+    lows = F.when(whole, F.array(F.lit(_NEG_INF))).otherwise(F.transform(listed, lower))
+    highs = F.when(whole, F.array(F.lit(_POS_INF))).otherwise(F.transform(listed, upper))
+    return lows, highs
+
+
 def exact_percentiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -30,6 +47,7 @@ def exact_percentiles(
 ) -> DataFrame:
     """Rows (by…, column, prob, value) with the interpolated percentile of the non-null values."""
     by = list(by)
+    probs = sorted(float(p) for p in probs)
     entries = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
@@ -40,83 +58,73 @@ def exact_percentiles(
     )
     keys = [*by, "column"]
     margin = 2.0 / accuracy
-    marks = [m for p in probs for m in (max(0.0, p - margin), min(1.0, p + margin))]
+    marks = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     sketched = long.groupBy(*keys).agg(
         F.count("value").alias("_n"),
         F.percentile_approx("value", F.lit(marks), accuracy).alias("_marks"),
     )
-    whole = F.col("_n") <= small
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                F.when(whole | F.lit(p <= margin), F.lit(_NEG_INF))
-                .otherwise(F.col("_marks")[2 * i])
-                .alias("lo"),
-                F.when(whole | F.lit(p >= 1 - margin), F.lit(_POS_INF))
-                .otherwise(F.col("_marks")[2 * i + 1])
-                .alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
+    lows, highs = _brackets(probs, margin, small)
     # The bracket table is repeated per salt, so that a group with most of the rows is joined by
     # many tasks when the table is too large to be broadcast.
-    brackets = sketched.select(
-        *keys, "_n", targets.alias("_t"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
-    )
-    salted = long.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(_SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    brackets = sketched.select(*keys, "_n", lows.alias("_lo"), highs.alias("_hi"), salts)
     if not by:
         # one row per (column, salt): bounded by the argument list, not by the data
         brackets = F.broadcast(brackets)
-    hits = (
+    salted = long.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(_SALTS)).cast("int"))
+    # Brackets are in ascending order. Segment 2i+1 is bracket i, segment 2i the gap before it; the
+    # values of a gap share the null value and are only counted.
+    at = F.size(F.filter("_hi", lambda h: h < F.col("value")))
+    inside = F.col("value") >= F.get("_lo", F.col("_at"))
+    tally = (
         salted.join(brackets, [*keys, "_salt"])
-        .select(*keys, "_n", "value", F.explode("_t").alias("_t"))
-        .where(F.col("value") <= F.col("_t.hi"))
+        .withColumn("_at", at)
         .select(
             *keys,
             "_n",
-            F.col("_t.prob").alias("prob"),
-            # all values below the bracket share the null key: they are only counted
-            F.when(F.col("value") >= F.col("_t.lo"), F.col("value")).alias("value"),
+            (F.col("_at") * 2 + F.coalesce(inside, F.lit(False)).cast("int")).alias("_seg"),
+            F.when(inside, F.col("value")).alias("value"),
         )
+        .groupBy(*keys, "_seg", "value")
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
     )
-    tally = hits.groupBy(*keys, "prob", "value").agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
-    upto = Window.partitionBy(*keys, "prob").orderBy(F.asc_nulls_first("value")).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    ranked = tally.withColumn("_end", F.sum("_c").over(upto))
-    wanted = (F.col("_n") - 1) * F.col("prob")
-    low = F.floor(wanted)
-    high = F.least(low + 1, F.col("_n") - 1)
+    segments = tally.groupBy(*keys, "_seg").agg(F.sum("_c").alias("_sc"))
+    # at most 2 * probs + 1 segments per group
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = segments.select(*keys, "_seg", F.coalesce(F.sum("_sc").over(before), F.lit(0)).alias("_off"))
+    upto = Window.partitionBy(*keys, "_seg").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = tally.withColumn("_run", F.sum("_c").over(upto)).join(offsets, [*keys, "_seg"])
+    last = F.col("_n") - 1
+    end = F.col("_off") + F.col("_run")
+    start = end - F.col("_c")
+    listed = F.array(*[F.lit(p) for p in probs])
 
-    def holds(rank):
-        return (F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end"))
+    def holds(rank: Column) -> Column:
+        return (start <= rank) & (rank < end)
 
-    picked = ranked.groupBy(*keys, "prob").agg(
-        F.max(F.when(holds(low), F.col("value"))).alias("_v0"),
-        F.max(F.when(holds(high), F.col("value"))).alias("_v1"),
-        F.max(wanted - low).alias("_frac"),
-    )
-    missed = F.col("_v0").isNull() | F.col("_v1").isNull()
-    value = F.col("_v0") + F.when(F.col("_v1") == F.col("_v0"), F.lit(0.0)).otherwise(
-        (F.col("_v1") - F.col("_v0")) * F.col("_frac")
-    )
-    return picked.select(
+    low_hits = F.filter(listed, lambda p: holds(F.floor(last * p)))
+    high_hits = F.filter(listed, lambda p: holds(F.least(F.floor(last * p) + 1, last)))
+    hits = ranked.select(
         *keys,
-        "prob",
-        F.when(missed, F.raise_error(F.lit("percentile bracket missed its rank")).cast("double"))
-        .otherwise(value)
-        .alias("value"),
+        "_n",
+        "value",
+        F.explode(
+            F.concat(
+                F.transform(low_hits, lambda p: F.struct(p.alias("prob"), F.lit(0).alias("side"))),
+                F.transform(high_hits, lambda p: F.struct(p.alias("prob"), F.lit(1).alias("side"))),
+            )
+        ).alias("_h"),
     )
+    side = F.col("_h.side")
+    picked = hits.groupBy(*keys, F.col("_h.prob").alias("prob")).agg(
+        F.max(F.when(side == 0, F.col("value"))).alias("_v0"),
+        F.max(F.when(side == 1, F.col("value"))).alias("_v1"),
+        F.max("_n").alias("_n"),
+    )
+    wanted = last * F.col("prob")
+    missed = F.col("_v0").isNull() | F.col("_v1").isNull()
+    between = (F.col("_v1") - F.col("_v0")) * (wanted - F.floor(wanted))
+    value = F.col("_v0") + F.when(F.col("_v1") == F.col("_v0"), F.lit(0.0)).otherwise(between)
+    failure = F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
+    return picked.select(*keys, "prob", F.when(missed, failure).otherwise(value).alias("value"))
 
-
-def percentile_scalars(df: DataFrame, column: str, probs: Sequence[float], **options):
-    """The percentiles of one column as scalar-subquery columns, in the order of ``probs``."""
-    table = exact_percentiles(df, [column], probs, **options)
-    row = table.agg(
-        F.struct(
-            *[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"p{i}") for i, p in enumerate(probs)]
-        )
-    ).scalar()
-    return [row.getField(f"p{i}") for i in range(len(probs))]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.layout import Layout
-from wearcurve.operators.blocks import attach, blocked_rank, join_groups, join_units, positions, unit_table
+from wearcurve.operators.blocks import attach, blocked_rank, join_groups, join_units, positions, unit_table, with_row
 
 SEED = 42
 _HASH_BUCKET_DIGITS = 3  # 4,096 buckets
@@ -126,8 +126,8 @@ def weighted_bootstrap(
     Draw counts are Poisson with mean weight * n / sum(weight), taken from the row's hash by inverting
     the distribution, so the sample is the same on every run. Rows come once, with ``draws``.
     """
-    totals = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w"))).scalar()
-    mean = F.col(weight) * totals.getField("n") / totals.getField("w")
+    totals = df.agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w"))
+    mean = F.col(weight) * F.col("_all.n") / F.col("_all.w")
     u = F.conv(F.substring(hash_of(row_key, seed), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
     # The number of cumulative Poisson probabilities that are <= u; 16 + 8 * mean terms leave less
     # than 1e-15 of the distribution.
@@ -144,7 +144,7 @@ def weighted_bootstrap(
             (acc["k"] + F.when(acc["c"] <= F.col("_u"), F.lit(1)).otherwise(F.lit(0))).alias("k"),
         )
 
-    drawn = df.withColumn("_mean", mean).withColumn("_u", u).withColumn(
+    drawn = with_row(df, totals, "_all").withColumn("_mean", mean).withColumn("_u", u).withColumn(
         "draws", F.aggregate(terms, state, step, lambda acc: acc["k"])
     )
-    return drawn.where(F.col("draws") > 0).drop("_mean", "_u")
+    return drawn.where(F.col("draws") > 0).drop("_all", "_mean", "_u")
