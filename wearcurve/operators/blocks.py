@@ -174,3 +174,12 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], spread: S
 def with_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     """Add a one-row table to every row as a struct column, read once as a scalar subquery."""
     return df.withColumn(name, one_row.select(F.struct("*")).scalar())
+
+
+def spread_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash rows by ``keys`` over all shuffle partitions.
+
+    Groups that are small in bytes but long to compute must not be coalesced into few tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wearcurve.functions.features import METRICS, distance
 from wearcurve.layout import Layout
-from wearcurve.operators.blocks import Lookback, attach, join_units, positions, unit_table
+from wearcurve.operators.blocks import Lookback, attach, join_units, positions, spread_groups, unit_table
 
 LINKAGES = ("single", "complete", "average", "ward")
 
@@ -102,15 +102,16 @@ def agglomerate(x: np.ndarray, k: int, linkage: str, metric: str):
         best[b], partner[b] = np.inf, -1
         owner[owner == b] = a
         look_up(a)
-        for i in np.flatnonzero(alive[:b]):
-            if i == a:
-                continue
-            if partner[i] in (a, b):
-                look_up(i)
-            elif i < a:
-                h = heights(i, np.array([a]))[0]
-                if h < best[i] or (h == best[i] and a < partner[i]):
-                    best[i], partner[i] = h, a
+        earlier = np.flatnonzero(alive[:b])
+        lost = (partner[earlier] == a) | (partner[earlier] == b)
+        for i in earlier[lost]:
+            look_up(i)
+        # the grown cluster may have come closer to the earlier ones that had another partner
+        others = earlier[~lost & (earlier < a)]
+        if len(others):
+            h = heights(a, others)
+            closer = (h < best[others]) | ((h == best[others]) & (a < partner[others]))
+            best[others[closer]], partner[others[closer]] = h[closer], a
     roots = np.flatnonzero(alive)
     return np.searchsorted(roots, owner), merges
 
@@ -157,7 +158,7 @@ def cluster_units(
     from pyspark.sql import types as T
 
     schema = T.StructType([*unit_fields, df.schema[layout.cycle], T.StructField("cluster", T.IntegerType())])
-    merged = small.groupBy(*names).applyInPandas(solve, schema)
+    merged = spread_groups(small, names).groupBy(*names).applyInPandas(solve, schema)
     if not large_units:
         return merged
     large = sized.where(F.col("_rows") > max_rows).drop("_rows")
@@ -202,7 +203,7 @@ def dendrograms(
     fields = [T.StructField("step", T.IntegerType())]
     fields += [T.StructField(c, df.schema[layout.cycle].dataType) for c in ("a", "b")]
     schema = T.StructType([*[df.schema[c] for c in names], *fields, T.StructField("height", T.DoubleType())])
-    return _unit_groups(sized.where(guard), features, layout).groupBy(*names).applyInPandas(solve, schema)
+    return spread_groups(_unit_groups(sized.where(guard), features, layout), names).groupBy(*names).applyInPandas(solve, schema)
 
 
 def _cluster_large_units(
@@ -398,7 +399,8 @@ def pair_links(
     kinds = [("a", T.IntegerType()), ("b", T.IntegerType())]
     kinds += [(c, T.DoubleType()) for c in ("lo", "hi", "s", "q")] + [("n", T.LongType())]
     schema = T.StructType([*[df.schema[c] for c in names], *[T.StructField(c, t) for c, t in kinds]])
-    parts = spread.groupBy(*names, "_i", "_j").applyInPandas(solve, schema)
+    cells = [*names, "_i", "_j"]
+    parts = spread_groups(spread, cells).groupBy(*cells).applyInPandas(solve, schema)
     links = parts.groupBy(*names, "a", "b").agg(
         F.min("lo").alias("single"),
         F.max("hi").alias("complete"),

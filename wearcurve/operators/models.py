@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -223,10 +224,8 @@ def _from_pipeline(name: str, model: PipelineModel) -> Regressor:
 
 
 def _linear(columns: Sequence[str], coefficients: Sequence[float], intercept: float) -> Column:
-    out = F.lit(float(intercept))
-    for c, w in zip(columns, coefficients):
-        out = out + F.col(c) * F.lit(float(w))
-    return out
+    terms = [f"{float(intercept)!r}D", *[f"`{c}` * {float(w)!r}D" for c, w in zip(columns, coefficients)]]
+    return F.expr(" + ".join(terms))
 
 
 def ridge_model(df: DataFrame, columns: Sequence[str], target: str, alpha: float = 1.0):
@@ -288,6 +287,27 @@ def fit_boosting(
     return Regressor("HistGradientBoosting", apply)
 
 
+def weighted_least_squares(df: DataFrame, columns: Sequence[str], target: str, weight: str, penalty: float = 0.0):
+    """Coefficients and intercept from one aggregation of cross products.
+
+    ``penalty`` is added to the diagonal of the mean weighted cross products; the intercept is free. The
+    driver solves a system as wide as the column list.
+    """
+    terms = ["1.0D", *[f"`{c}`" for c in columns]]
+    width = len(terms)
+    sums = [
+        F.expr(f"sum(`{weight}` * {terms[i]} * {terms[j]}) AS g{i}_{j}") for i in range(width) for j in range(i, width)
+    ]
+    sums += [F.expr(f"sum(`{weight}` * {terms[i]} * `{target}`) AS b{i}") for i in range(width)]
+    row = df.agg(*sums).first()
+    gram = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] for j in range(width)] for i in range(width)])
+    right = np.array([row[f"b{i}"] for i in range(width)])
+    ridge = np.eye(width) * penalty * gram[0, 0]
+    ridge[0, 0] = 0.0
+    solved = np.linalg.lstsq(gram + ridge, right, rcond=None)[0]
+    return [float(v) for v in solved[1:]], float(solved[0])
+
+
 def fit_quantile(
     df: DataFrame, columns: Sequence[str], target: str, quantile: float = 0.5, alpha: float = 0.1, rounds: int = 12
 ) -> Regressor:
@@ -295,11 +315,12 @@ def fit_quantile(
 
     Each round replaces the pinball loss by the quadratic that touches it at the current residuals:
     weight 1 / (|r| + e) and target y + (2q - 1)(|r| + e), on standardised columns. ``alpha`` is the L2
-    weight of the standardised coefficients relative to the mean pinball loss; 0 fits freely.
+    weight of the standardised coefficients beside the mean pinball loss.
     """
+    from wearcurve.sources.tables import materialize
+
     names = list(columns)
     stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
         F.stddev_pop(target).alias("sd"),
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)],
@@ -308,26 +329,17 @@ def fit_quantile(
     start = exact_percentiles(df, [target], [quantile]).first()["value"]
     floor = 1e-3 * (stats["sd"] or 1.0)
     z = {f"_z{i}": (F.col(c) - F.lit(stats[f"m{i}"])) / F.lit(spread[i]) for i, c in enumerate(names)}
-    from wearcurve.sources.tables import materialize
-
+    # every round reads these columns again
     base = materialize(df.select(F.col(target).cast("double").alias("_y"), *[e.alias(k) for k, e in z.items()]), "quantile")
     weights, bias = [0.0] * len(names), float(start)
-    stage = VectorAssembler(inputCols=list(z), outputCol=FEATURES)
     for _ in range(rounds):
         size = F.abs(F.col("_y") - _linear(list(z), weights, bias)) + F.lit(floor)
         rows = base.withColumn("_a", size).withColumns(
-            {"_w": 1 / F.col("_a"), "_t": F.col("_y") + F.lit(2 * quantile - 1) * F.col("_a")}
+            # a quarter of the pinball's touching quadratic: loss = w (t - fit)^2 + const
+            {"_w": 0.25 / F.col("_a"), "_t": F.col("_y") + F.lit(2 * quantile - 1) * F.col("_a")}
         )
-        # Spark's penalty acts on the mean weighted square over the target's weighted deviation
-        w_mean, t_sd = rows.agg(
-            F.avg("_w"),
-            F.sqrt(F.sum(F.col("_w") * F.col("_t") * F.col("_t")) / F.sum("_w") - F.pow(F.sum(F.col("_w") * F.col("_t")) / F.sum("_w"), F.lit(2.0))),
-        ).first()
-        reg = 2.0 * alpha * (t_sd or 0.0) / w_mean if alpha else 0.0
-        fitted = LinearRegression(
-            featuresCol=FEATURES, labelCol="_t", weightCol="_w", solver="normal", regParam=reg, elasticNetParam=0.0, standardization=False
-        ).fit(stage.transform(rows))
-        weights, bias = list(fitted.coefficients), float(fitted.intercept)
+        mean_weight = rows.agg(F.avg("_w")).first()[0] if alpha else 1.0
+        weights, bias = weighted_least_squares(rows, list(z), "_t", "_w", alpha / (2 * mean_weight))
     raw = [w / s for w, s in zip(weights, spread)]
     shift = bias - sum(w * stats[f"m{i}"] for i, w in enumerate(raw))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wearcurve.functions.features import clip
 from wearcurve.layout import Layout
+from wearcurve.operators import features
 from wearcurve.operators.blocks import attach, join_units, unit_table, with_row
 from wearcurve.operators.quantiles import exact_percentiles
 
@@ -245,7 +246,11 @@ def sensor_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 class Preparation:
-    """Clean, enrich and scale a series with statistics of a training frame."""
+    """Clean, enrich and scale a series with statistics of a training frame.
+
+    Fitting reads a few numbers per column to the driver; ``transform`` then needs no second look at the
+    training frame (unless each unit has its own scaler).
+    """
 
     def __init__(
         self,
@@ -256,8 +261,6 @@ class Preparation:
         sensor_columns: Sequence[str] | None = None,
         setting_columns: Sequence[str] | None = None,
     ):
-        from wearcurve.operators import features
-
         if method not in METHODS:
             raise ValueError(f"unknown scaling method {method!r}: use one of {METHODS}")
         self.train = train
@@ -266,13 +269,50 @@ class Preparation:
         self.per_unit = per_unit
         self.sensors = list(sensor_columns) if sensor_columns is not None else features.sensors(train)
         self.settings = list(setting_columns) if setting_columns is not None else features.settings(train)
-        # the scaled columns must be known to build the plan: one aggregation, one row to the driver
-        candidates = [*self.sensors, *self.settings]
-        self.scaled = [] if method == "none" else column_names(scalable_columns(train, candidates))
+        columns = [*self.sensors, *self.settings]
+        probs = [0.25, 0.5, 0.75] if method == "robust" else [0.5]
+        self.percentiles = {
+            (r["column"], r["prob"]): r["value"] for r in exact_percentiles(train, columns, probs).collect()
+        }
+        measures = {
+            "mean": F.avg,
+            "std": F.stddev_samp,
+            "pop": F.stddev_pop,
+            "var": F.var_samp,
+            "min": F.min,
+            "max": F.max,
+        }
+        row = train.agg(*[f(c).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in measures.items()]).first()
+        self.statistics = {c: {k: row[f"{k}_{i}"] for k in measures} for i, c in enumerate(columns)}
+        self.scaled = (
+            [] if method == "none" else [c for c in columns if (self.statistics[c]["var"] or 0.0) > MIN_VARIANCE]
+        )
 
     def _clean(self, df: DataFrame) -> DataFrame:
-        filled = impute_medians(df, self.sensors, self.train)
-        return cap_outliers(filled, self.sensors, self.train)
+        """Median for missing readings, then mean ± 5 deviations as limits."""
+        out = {}
+        for c in self.sensors:
+            s = self.statistics[c]
+            filled = F.coalesce(F.col(c), F.lit(self.percentiles.get((c, 0.5))))
+            if s["std"] is not None:
+                reach = OUTLIER_DEVIATIONS * s["std"]
+                filled = clip(filled, s["mean"] - reach, s["mean"] + reach)
+            out[c] = filled
+        return df.withColumns(out)
+
+    def _offset_and_width(self, c: str) -> tuple[float, float]:
+        s = self.statistics[c]
+        if self.method == "minmax":
+            return s["min"], s["max"] - s["min"]
+        if self.method == "standard":
+            return s["mean"], s["pop"]
+        return self.percentiles[c, 0.5], self.percentiles[c, 0.75] - self.percentiles[c, 0.25]
+
+    def _scale(self, df: DataFrame) -> DataFrame:
+        if self.per_unit:
+            return scale_per_unit(df, self.scaled, self.layout, self.method, self.train)
+        fitted = {c: self._offset_and_width(c) for c in self.scaled}
+        return df.withColumns({c: _apply(c, F.lit(a), F.lit(b)) for c, (a, b) in fitted.items()})
 
     def transform(
         self,
@@ -281,8 +321,6 @@ class Preparation:
         differences: bool = True,
         window: int = 5,
     ) -> DataFrame:
-        from wearcurve.operators import features
-
         out = self._clean(df)
         if cycle_features:
             out = add_cycle_features(out, self.layout)
@@ -290,8 +328,4 @@ class Preparation:
                 out = add_rul_features(out)
         if differences:
             out = features.add_differences_and_rolling(out, self.sensors, self.layout, window)
-        if not self.scaled:
-            return out
-        if self.per_unit:
-            return scale_per_unit(out, self.scaled, self.layout, self.method, self.train)
-        return scale(out, self.scaled, self.method, self.train)
+        return self._scale(out) if self.scaled else out

@@ -10,31 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
 SMALL = 1_000_000
 _SALTS = 64
-_NEG_INF = float("-inf")
-_POS_INF = float("inf")
+_NEG_INF = "double('-Infinity')"
+_POS_INF = "double('Infinity')"
 
 
-def _brackets(probs: Sequence[float], margin: float, small: int) -> tuple[Column, Column]:
-    """Lower and upper ends per prob, from ``_marks`` = lower marks then upper marks."""
-    k = len(probs)
-    listed = F.array(*[F.lit(float(p)) for p in probs])
-    whole = F.col("_n") <= small
-
-    def lower(p, i):
-        return F.when(p <= margin, F.lit(_NEG_INF)).otherwise(F.get("_marks", i))
-
-    def upper(p, i):
-        return F.when(p >= 1 - margin, F.lit(_POS_INF)).otherwise(F.get("_marks", i + k))
-
-    lows = F.when(whole, F.array(F.lit(_NEG_INF))).otherwise(F.transform(listed, lower))
-    highs = F.when(whole, F.array(F.lit(_POS_INF))).otherwise(F.transform(listed, upper))
-    return lows, highs
+def _array_sql(values: Sequence[float]) -> str:
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
 
 
 def exact_percentiles(
@@ -48,13 +35,9 @@ def exact_percentiles(
     """Rows (by…, column, prob, value) with the interpolated percentile of the non-null values."""
     by = list(by)
     probs = sorted(float(p) for p in probs)
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
+    entries = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS value)" for c in columns)
     long = (
-        df.select(*by, F.explode(entries).alias("_e"))
-        .select(*by, F.col("_e.column").alias("column"), F.col("_e.value").alias("value"))
-        .where(F.col("value").isNotNull())
+        df.selectExpr(*[f"`{c}`" for c in by], f"inline(array({entries}))").where("value IS NOT NULL")
     )
     keys = [*by, "column"]
     margin = 2.0 / accuracy
@@ -63,68 +46,58 @@ def exact_percentiles(
         F.count("value").alias("_n"),
         F.percentile_approx("value", F.lit(marks), accuracy).alias("_marks"),
     )
-    lows, highs = _brackets(probs, margin, small)
+    probs_sql = _array_sql(probs)
+    low = f"transform({probs_sql}, (p, i) -> if(p <= {margin!r}D, {_NEG_INF}, get(_marks, i)))"
+    high = f"transform({probs_sql}, (p, i) -> if(p >= {1 - margin!r}D, {_POS_INF}, get(_marks, i + {len(probs)})))"
     # The bracket table is repeated per salt, so that a group with most of the rows is joined by
     # many tasks when the table is too large to be broadcast.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
-    brackets = sketched.select(*keys, "_n", lows.alias("_lo"), highs.alias("_hi"), salts)
+    brackets = sketched.selectExpr(
+        *[f"`{k}`" for k in keys],
+        f"if(_n <= {small}, array({_NEG_INF}), {low}) AS _lo",
+        f"if(_n <= {small}, array({_POS_INF}), {high}) AS _hi",
+        f"explode(sequence(0, {_SALTS - 1})) AS _salt",
+    )
     if not by:
         # one row per (column, salt): bounded by the argument list, not by the data
         brackets = F.broadcast(brackets)
-    salted = long.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(_SALTS)).cast("int"))
+    salted = long.selectExpr("*", f"CAST(pmod(xxhash64(value), {_SALTS}) AS INT) AS _salt")
     # Brackets are in ascending order. Segment 2i+1 is bracket i, segment 2i the gap before it; the
     # values of a gap share the null value and are only counted.
-    at = F.size(F.filter("_hi", lambda h: h < F.col("value")))
-    inside = F.col("value") >= F.get("_lo", F.col("_at"))
+    named = [f"`{k}`" for k in keys]
     tally = (
         salted.join(brackets, [*keys, "_salt"])
-        .withColumn("_at", at)
-        .select(
-            *keys,
-            "_n",
-            (F.col("_at") * 2 + F.coalesce(inside, F.lit(False)).cast("int")).alias("_seg"),
-            F.when(inside, F.col("value")).alias("value"),
-        )
+        .selectExpr(*named, "value", "_lo", "size(filter(_hi, h -> h < value)) AS _at")
+        .selectExpr(*named, "value", "_at", "coalesce(value >= get(_lo, _at), false) AS _in")
+        .selectExpr(*named, "2 * _at + CAST(_in AS INT) AS _seg", "if(_in, value, NULL) AS value")
         .groupBy(*keys, "_seg", "value")
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
+    # both uses of ``tally`` read the same shuffle
     segments = tally.groupBy(*keys, "_seg").agg(F.sum("_c").alias("_sc"))
     # at most 2 * probs + 1 segments per group
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = segments.select(*keys, "_seg", F.coalesce(F.sum("_sc").over(before), F.lit(0)).alias("_off"))
-    upto = Window.partitionBy(*keys, "_seg").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = tally.withColumn("_run", F.sum("_c").over(upto)).join(offsets, [*keys, "_seg"])
-    last = F.col("_n") - 1
-    end = F.col("_off") + F.col("_run")
-    start = end - F.col("_c")
-    listed = F.array(*[F.lit(p) for p in probs])
-
-    def holds(rank: Column) -> Column:
-        return (start <= rank) & (rank < end)
-
-    low_hits = F.filter(listed, lambda p: holds(F.floor(last * p)))
-    high_hits = F.filter(listed, lambda p: holds(F.least(F.floor(last * p) + 1, last)))
-    hits = ranked.select(
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = segments.select(
         *keys,
-        "_n",
-        "value",
-        F.explode(
-            F.concat(
-                F.transform(low_hits, lambda p: F.struct(p.alias("prob"), F.lit(0).alias("side"))),
-                F.transform(high_hits, lambda p: F.struct(p.alias("prob"), F.lit(1).alias("side"))),
-            )
-        ).alias("_h"),
+        "_seg",
+        F.coalesce(F.sum("_sc").over(before), F.lit(0)).alias("_off"),
+        F.sum("_sc").over(group).alias("_n"),
     )
-    side = F.col("_h.side")
-    picked = hits.groupBy(*keys, F.col("_h.prob").alias("prob")).agg(
-        F.max(F.when(side == 0, F.col("value"))).alias("_v0"),
-        F.max(F.when(side == 1, F.col("value"))).alias("_v1"),
-        F.max("_n").alias("_n"),
+    upto = Window.partitionBy(*keys, "_seg").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = tally.withColumn("_run", F.sum("_c").over(upto)).join(offsets, [*keys, "_seg"])
+    low_rank, high_rank = "floor((_n - 1) * p)", "least(floor((_n - 1) * p) + 1, _n - 1)"
+    holds = "{0} >= _off + _run - _c AND {0} < _off + _run"
+    low_hits = f"transform(filter({probs_sql}, p -> {holds.format(low_rank)}), p -> struct(p AS prob, 0 AS side))"
+    high_hits = f"transform(filter({probs_sql}, p -> {holds.format(high_rank)}), p -> struct(p AS prob, 1 AS side))"
+    picked = (
+        ranked.selectExpr(*named, "_n", "value", f"inline(concat({low_hits}, {high_hits}))")
+        .groupBy(*keys, "prob")
+        .agg(
+            F.expr("max(value) FILTER (WHERE side = 0) AS _v0"),
+            F.expr("max(value) FILTER (WHERE side = 1) AS _v1"),
+            F.expr("max((_n - 1) * prob - floor((_n - 1) * prob)) AS _part"),
+        )
     )
-    wanted = last * F.col("prob")
-    missed = F.col("_v0").isNull() | F.col("_v1").isNull()
-    between = (F.col("_v1") - F.col("_v0")) * (wanted - F.floor(wanted))
-    value = F.col("_v0") + F.when(F.col("_v1") == F.col("_v0"), F.lit(0.0)).otherwise(between)
-    failure = F.raise_error(F.lit("percentile bracket missed its rank")).cast("double")
-    return picked.select(*keys, "prob", F.when(missed, failure).otherwise(value).alias("value"))
-
+    failure = "CAST(raise_error('percentile bracket missed its rank') AS DOUBLE)"
+    between = "if(_v0 = _v1, _v0, _v0 + (_v1 - _v0) * _part)"
+    return picked.selectExpr(*named, "prob", f"if(_v0 IS NULL OR _v1 IS NULL, {failure}, {between}) AS value")

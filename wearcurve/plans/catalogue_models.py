@@ -1 +1,375 @@
+"""Queries over feature selection, balancing, clustering, learners and the phases that use them."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wearcurve.layout import CONTIGUOUS as C
+from wearcurve.operators import balance, clustering, features, metrics, models, selection
+from wearcurve.plans import phases
+from wearcurve.plans.registry import query
+from wearcurve.plans.staged import Tables
+from wearcurve.sources import tables as tb
+
+KEY = ["unit_number", "time_cycles"]
+S = ["sensor_1", "sensor_2"]
+X = ["time_cycles", *S]
+TARGET = "time_to_next_stage"
+
+# --- I1..I4: feature scores --------------------------------------------------------------------
+
+
+def _corr_sql(names: list[str], wrap: str = "{}") -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {wrap.format(f'corr({c}, {TARGET})')} AS score FROM p" for c in names)
+
+
+@query("I1_correlations", ["feature"], ["score"], _corr_sql(["setting_1", *S]), "p")
+def _(t: Tables):
+    return selection.correlations(t.labelled, ["setting_1", *S], TARGET)
+
+
+_ROLL = ", ".join(
+    f"coalesce({c} - lag({c}) OVER w, 0) AS {c}_diff, avg({c}) OVER f AS {c}_roll_mean_5, coalesce(stddev_samp({c}) OVER f, 0) AS {c}_roll_std_5"
+    for c in S
+)
+_ENRICHED = f"(SELECT *, {_ROLL} FROM p WINDOW w AS (PARTITION BY unit_number ORDER BY time_cycles), f AS (PARTITION BY unit_number ORDER BY time_cycles ROWS 4 PRECEDING))"
+_ENRICHED_COLUMNS = [*S, *[f"{c}_{k}" for c in S for k in ("diff", "roll_mean_5", "roll_std_5")]]
+
+
+def _enriched(t: Tables) -> DataFrame:
+    return features.add_differences_and_rolling(t.labelled, S, C)
+
+
+@query(
+    "I2_important_features",
+    ["feature"],
+    ["score"],
+    "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, abs(corr({c}, {TARGET})) AS score FROM {_ENRICHED}" for c in _ENRICHED_COLUMNS) + ") ORDER BY score DESC, feature LIMIT 5",
+    "p",
+)
+def _(t: Tables):
+    return selection.important_features(_enriched(t), TARGET, "correlation", 5)
+
+
+def _anova_sql(names: list[str], label: str, table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, coalesce((sum(n * pow(m - g, 2)) / (count(*) - 1)) / nullif(sum(n * v) / (sum(n) - count(*)), 0), 0) AS score FROM "
+        f"(SELECT {label}, count({c}) AS n, avg({c}) AS m, var_pop({c}) AS v, (SELECT avg({c}) FROM {table}) AS g FROM {table} GROUP BY {label})"
+        for c in names
+    )
+
+
+@query("I3_anova", ["feature"], ["score"], _anova_sql(_ENRICHED_COLUMNS, "true_stage", _ENRICHED), "p", digits=4)
+def _(t: Tables):
+    return selection.anova_f(_enriched(t), _ENRICHED_COLUMNS, "true_stage")
+
+
+@query("I3_anova_of_embeddings", ["feature"], ["score"], _anova_sql([f"x{j}" for j in range(64)], "label", "(SELECT label, " + ", ".join(f"embedding[{j + 1}]::DOUBLE AS x{j}" for j in range(64)) + " FROM embeddings)"), digits=4)
+def _(t: Tables):
+    wide = t.source("embeddings").select("label", *[F.col("embedding")[j].cast("double").alias(f"x{j}") for j in range(64)])
+    return selection.anova_f(wide, [f"x{j}" for j in range(64)], "label")
+
+
+@query("I3_select_k_best", ["feature"], ["score"], f"SELECT * FROM ({_anova_sql(_ENRICHED_COLUMNS, 'true_stage', _ENRICHED)}) ORDER BY score DESC, feature LIMIT 3", "p", digits=4)
+def _(t: Tables):
+    return selection.select_k_best(_enriched(t), _ENRICHED_COLUMNS, "true_stage", 3)
+
+
+_TENTHS = "[" + ", ".join(f"{i / 10}" for i in range(1, 10)) + "]"
+
+
+def _bin_sql(c: str) -> str:
+    return f"len(list_filter((SELECT list_distinct(quantile_cont({c}, {_TENTHS})) FROM p), lambda e: e <= {c}))"
+
+
+def _mi_sql(names: list[str], y: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, greatest(sum(n / tt * ln(n * tt / (nx * ny))), 0) AS score FROM (SELECT n, sum(n) OVER (PARTITION BY x) AS nx, sum(n) OVER (PARTITION BY y) AS ny, sum(n) OVER () AS tt FROM (SELECT {_bin_sql(c)} AS x, {y} AS y, count(*)::DOUBLE AS n FROM p GROUP BY 1, 2))"
+        for c in names
+    )
+
+
+@query("I4_mutual_information", ["feature"], ["score"], _mi_sql(["time_cycles", *S], _bin_sql("RUL")), "p")
+def _(t: Tables):
+    return selection.mutual_information(t.labelled, X, "RUL")
+
+
+@query("I4_mutual_information_with_class", ["feature"], ["score"], _mi_sql(["time_cycles", *S], "true_stage"), "p")
+def _(t: Tables):
+    return selection.mutual_information(t.labelled, X, "true_stage", discrete_target=True)
+
+
+# --- I5: over-sampling -------------------------------------------------------------------------
+
+_SMOTE_SQL = """
+  WITH b AS (SELECT CAST(unit_number AS BIGINT) * 1000 + time_cycles AS k, CASE WHEN sensor_1 > 30 THEN 1 ELSE 0 END AS y, sensor_1 AS x1, sensor_2 AS x2 FROM p),
+  c AS (SELECT y, count(*) AS n, max(count(*)) OVER () - count(*) AS need FROM b GROUP BY 1),
+  mi AS (SELECT b.*, n, need, row_number() OVER (PARTITION BY y ORDER BY md5(k || ':42'), k) AS rk FROM b JOIN c USING (y) WHERE need > 0),
+  nb AS (SELECT k, list(k2 ORDER BY d, k2) AS near FROM (
+      SELECT a.k, o.k AS k2, pow(a.x1 - o.x1, 2) + pow(a.x2 - o.x2, 2) AS d,
+        row_number() OVER (PARTITION BY a.k ORDER BY pow(a.x1 - o.x1, 2) + pow(a.x2 - o.x2, 2), o.k) AS r
+      FROM mi a JOIN mi o ON a.y = o.y AND a.k <> o.k) WHERE r <= 5 GROUP BY 1),
+  e AS (SELECT mi.*, unnest(range(1, need // n + CASE WHEN rk <= need % n THEN 2 ELSE 1 END)) AS copy FROM mi),
+  h AS (SELECT e.*, md5(k || ':' || copy || ':42') AS h FROM e),
+  g AS (SELECT h.k, h.y, h.x1, h.x2, h.copy, nb.near[('0x' || substr(h, 1, 8))::BIGINT % len(nb.near) + 1] AS near,
+      ('0x' || substr(h, 9, 13))::BIGINT / pow(16, 13) AS u FROM h JOIN nb USING (k))
+  SELECT k, y, 0 AS copy, NULL AS near, x1, x2 FROM b
+  UNION ALL SELECT g.k, g.y, CAST(g.copy AS INT), g.near, g.x1 + g.u * (o.x1 - g.x1), g.x2 + g.u * (o.x2 - g.x2) FROM g JOIN b o ON o.k = g.near"""
+
+
+def _two_classes(t: Tables) -> DataFrame:
+    key = F.col("unit_number").cast("long") * 1000 + F.col("time_cycles")
+    return t.labelled.select(key.alias("k"), F.when(F.col("sensor_1") > 30, 1).otherwise(0).alias("y"), F.array(*S).alias("x"))
+
+
+@query("I5_oversample", ["k", "y", "copy", "near"], ["x1", "x2"], _SMOTE_SQL, "p")
+def _(t: Tables):
+    more = balance.oversample(_two_classes(t), "x", "y", "k")
+    return more.select("k", "y", "copy", "near", F.col("x")[0].alias("x1"), F.col("x")[1].alias("x2"))
+
+
+@query("I5_oversample_counts", ["quality", "n"], (), "SELECT quality, max(count(*)) OVER () AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1")
+def _(t: Tables):
+    rows = t.source("labels").join(t.source("documents").select("doc_id", "n_chars"), "doc_id")
+    packed = rows.select("doc_id", "quality", F.array(F.col("n_chars").cast("double"), F.col("toxic").cast("double")).alias("x"))
+    return balance.oversample(packed, "x", "quality", "doc_id").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- I6, I7: clustering ------------------------------------------------------------------------
+
+
+@query("I6_clusters_of_units", ["unit_number", "n", "clusters", "first_cluster"], (), "SELECT unit_number, count(*) AS n, 5::BIGINT AS clusters, 0 AS first_cluster FROM p GROUP BY 1", "p")
+def _(t: Tables):
+    rows = clustering.cluster_units(t.series, X, C)
+    return rows.groupBy("unit_number").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("cluster").alias("clusters"),
+        # labels are numbered by first row
+        F.min_by("cluster", "time_cycles").alias("first_cluster"),
+    )
+
+
+@query("I6_merge_trees", ["unit_number", "merges", "falls"], (), "SELECT unit_number, count(*) - 5 AS merges, 0::BIGINT AS falls FROM p GROUP BY 1", "p")
+def _(t: Tables):
+    tree = clustering.dendrograms(t.series, X, C, linkage="average", metric="manhattan")
+    heights = tree.groupBy("unit_number").agg(F.sort_array(F.collect_list(F.struct("step", "height"))).alias("h"))
+    falls = F.filter(
+        F.zip_with(F.slice("h", 2, F.greatest(F.size("h") - 1, F.lit(0))), F.slice("h", 1, F.greatest(F.size("h") - 1, F.lit(0))), lambda b, a: b["height"] < a["height"] - 1e-9),
+        lambda x: x,
+    )
+    return heights.select("unit_number", F.size("h").cast("long").alias("merges"), F.size(falls).cast("long").alias("falls"))
+
+
+@query("I6_cluster_labels", [*KEY, "cluster"])
+def _(t: Tables):
+    return clustering.cluster_units(t.lines, [f"sensor_{i}" for i in (1, 3, 4)], C)
+
+
+@query("I7_stage_order", ["unit_number", "cluster", "degradation_stage"], (), "SELECT unit_number, cluster, CAST(row_number() OVER (PARTITION BY unit_number ORDER BY avg(time_cycles), cluster) - 1 AS INT) AS degradation_stage FROM p GROUP BY 1, 2", "p")
+def _(t: Tables):
+    return clustering.order_stages(t.labelled, C).groupBy("unit_number", "cluster").agg(F.max("degradation_stage").alias("degradation_stage"))
+
+
+# --- I8..I12: classifiers ----------------------------------------------------------------------
+
+
+def _embedding_columns(t: Tables) -> DataFrame:
+    return t.source("embeddings").select("vec_id", "label", *[F.col("embedding")[j].cast("double").alias(f"x{j}") for j in range(64)])
+
+
+_EMB = [f"x{j}" for j in range(64)]
+
+
+@query("I8_logistic_regression", ["vec_id", "label", "predicted"], ["p_predicted"])
+def _(t: Tables):
+    rows = _embedding_columns(t)
+    model = models.fit_classifier(rows, _EMB, "label", "logistic_regression", models.preset("logistic_regression", 1), ["vec_id"])
+    scored = models.classify(model, rows, "predicted")
+    return scored.withColumn("p_predicted", F.col("class_probability")[F.col("predicted")])
+
+
+@query("I9_random_forest", [*KEY, "true_stage", "predicted"], ["p_predicted"])
+def _(t: Tables):
+    rows = t.labelled.drop("predicted_stage")
+    model = models.fit_classifier(rows, X, "true_stage", "random_forest", models.preset("random_forest", 1))
+    scored = models.classify(model, rows, "predicted")
+    return scored.withColumn("p_predicted", F.col("class_probability")[F.col("predicted")])
+
+
+@query("I10_feature_importance", ["model", "feature"], ["importance"])
+def _(t: Tables):
+    rows = t.labelled
+    out = None
+    for kind, how in (("random_forest", "splits"), ("random_forest", "impurity"), ("logistic_regression", "impurity")):
+        model = models.fit_classifier(rows, X, "true_stage", kind, {"n_estimators": 10, "max_depth": 6, "max_iter": 50})
+        one = models.feature_importance(model, X, how).withColumn("model", F.lit(f"{kind} {how}"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("I11_hyper_parameter_search", ["params"], ["score"])
+def _(t: Tables):
+    from wearcurve.operators import splits
+
+    rows = tb.materialize(splits.stratified_split(t.labelled, "true_stage", KEY), "search")
+    space = {"n_estimators": [5, 10], "max_depth": [3, 6], "min_samples_split": [5, 10], "max_features": ["sqrt", "log2"]}
+    return models.search_classifier(
+        rows.where("part = 'train'"),
+        rows.where("part = 'validation'"),
+        X,
+        "true_stage",
+        KEY,
+        tb.scratch_path(t.spark, "search-scores"),
+        models.search_candidates(space, 3),
+    )
+
+
+@query("A9_model_reload", ["n", "same"], (), "SELECT count(*) AS n, count(*) AS same FROM embeddings")
+def _(t: Tables):
+    from pyspark.ml import PipelineModel
+
+    rows = _embedding_columns(t)
+    model = models.fit_classifier(rows, _EMB, "label", "logistic_regression", {"max_iter": 10})
+    path = tb.scratch_path(t.spark, "model")
+    model.write().overwrite().save(path)
+    first = models.classify(model, rows, "a").select("vec_id", "a")
+    second = models.classify(PipelineModel.load(path), rows, "b").select("vec_id", "b")
+    return first.join(second, "vec_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("a") == F.col("b")).alias("same"))
+
+
+# --- I13..I19: regressors ----------------------------------------------------------------------
+
+_RIDGE_SQL = f"""SELECT w1, w2, my - w1 * m1 - w2 * m2 AS intercept FROM (
+    SELECT *, (c1 * (v2 + 1) - c2 * v12) / ((v1 + 1) * (v2 + 1) - v12 * v12) AS w1, (c2 * (v1 + 1) - c1 * v12) / ((v1 + 1) * (v2 + 1) - v12 * v12) AS w2
+    FROM (SELECT count(*) * var_pop(sensor_1) AS v1, count(*) * var_pop(sensor_2) AS v2, count(*) * covar_pop(sensor_1, sensor_2) AS v12,
+      count(*) * covar_pop(sensor_1, {TARGET}) AS c1, count(*) * covar_pop(sensor_2, {TARGET}) AS c2,
+      avg(sensor_1) AS m1, avg(sensor_2) AS m2, avg({TARGET}) AS my FROM p))"""
+
+
+@query("I13_ridge_coefficients", (), ["w1", "w2", "intercept"], _RIDGE_SQL, "p")
+def _(t: Tables):
+    fitted = models.ridge_model(t.labelled, S, TARGET, 1.0).stages[-1]
+    w = [float(c) for c in fitted.coefficients]
+    # three fitted numbers beside the row count they came from
+    return t.labelled.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(w[0]).alias("w1"), F.lit(w[1]).alias("w2"), F.lit(float(fitted.intercept)).alias("intercept")
+    )
+
+
+@query("I13_ridge_predictions", KEY, ["predicted"], f"SELECT unit_number, time_cycles, w1 * sensor_1 + w2 * sensor_2 + intercept AS predicted FROM p, ({_RIDGE_SQL})", "p")
+def _(t: Tables):
+    return models.fit_ridge(t.labelled, S, TARGET, 1.0).predict(t.labelled, "predicted")
+
+
+def _quality(t: Tables, model: models.Regressor) -> DataFrame:
+    return metrics.regression_metrics(model.predict(t.labelled, "_pred"), TARGET, "_pred", count=True)
+
+
+_QUALITY = ["mse", "rmse", "mae", "r2", "mape"]
+
+
+@query("I14_random_forest_regressor", ["n"], _QUALITY)
+def _(t: Tables):
+    return _quality(t, models.fit_forest(t.labelled, X, TARGET))
+
+
+@query("I15_quantile_regression", ["quantile"], ["loss", "coverage"])
+def _(t: Tables):
+    out = None
+    for q in (0.1, 0.5, 0.9):
+        fitted = models.fit_quantile(t.labelled, X, TARGET, q, 0.0)
+        one = models.pinball(fitted.predict(t.labelled, "_pred"), TARGET, "_pred", q).withColumn("quantile", F.lit(q))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("I16_prediction_interval", KEY, ["lower_bound", "upper_bound"])
+def _(t: Tables):
+    return models.fit_interval(t.labelled, X, TARGET)(t.labelled)
+
+
+@query("I17_gradient_boosting", ["n"], _QUALITY)
+def _(t: Tables):
+    return _quality(t, models.fit_boosting(t.labelled, X, TARGET, rounds=20))
+
+
+_EDGES = "[" + ", ".join(repr(i / 256) for i in range(257)) + "]"
+
+
+@query("I18_quantile_bins", [*KEY, "bin"], (), f"SELECT unit_number, time_cycles, CAST(greatest(least(len(list_filter(e, lambda v: v <= sensor_1)) - 1, len(e) - 2), 0) AS INT) AS bin FROM p, (SELECT list_distinct(quantile_cont(sensor_1, {_EDGES})) AS e FROM p)", "p")
+def _(t: Tables):
+    return models.quantile_bins(t.labelled, "sensor_1", 256)
+
+
+_WEIGHT = "(1 / (avg(pow(pred_{m} - time_to_next_stage, 2)) + 1e-10))"
+_WEIGHTS_SQL = f"(SELECT {_WEIGHT.format(m='a')} AS ia, {_WEIGHT.format(m='b')} AS ib FROM p)"
+
+
+@query("I19_ensemble_weights", ["model"], ["weight"], f"SELECT 'a' AS model, ia / (ia + ib) AS weight FROM {_WEIGHTS_SQL} UNION ALL SELECT 'b', ib / (ia + ib) FROM {_WEIGHTS_SQL}", "p")
+def _(t: Tables):
+    return models.ensemble_weights(t.labelled, TARGET, ["a", "b"])
+
+
+@query("I19_ensemble_prediction", KEY, ["pred_Ensemble"], f"SELECT unit_number, time_cycles, (ia * pred_a + ib * pred_b) / (ia + ib) AS \"pred_Ensemble\" FROM p, {_WEIGHTS_SQL}", "p")
+def _(t: Tables):
+    weights = models.ensemble_weights(t.labelled, TARGET, ["a", "b"])
+    return models.add_ensemble(t.labelled, weights, ["a", "b"])
+
+
+@query("I20_principal_components", ["vec_id"], ["component_1", "component_2", "component_3"])
+def _(t: Tables):
+    return models.principal_components(_embedding_columns(t), _EMB, 3, ["vec_id"])
+
+
+# --- M2, M3, M4, M6: phases --------------------------------------------------------------------
+
+
+@query("M2_stages", ["unit_number", "n", "stages"], (), "SELECT unit_number, CAST(round_even(count(*) * CAST(0.6 AS DOUBLE), 0) AS BIGINT) AS n, 5::BIGINT AS stages FROM p GROUP BY 1", "p")
+def _(t: Tables):
+    staged = phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C)
+    return staged.rows.groupBy("unit_number").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("degradation_stage").alias("stages"))
+
+
+@query("M2_stage_profiles", ["stage", "n"], ["w_time_cycles_mean"])
+def _(t: Tables):
+    return phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C).profiles
+
+
+@query("M2_stage_evaluation_by_fold", ["fold"], [*metrics.PERFORMANCE, *metrics.QUALITY])
+def _(t: Tables):
+    staged = phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C)
+    return phases.evaluate_stages(staged.rows, C.but(contiguous=False), folds=10)
+
+
+@query("M3_classification", (), ["f1", "precision", "recall"])
+def _(t: Tables):
+    rows = t.labelled.select(*KEY, "setting_1", *S, F.col("true_stage").alias("degradation_stage"))
+    return phases.classify_stages(rows, C, params={"n_estimators": 20, "max_depth": 8, "min_samples_split": 5}).metrics
+
+
+@query("M4_time_predictions", (), _QUALITY)
+def _(t: Tables):
+    rows = t.labelled.select(*KEY, "setting_1", *S, "RUL", "predicted_stage")
+    even = F.col("unit_number") % 4
+    return phases.predict_times(rows.where(even > 0), rows.where(even == 0), C, trees=30, boosting_rounds=20).metrics
+
+
+@query("M6_run_all_phases", ["units_with_high_risk", "total_units", "total_high_risk_alerts"], ["mean_risk_score", "high_risk_threshold"])
+def _(t: Tables):
+    from wearcurve.plans.catalogue_series import _as_lines, _wide
+
+    root = tb.scratch_path(t.spark, "fleet")
+    wide = _wide(t.series).where("unit_number % 4 = 0")
+    units = wide.groupBy("unit_number").agg(F.lit("20 ").alias("value"))
+    for split in ("train", "test"):
+        _as_lines(wide).write.text(f"{root}/{split}/{split}_FD001.txt")
+    units.select("value").write.text(f"{root}/RUL/RUL_FD001.txt")
+    result = phases.run(
+        t.spark,
+        root,
+        "FD001",
+        class_options={"params": {"n_estimators": 5, "max_depth": 6}, "top_k": 10},
+        time_options={"trees": 5, "boosting_rounds": 3},
+    )
+    return result.risk.metrics
