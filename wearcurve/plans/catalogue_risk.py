@@ -377,3 +377,20 @@ def _(t: Tables):
     from wearcurve.plans.phases import assess_risk
 
     return assess_risk(t.labelled).rows
+
+
+# --- N: the row-wise part on a stream ----------------------------------------------------------
+
+
+@query("N_stream_scoring", [*KEY, "risk_level", "maintenance_alert"], ["normalized_urgency"], "SELECT * FROM v", "v")
+def _(t: Tables):
+    from wearcurve.sources import tables as tb
+    from wearcurve.streaming import scoring
+
+    fields = [f.name for f in scoring.PREDICTIONS.fields]
+    arriving = tb.scratch_path(t.spark, "arriving")
+    t.labelled.select(*fields).write.parquet(arriving)
+    out, state = tb.scratch_path(t.spark, "scored"), tb.scratch_path(t.spark, "state")
+    scored = scoring.score(scoring.read_predictions(t.spark, arriving), scoring.fit_risk(t.labelled))
+    scoring.write_scores(scored, out, state).awaitTermination()
+    return t.spark.read.schema(scored.schema).parquet(out)
