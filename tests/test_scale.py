@@ -141,3 +141,22 @@ def test_threshold_curve_over_many_buckets(spark):
 def test_staged_tables_are_written_once(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     assert t.series.inputFiles() == Tables(spark, "/root/testdata/sf0.001").series.inputFiles()
+
+
+def test_one_shuffle_of_the_rows_when_nothing_can_be_broadcast(skewed, spark, tmp_path):
+    path = str(tmp_path / "rows")
+    skewed.write.parquet(path)
+    rows = spark.read.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(labels.train_rul(rows.drop("RUL"), WHOLE))
+        ranked = _plan(blocks.positions(rows, COUNTED))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # unit aggregate, its copies per block, and the rows themselves: all joined on (unit, block)
+    assert "SortMergeJoin [unit_number#" in plan and ", _blk#" in plan
+    assert plan.count("Exchange hashpartitioning") == 3
+    # rows by (unit, bucket), counts by (unit, bucket), offsets by unit and back
+    assert "SortMergeJoin [unit_number#" in ranked and ", _pbk#" in ranked
+    assert ranked.count("Exchange hashpartitioning") <= 4

@@ -155,17 +155,25 @@ def block_window(layout: Layout):
     return Window.partitionBy(*layout.block_keys).orderBy(layout.cycle)
 
 
-def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int = 64) -> DataFrame:
-    """Left join rows to a table with one row per group, when a group may hold most of the rows.
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    The group's row is repeated for each salt; a row's salt is a hash of the ``spread`` columns. With
-    no keys the table has one row and is read as a scalar subquery.
+
+def join_groups(
+    df: DataFrame, groups: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int | None = None
+) -> DataFrame:
+    """Left join rows to a table of few groups (classes, datasets), any of which may hold most rows.
+
+    The group's row is repeated for each salt, one per shuffle partition by default; a row's salt is a
+    hash of the ``spread`` columns. Spark broadcasts the table where its size allows. With no keys the
+    table has one row and is read as a scalar subquery.
     """
     added = [c for c in groups.columns if c not in keys]
     if not keys:
         return with_row(df, groups.agg(*[F.max(c).alias(c) for c in added]), "_row").withColumns(
             {c: F.col(f"_row.{c}") for c in added}
         ).drop("_row")
+    salts = salts or shuffle_partitions(df)
     repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     return salted.join(repeated, [*keys, "_salt"], "left").select(*df.columns, *added)
@@ -181,5 +189,4 @@ def spread_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Groups that are small in bytes but long to compute must not be coalesced into few tasks.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *keys)
+    return df.repartition(shuffle_partitions(df), *keys)

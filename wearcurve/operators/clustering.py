@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearcurve.functions.features import METRICS, distance
-from wearcurve.layout import Layout
+from wearcurve.layout import BLOCK, Layout
 from wearcurve.operators.blocks import Lookback, attach, join_units, positions, spread_groups, unit_table
 
 LINKAGES = ("single", "complete", "average", "ward")
@@ -211,33 +211,43 @@ def _cluster_large_units(
 ) -> DataFrame:
     """Centroid rounds for all long units together.
 
-    A round joins every row to its unit's centroids on (unit, block) and averages again; lineage is cut
-    by writing the rows' clusters to the shared folder.
+    A round joins every row to its unit's centroids on (unit, block) and averages again. Only the
+    centroids, k per unit, change between rounds; they are written to the shared folder, so that a
+    round's plan does not contain the rounds before it.
     """
     from wearcurve.sources.tables import materialize
 
     vector = F.array(*[F.col(c).cast("double") for c in features])
-    rows = positions(df, layout).withColumn("_x", vector)
-    rows = attach(rows, layout, _rows=F.count(F.lit(1)))
+    rows = attach(positions(df, layout), layout, _rows=F.count(F.lit(1)))
     start = F.floor((F.col("_pos") - 1) * k / F.col("_rows")).cast("int")
-    state = materialize(
-        rows.select(*layout.unit, layout.cycle, "_x", start.alias("cluster")), "large-units"
+    rows = materialize(
+        rows.select(*layout.unit, layout.cycle, vector.alias("_x"), start.alias("cluster")), "large-units"
     )
-    for _ in range(rounds):
-        state = materialize(_centroid_round(state, len(features), layout, metric), "large-units")
-    return state.drop("_x")
-
-
-def _centroid_round(state: DataFrame, width: int, layout: Layout, metric: str) -> DataFrame:
-    means = state.groupBy(*layout.unit, "cluster").agg(
-        F.array(*[F.avg(F.col("_x")[j]) for j in range(width)]).alias("_c")
+    width = len(features)
+    centres = materialize(_unit_centres(rows, width, layout), "centres")
+    for _ in range(rounds - 1):
+        moved = _to_nearest(rows, centres, layout, metric)
+        centres = materialize(_unit_centres(moved, width, layout), "centres")
+    return _to_nearest(rows, centres, layout, metric).drop("_x")
+
+
+def _unit_centres(rows: DataFrame, width: int, layout: Layout) -> DataFrame:
+    """(unit…, block range, centres): the mean vector of each cluster of a unit as one sorted array."""
+    blocked = layout.with_block(rows)
+    means = blocked.groupBy(*layout.unit, "cluster").agg(
+        F.array(*[F.avg(F.col("_x")[j]) for j in range(width)]).alias("_c"),
+        F.min(BLOCK).alias("_lo"),
+        F.max(BLOCK).alias("_hi"),
     )
-    # k entries per unit
-    centres = means.groupBy(*layout.unit).agg(
-        F.sort_array(F.collect_list(F.struct("cluster", "_c"))).alias("_centres")
+    return means.groupBy(*layout.unit).agg(
+        F.sort_array(F.collect_list(F.struct("cluster", "_c"))).alias("_centres"),
+        F.min("_lo").alias("_lo_blk"),
+        F.max("_hi").alias("_hi_blk"),
     )
-    units = unit_table(state, layout).join(centres, list(layout.unit))
-    placed = join_units(state.drop("cluster"), units, layout)
+
+
+def _to_nearest(rows: DataFrame, centres: DataFrame, layout: Layout, metric: str) -> DataFrame:
+    placed = join_units(rows.drop("cluster"), centres, layout)
     scored = F.transform(
         "_centres", lambda c: F.struct(distance(F.col("_x"), c["_c"], metric).alias("d"), c["cluster"].alias("cluster"))
     )

@@ -11,7 +11,7 @@ from wearcurve.layout import Layout
 from wearcurve.operators.blocks import attach, blocked_rank, join_groups, join_units, positions, unit_table, with_row
 
 SEED = 42
-_HASH_BUCKET_DIGITS = 3  # 4,096 buckets
+_HASH_BUCKET_DIGITS = 4  # 65,536 buckets
 
 
 def hash_of(columns: Sequence[str], seed: int = SEED) -> Column:

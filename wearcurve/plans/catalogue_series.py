@@ -69,8 +69,7 @@ def _(t: Tables):
     path = tb.scratch_path(t.spark, "rul")
     units = t.series.groupBy("unit_number").agg((6 + F.col("unit_number") % 140).alias("RUL"))
     lines = units.orderBy("unit_number").select(F.concat(F.col("RUL").cast("string"), F.lit(" ")))
-    # the format is one file with a line per unit
-    lines.coalesce(1).write.text(path)
+    lines.write.text(path)
     return text.read_rul(t.spark, path)
 
 
@@ -98,10 +97,8 @@ def _(t: Tables):
     out = None
     for part, frame in loaded.items():
         total = F.sum("RUL").cast("double") if part == "rul" else F.sum("sensor_21")
-        # the line number restarts in each file of a folder, so RUL rows are counted, not their units
-        units = F.count(F.lit(1)) if part == "rul" else F.countDistinct("unit_number")
         one = frame.groupBy("dataset_id").agg(
-            F.lit(part).alias("part"), units.alias("units"), F.count(F.lit(1)).alias("n"), total.alias("total")
+            F.lit(part).alias("part"), F.countDistinct("unit_number").alias("units"), F.count(F.lit(1)).alias("n"), total.alias("total")
         )
         out = one if out is None else out.unionByName(one)
     return out
