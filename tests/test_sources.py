@@ -102,3 +102,17 @@ def test_stream_scores_like_batch(spark, tmp_path):
     assert got.count() == rows.count()
     assert got.exceptAll(want).count() == 0
     assert want.where(F.col("maintenance_alert") != (F.col("risk_level") == "HIGH")).count() == 0
+
+
+def test_run_time_is_a_formatted_string(spark):
+    from wearcurve.operators import risk
+
+    stamp = risk.with_run_time(spark.range(1)).first().timestamp
+    assert len(stamp) == 19 and stamp[10] == " "
+
+
+def test_missing_readings_become_null(spark, tmp_path):
+    path = str(tmp_path / "s" / "a.txt")
+    write(path, line(1, 1).replace("0.5", "NaN", 1))
+    row = text.read_series(spark, path).first()
+    assert row.setting_1 is None and row.setting_2 == 1.5

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from wearcurve.functions.features import METRICS, distance
 from wearcurve.layout import BLOCK, Layout
 from wearcurve.operators.blocks import Lookback, attach, join_units, positions, spread_groups, unit_table
 
+# executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINKAGES = ("single", "complete", "average", "ward")
 
 # Fixed values
@@ -145,13 +150,13 @@ def cluster_units(
     sized = _sized(df, layout).where(F.col("_rows") >= n_clusters)
     unit_fields = [df.schema[c] for c in layout.unit]
     small = _unit_groups(sized.where(F.col("_rows") <= max_rows), features, layout)
-    names = list(layout.unit)
+    names, cycle = list(layout.unit), layout.cycle
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_cycle")
         labels, _ = agglomerate(np.array(group["_x"].tolist()), n_clusters, linkage, metric)
         out = group[names].copy()
-        out[layout.cycle] = group["_cycle"].to_numpy()
+        out[cycle] = group["_cycle"].to_numpy()
         out["cluster"] = labels.astype("int32")
         return out
 

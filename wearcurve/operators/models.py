@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -287,30 +286,6 @@ def fit_boosting(
     return Regressor("HistGradientBoosting", apply)
 
 
-def cross_products(columns: Sequence[str], target: str, weight: str) -> list[Column]:
-    """Aggregates ``g<i>_<j>`` and ``b<i>``: weighted cross products of (1, columns) and with the target."""
-    terms = ["1.0D", *[f"`{c}`" for c in columns]]
-    width = len(terms)
-    sums = [f"sum(`{weight}` * {terms[i]} * {terms[j]}) AS g{i}_{j}" for i in range(width) for j in range(i, width)]
-    sums += [f"sum(`{weight}` * {terms[i]} * `{target}`) AS b{i}" for i in range(width)]
-    return [F.expr(e) for e in sums]
-
-
-def solve_least_squares(row, width: int, penalty: float = 0.0) -> tuple[list[float], float]:
-    """Coefficients and intercept from one row of ``cross_products``.
-
-    ``penalty`` is added to the diagonal of the cross products; the intercept is free. The driver
-    solves a system as wide as the column list.
-    """
-    size = width + 1
-    gram = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)])
-    right = np.array([row[f"b{i}"] for i in range(size)])
-    ridge = np.eye(size) * penalty
-    ridge[0, 0] = 0.0
-    solved = np.linalg.lstsq(gram + ridge, right, rcond=None)[0]
-    return [float(v) for v in solved[1:]], float(solved[0])
-
-
 def fit_quantile(
     df: DataFrame, columns: Sequence[str], target: str, quantile: float = 0.5, alpha: float = 0.1, rounds: int = 15
 ) -> Regressor:
@@ -318,9 +293,8 @@ def fit_quantile(
 
     Each round replaces the pinball loss by the quadratic that touches it at the current residuals:
     weight 1 / (|r| + e) and target y + (2q - 1)(|r| + e), on standardised columns. ``alpha`` is the L2
-    weight of the standardised coefficients beside the mean pinball loss. A round is one aggregation,
-    which also measures the fit it starts from; the best fit seen is kept, and the first one is the
-    target's own quantile.
+    weight of the standardised coefficients beside the mean pinball loss. The best fit seen is kept, and
+    the first one is the target's own quantile.
     """
     from wearcurve.sources.tables import materialize
 
@@ -338,16 +312,32 @@ def fit_quantile(
     base = materialize(df.select(F.col(target).cast("double").alias("_y"), *[e.alias(k) for k, e in z.items()]), "quantile")
     weights, bias = [0.0] * len(names), float(start)
     best = (float("inf"), weights, bias)
-    for _ in range(rounds + 1):
+    stage = VectorAssembler(inputCols=list(z), outputCol=FEATURES)
+    for last in [False] * rounds + [True]:
         rows = base.withColumn("_r", F.col("_y") - _linear(list(z), weights, bias)).selectExpr(
             "*", f"abs(_r) + {floor!r}D AS _a", f"if(_r > 0, _r * {quantile!r}D, _r * {quantile - 1!r}D) AS _loss"
         )
         # a quarter of 1 / a: the touching quadratic of the pinball loss itself
         rows = rows.selectExpr("*", "0.25D / _a AS _w", f"_y + {2 * quantile - 1!r}D * _a AS _t")
-        row = rows.agg(F.count(F.lit(1)).alias("_n"), F.avg("_loss").alias("_l"), *cross_products(list(z), "_t", "_w")).first()
-        loss = row["_l"] + alpha / 2 * sum(w * w for w in weights)
+        row = rows.selectExpr(
+            "avg(_loss) AS loss", "avg(_w) AS w", "sum(_w * _t) / sum(_w) AS m", "sum(_w * _t * _t) / sum(_w) AS s"
+        ).first()
+        loss = row["loss"] + alpha / 2 * sum(w * w for w in weights)
         best = min(best, (loss, weights, bias), key=lambda fit: fit[0])
-        weights, bias = solve_least_squares(row, len(names), alpha / 2 * row["_n"])
+        if last:
+            break
+        # Spark divides the penalty by the mean weight's share and the target's weighted deviation
+        deviation = max(row["s"] - row["m"] ** 2, 0.0) ** 0.5
+        fitted = LinearRegression(
+            featuresCol=FEATURES,
+            labelCol="_t",
+            weightCol="_w",
+            solver="normal",
+            regParam=alpha / 2 * deviation / row["w"],
+            elasticNetParam=0.0,
+            standardization=False,
+        ).fit(stage.transform(rows))
+        weights, bias = [float(w) for w in fitted.coefficients], float(fitted.intercept)
     _, weights, bias = best
     raw = [w / s for w, s in zip(weights, spread)]
     shift = bias - sum(w * stats[f"m{i}"] for i, w in enumerate(raw))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.layout import CONTIGUOUS as C
-from wearcurve.operators import balance, clustering, features, metrics, models, selection
+from wearcurve.operators import balance, clustering, features, labels, metrics, models, selection, splits
 from wearcurve.plans import phases
 from wearcurve.plans.registry import query
 from wearcurve.plans.staged import Tables
@@ -52,6 +52,18 @@ def _(t: Tables):
     return selection.important_features(_enriched(t), TARGET, "correlation", 5)
 
 
+@query(
+    "F3_top_correlated_sensors",
+    ["feature"],
+    ["score"],
+    "SELECT * FROM (" + " UNION ALL ".join(f"SELECT 'sensor_{i}' AS feature, corr(sensor_{i}, n - time_cycles) AS score FROM (SELECT *, max(time_cycles) OVER (PARTITION BY unit_number) AS n FROM l)" for i in range(1, 5)) + ") ORDER BY score DESC LIMIT 3",
+    "l",
+)
+def _(t: Tables):
+    rows = labels.train_rul(t.lines, C)
+    return selection.top_features(selection.correlations(rows, features.sensors(rows)), 3)
+
+
 def _anova_sql(names: list[str], label: str, table: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, coalesce((sum(n * pow(m - g, 2)) / (count(*) - 1)) / nullif(sum(n * v) / (sum(n) - count(*)), 0), 0) AS score FROM "
@@ -210,8 +222,6 @@ def _(t: Tables):
 
 @query("I11_hyper_parameter_search", ["params"], ["score"])
 def _(t: Tables):
-    from wearcurve.operators import splits
-
     rows = tb.materialize(splits.stratified_split(t.labelled, "true_stage", KEY), "search")
     space = {"n_estimators": [5, 10], "max_depth": [3, 6], "min_samples_split": [5, 10], "max_features": ["sqrt", "log2"]}
     return models.search_classifier(
@@ -351,8 +361,9 @@ def _(t: Tables):
 @query("M4_time_predictions", (), _QUALITY)
 def _(t: Tables):
     rows = t.labelled.select(*KEY, "setting_1", *S, "RUL", "predicted_stage")
-    even = F.col("unit_number") % 4
-    return phases.predict_times(rows.where(even > 0), rows.where(even == 0), C, trees=30, boosting_rounds=20).metrics
+    parted = tb.materialize(splits.unit_holdout(rows, C), "holdout")
+    train, test = (parted.where(f"part = '{p}'").drop("part") for p in ("train", "test"))
+    return phases.predict_times(train, test, C, trees=30, boosting_rounds=20).metrics
 
 
 @query("M6_run_all_phases", ["units_with_high_risk", "total_units", "total_high_risk_alerts"], ["mean_risk_score", "high_risk_threshold"])
@@ -360,7 +371,7 @@ def _(t: Tables):
     from wearcurve.plans.catalogue_series import _as_lines, _wide
 
     root = tb.scratch_path(t.spark, "fleet")
-    wide = _wide(t.series).where("unit_number % 4 = 0")
+    wide = _wide(t.series)
     units = wide.groupBy("unit_number").agg(F.lit("20 ").alias("value"))
     for split in ("train", "test"):
         _as_lines(wide).write.text(f"{root}/{split}/{split}_FD001.txt")

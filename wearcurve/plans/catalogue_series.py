@@ -247,9 +247,28 @@ def _register_scalers():
 _register_scalers()
 
 
-@query("B9_scale_unseen_units", KEY, S, "SELECT unit_number, time_cycles, " + ", ".join(f"({c} - coalesce(a.lo_{c}, f.lo_{c})) / (coalesce(a.hi_{c}, f.hi_{c}) - coalesce(a.lo_{c}, f.lo_{c})) AS {c}" for c in S) + " FROM u LEFT JOIN (SELECT unit_number, " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in S) + " FROM u WHERE unit_number % 3 > 0 GROUP BY 1) a USING (unit_number), (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in S) + " FROM u WHERE unit_number % 3 > 0) f", "u")
+_HOLDOUT = (
+    "(SELECT u.*, CASE WHEN rk <= ceil(n * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS part FROM u JOIN "
+    "(SELECT unit_number, row_number() OVER (ORDER BY md5(unit_number || ':42'), unit_number) AS rk, "
+    "count(*) OVER () AS n FROM (SELECT DISTINCT unit_number FROM u)) USING (unit_number))"
+)
+_ENDS = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in S)
+
+
+@query(
+    "B9_scale_unseen_units",
+    KEY,
+    S,
+    "SELECT unit_number, time_cycles, "
+    + ", ".join(
+        f"({c} - coalesce(a.lo_{c}, f.lo_{c})) / (coalesce(a.hi_{c}, f.hi_{c}) - coalesce(a.lo_{c}, f.lo_{c})) AS {c}" for c in S
+    )
+    + f" FROM u LEFT JOIN (SELECT unit_number, {_ENDS} FROM {_HOLDOUT} WHERE part = 'train' GROUP BY 1) a USING (unit_number), "
+    f"(SELECT {_ENDS} FROM {_HOLDOUT} WHERE part = 'train') f",
+    "u",
+)
 def _(t: Tables):
-    train = t.series.where("unit_number % 3 > 0")
+    train = splits.unit_holdout(t.series, C).where("part = 'train'")
     return preparation.scale_per_unit(t.series, S, C, "minmax", train)
 
 
@@ -293,13 +312,6 @@ def _(t: Tables):
     return preparation.variance_weights(t.series, S, C)
 
 
-_HOLDOUT = (
-    "(SELECT u.*, CASE WHEN rk <= ceil(n * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS part FROM u JOIN "
-    "(SELECT unit_number, row_number() OVER (ORDER BY md5(unit_number || ':42'), unit_number) AS rk, "
-    "count(*) OVER () AS n FROM (SELECT DISTINCT unit_number FROM u)) USING (unit_number))"
-)
-
-
 @query(
     "B15_standardise_training_matrix",
     [*KEY, "part"],
@@ -580,11 +592,17 @@ def _(t: Tables):
     return features.add_rolling(t.lines, _LS, C)
 
 
-@query("E3_rolling_of_sampled_rows", KEY, _rolling_names(["sensor_1"], (5,), *_R), _rolling_sql("(SELECT * FROM u WHERE (unit_number * 31 + time_cycles * 17) % 5 < 3)", ["sensor_1"], (5,), *_R), "u")
+_SAMPLED = (
+    "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY unit_number ORDER BY "
+    "md5(unit_number || ':' || time_cycles || ':42'), time_cycles) AS rk, count(*) OVER (PARTITION BY unit_number) AS n FROM u) "
+    "WHERE rk <= round_even(n * CAST(0.6 AS DOUBLE), 0))"
+)
+
+
+@query("E3_rolling_of_sampled_rows", KEY, _rolling_names(S, (5,), *_R), _rolling_sql(_SAMPLED, S, (5,), *_R), "u")
 def _(t: Tables):
     # cycles are no longer contiguous: row positions are counted
-    thinned = t.series.where("(unit_number * 31 + time_cycles * 17) % 5 < 3")
-    return features.add_rolling(thinned, ["sensor_1"], C.but(contiguous=False), (5,))
+    return features.add_rolling(splits.unit_sample(t.series, C), S, C.but(contiguous=False), (5,))
 
 
 _R4 = ("{c}_roll_mean", "{c}_roll_std")
@@ -636,9 +654,9 @@ def _(t: Tables):
     return features.add_crossovers(t.series, ["sensor_1"], C)
 
 
-@query("E8_row_positions", [*KEY, "row_in_unit", "unit_rows"], (), "SELECT unit_number, time_cycles, row_number() OVER w AS row_in_unit, count(*) OVER (PARTITION BY unit_number) AS unit_rows FROM (SELECT * FROM u WHERE sensor_2 < 60) " + _W, "u")
+@query("E8_row_positions", [*KEY, "row_in_unit", "unit_rows"], (), "SELECT unit_number, time_cycles, row_number() OVER w AS row_in_unit, count(*) OVER (PARTITION BY unit_number) AS unit_rows FROM " + _SAMPLED + " " + _W, "u")
 def _(t: Tables):
-    return features.row_positions(t.series.where("sensor_2 < 60"), C.but(contiguous=False))
+    return features.row_positions(splits.unit_sample(t.series, C), C.but(contiguous=False))
 
 
 @query("E9_sequences", ["unit_number", "end_cycle"], ["first_1", "last_2", "total", "target"], """SELECT unit_number, time_cycles AS end_cycle,
@@ -790,7 +808,14 @@ def _(t: Tables):
     return splits.row_sample(t.series, 500, KEY)
 
 
-@query("L8_weighted_bootstrap", KEY + ["draws"])
+_POISSON_SQL = """WITH b AS (SELECT unit_number, time_cycles, sensor_1 * (SELECT count(*) FROM u) / (SELECT sum(sensor_1) FROM u) AS m,
+    ('0x' || substr(md5(unit_number || ':' || time_cycles || ':42'), 1, 13))::BIGINT / pow(16, 13) AS x FROM u),
+  c AS (SELECT unit_number, time_cycles, x, sum(exp(j * ln(m) - lgamma(j + 1) - m)) OVER (PARTITION BY unit_number, time_cycles ORDER BY j) AS c
+    FROM b, range(0, 400) g(j) WHERE j <= 16 + 8 * ceil(m))
+  SELECT unit_number, time_cycles, CAST(count(*) FILTER (WHERE c <= x) AS INT) AS draws FROM c GROUP BY 1, 2 HAVING draws > 0"""
+
+
+@query("L8_weighted_bootstrap", [*KEY, "draws"], (), _POISSON_SQL, "u")
 def _(t: Tables):
     return splits.weighted_bootstrap(t.series, "sensor_1", KEY)
 
