@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wearcurve.functions import risk as rx
@@ -142,12 +143,13 @@ def _(t: Tables):
 
 # --- K: risk -----------------------------------------------------------------------------------
 
-_STAGE, _TIME = F.col("predicted_stage"), F.col("predicted_time_to_next_stage")
+def _stage_and_time() -> tuple[Column, Column]:
+    return F.col("predicted_stage"), F.col("predicted_time_to_next_stage")
 
 
 @query("K1_failure_probability", KEY, ["failure_probability"], "SELECT * FROM s0", "s")
 def _(t: Tables):
-    return t.labelled.select(*KEY, rx.failure_probability(_STAGE).alias("failure_probability"))
+    return t.labelled.select(*KEY, rx.failure_probability(_stage_and_time()[0]).alias("failure_probability"))
 
 
 _PROBABILITY = "CASE predicted_stage WHEN 0 THEN 0.1 WHEN 1 THEN 0.3 WHEN 2 THEN 0.5 WHEN 3 THEN 0.8 WHEN 4 THEN 1.0 ELSE 0 END::DOUBLE"
@@ -156,17 +158,17 @@ _FIXED_TIME = "CASE WHEN predicted_stage >= 4 THEN 0 ELSE greatest(0, predicted_
 
 @query("K2_stage_probability", KEY, ["probability"], f"SELECT unit_number, time_cycles, {_PROBABILITY} AS probability FROM p", "p")
 def _(t: Tables):
-    return t.labelled.select(*KEY, rx.stage_probability(_STAGE).alias("probability"))
+    return t.labelled.select(*KEY, rx.stage_probability(_stage_and_time()[0]).alias("probability"))
 
 
 @query("K3_time_to_failure", KEY, ["time_to_failure"], "SELECT * FROM s0", "s")
 def _(t: Tables):
-    return t.labelled.select(*KEY, rx.time_to_failure(_STAGE, _TIME).alias("time_to_failure"))
+    return t.labelled.select(*KEY, rx.time_to_failure(*_stage_and_time()).alias("time_to_failure"))
 
 
 @query("K4_time_to_failure_fixed", KEY, ["time_to_failure"], f"SELECT unit_number, time_cycles, {_FIXED_TIME} AS time_to_failure FROM p", "p")
 def _(t: Tables):
-    return t.labelled.select(*KEY, rx.time_to_failure_fixed(_STAGE, _TIME).alias("time_to_failure"))
+    return t.labelled.select(*KEY, rx.time_to_failure_fixed(*_stage_and_time()).alias("time_to_failure"))
 
 
 @query("K5_K6_row_scores", KEY, ["raw_risk_score", "urgency_score"], "SELECT * FROM s1", "s")

@@ -788,7 +788,7 @@ def _(t: Tables):
     return splits.unit_holdout(t.series, C)
 
 
-@query("L4_unit_holdout_of_sampled_units", [*KEY, "part"], (), f"SELECT unit_number, time_cycles, CASE WHEN rk <= 8 THEN 'test' ELSE 'train' END AS part FROM u JOIN {_UNIT_RANK} USING (unit_number) WHERE rk <= 40", "u")
+@query("L4_unit_holdout_of_sampled_units", [*KEY, "part"], (), f"SELECT unit_number, time_cycles, CASE WHEN rk <= ceil(least(n, 40) * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS part FROM u JOIN {_UNIT_RANK} USING (unit_number) WHERE rk <= 40", "u")
 def _(t: Tables):
     return splits.unit_holdout(t.series, C, sample_units=40)
 
