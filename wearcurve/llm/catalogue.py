@@ -21,6 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    from wearcurve.llm import simhash
+
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document holds of the benchmark."""
+    from wearcurve.llm import decontam
+
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the 32k piece vocabulary with an end id, and the text they decode to."""
     from wearcurve.llm import pieces
@@ -51,8 +74,96 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+#: (action, host, path) of the query's rules.
+RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's address."""
+    from wearcurve.llm import urls
+
+    judged = urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_sentencepiece, op7_token_counts)
+    f.__name__: f for f in (op3_simhash, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter)
 }
 
-SQL: dict[str, str] = {}
+#: Contamination by brute force: all windows of all documents against all windows of all items.
+_OP5 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, win, len(win) AS size FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: w[i:i + 12])) AS win
+    FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM bw),
+hit AS (
+  SELECT rid, s, dw.size, bw.item_id FROM (
+    SELECT rid, size, s, w[s:s + size - 1] AS win FROM (
+      SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, sizes WHERE len(w) >= size)) dw
+  JOIN bw ON bw.size = dw.size AND bw.win = dw.win),
+covered AS (
+  SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(s, s + size)) AS pos FROM hit) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
+"""
+
+#: Rules by their text, aliases by reachability over the links in the pages.
+_OP8 = r"""
+WITH RECURSIVE p AS (
+  SELECT row_number() OVER () AS rid, page_id, html,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+n AS (
+  SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM p),
+r(rule, action, h, p) AS (VALUES ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'),
+  ('example.org/en/1', 'block', 'example.org', '/en/1'), ('com/fr/', 'allow', 'com', '/fr/'), ('com/de/', 'block', 'com', '/de/')),
+j AS (
+  SELECT n.*, CASE WHEN host <> '' THEN host || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END END AS node,
+    (SELECT arg_max(rule, length(rule)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule
+  FROM n),
+v AS (SELECT j.*, r.action FROM j LEFT JOIN r USING (rule)),
+t AS (
+  SELECT node AS a, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
+      lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')), lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
+      lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')), lambda x: regexp_extract(x, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)))) AS link
+  FROM v WHERE node IS NOT NULL),
+u AS (SELECT a, CASE WHEN strpos(link, '://') > 0 THEN substr(link, strpos(link, '://') + 3) ELSE '' END AS rest FROM t),
+x AS (
+  SELECT a, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h,
+    regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS tail FROM u),
+e AS (SELECT DISTINCT a, h || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END AS b FROM x WHERE h <> ''),
+both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+named AS (
+  SELECT node, (SELECT arg_max(action, length(rule)) FROM r
+    WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS action
+  FROM (SELECT DISTINCT a AS node, regexp_extract(a, '^[^/]*') AS host, regexp_extract(a, '^[^/]*([^?]*)', 1) AS path FROM both_ways)),
+blocked AS (SELECT DISTINCT reach.a AS node FROM reach JOIN named ON reach.b = named.node WHERE named.action = 'block')
+SELECT page_id, host, path, rule,
+  CASE WHEN action IS NOT NULL THEN action WHEN node IN (SELECT node FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
+FROM v
+"""
+
+SQL: dict[str, str] = {"op5_decontamination": _OP5, "op8_url_filter": _OP8}
