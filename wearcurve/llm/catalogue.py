@@ -92,8 +92,26 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: The id that ends a document in the id store.
+END_ID = 0
+
+
+def op10_idstore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, read back from a new store by key."""
+    from wearcurve.llm import idstore, token_counts
+
+    docs = table(spark, sf_dir, "documents")
+    store = idstore.write_store(docs, token_counts.load_vocabulary(tokenizer_path("byte")), END_ID)
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))
+    keys = docs.groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("n")).select("key", copies.alias("copy"))
+    found = idstore.look_up(keys, store)
+    return found.select(
+        F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), idstore.crc32_wide(F.col("raw"), store.width).alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_simhash, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter)
+    f.__name__: f for f in (op3_simhash, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op10_idstore)
 }
 
 #: Contamination by brute force: all windows of all documents against all windows of all items.

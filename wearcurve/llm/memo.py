@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 #: Entries of one generation of a memo. A full generation becomes the old one and the old one goes, so a worker's
 #: memory stays bounded whatever the texts hold, and what is used often stays.
-LIMIT = 250_000
+LIMIT = 500_000
 
 
 class Memo(dict):
