@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every vector whose id is divisible by 100."""
+    from wearcurve.llm import ann
+
+    found = ann.nearest(table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def _held_out(id: str) -> Column:
     return F.crc32(F.col(id).cast("string")) % 5 == 0
 
@@ -134,6 +142,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more every document is like the documents of good quality than like all documents."""
+    from wearcurve.llm import crossent
+
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
+    models = crossent.fit(docs.select("doc_id", "text").join(good, "doc_id", "left"), F.col("good"))
+    scored = docs.select("doc_id", crossent.score("text", models, spark).alias("s"))
+    return scored.select("doc_id", "s.n_tokens", "s.target_loss", "s.background_loss", F.col("s.difference").alias("score"))
+
+
 #: The id that ends a document in the id store.
 END_ID = 0
 
@@ -153,7 +172,7 @@ def op10_idstore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op10_idstore)
+    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore)
 }
 
 #: Contamination by brute force: all windows of all documents against all windows of all items.

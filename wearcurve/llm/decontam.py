@@ -56,13 +56,20 @@ def windows(items: DataFrame, id: str = "item_id", text: str = "text") -> DataFr
     return cut.select("item", F.array_join("w", " ").alias("window"), F.size("w").alias("size")).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: str | None = None) -> DataFrame:
-    """(id, n_words, n_hit, items, contaminated) of each row; ``items`` is the sorted list of item ids as strings.
+def text_key(text: Column) -> Column:
+    """The digest that stands for a text."""
+    return F.md5(F.coalesce(text, F.lit("")))
 
-    ``keep`` names one more column to return, such as a row number.
+
+def contamination(
+    docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """(id, key, n_words, n_hit, items, contaminated) of each row.
+
+    ``items`` is the sorted list of item ids as strings; ``key`` is ``text_key`` of the text.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.select(body.alias("body"), F.md5(body).alias("key"))
+    keyed = docs.select(body.alias("body"), text_key(body).alias("key"))
     of_item = materialize(windows(items, item_id, item_text), "windows")
     window = of_item.select("window", "size").distinct()
     sizes = [r[0] for r in window.select(F.least("size", F.lit(SHINGLE)).alias("s")).distinct().orderBy("s").collect()]
@@ -81,15 +88,14 @@ def contamination(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: s
 
     counted = docs.select(
         F.col(id).alias("id"),
-        *([F.col(keep).alias("kept")] if keep else []),
-        F.md5(body).alias("key"),
+        text_key(body).alias("key"),
         F.regexp_count(body, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"),
     )
     out = counted.join(by_key, "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(
         F.col("id").alias(id),
-        *([F.col("kept").alias(keep)] if keep else []),
+        "key",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

@@ -11,7 +11,7 @@ language where that is lowest.
 The model has languages x clusters x dims numbers; a fit refuses more than ``MOST_LANGUAGES``. Prediction reads the
 text alone: the nearest centroid by cosine, the first in name order of equals. Null texts and texts without a letter
 are ``und`` with score 0 and rejected. Rows with a null text, a null language or a text without a letter teach
-nothing; without any row to learn from, every text is ``und``. Repeated rows are learnt and judged as often as they come.
+nothing; without any row to learn from, every text is ``und`` and only those without a letter are rejected. Repeated rows are learnt and judged as often as they come.
 """
 
 from __future__ import annotations
@@ -162,7 +162,11 @@ class Classifier:
         import numpy as np
 
         out: list[tuple[str, float, bool]] = [(UNKNOWN, 0.0, True)] * len(texts)
-        known = [i for i, t in enumerate(texts) if t and self.langs and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        if not self.langs:
+            for i in known:
+                out[i] = (UNKNOWN, 0.0, False)
+            return out
         for at in range(0, len(known), 256):
             block = known[at : at + 256]
             prepared = [_prepared(texts[i]) for i in block]

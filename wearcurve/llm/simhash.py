@@ -125,7 +125,8 @@ def links(fingerprints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: str | None = None) -> DataFrame:
-    """(id, fingerprint, component_id) of each row; the component id is the smallest id that links reach.
+    """(id, fingerprint, component_id, group) of each row; the component id is the smallest id that links reach, the
+    group the smallest fingerprint, which tells groups apart where all ids are null.
 
     ``keep`` names one more column to return, such as a row number.
     """
@@ -137,7 +138,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", kee
     groups = connected_components(edges).withColumnRenamed("node", "fp")
     linked = materialize(groups.join(distinct, "fp"), "linked")
     least = linked.groupBy("component").agg(F.min("first").alias("least"))
-    labels = linked.join(least, "component").select("fp", "least")
-    by_print = distinct.join(labels, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    labels = linked.join(least, "component").select("fp", "component", "least")
+    by_print = distinct.join(labels, "fp", "left").select(
+        "fp", F.coalesce("least", "first").alias("component_id"), F.coalesce("component", "fp").alias("group")
+    )
     out = prints.join(by_print, "fp")
-    return out.select(F.col("id").alias(id), *kept, F.col("fp").alias("fingerprint"), "component_id")
+    return out.select(F.col("id").alias(id), *kept, F.col("fp").alias("fingerprint"), "component_id", "group")
