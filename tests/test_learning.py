@@ -59,17 +59,58 @@ def test_merging_matches_brute_force(linkage, metric):
         assert np.allclose([m[2] for m in merges], [h[2] for h in heights])
 
 
-def test_long_units_take_the_distributed_way(labelled):
-    rows = clustering.cluster_units(labelled, X, C, max_rows=60)
+def test_centroids_keep_all_clusters_of_any_unit(labelled, spark):
+    rows = clustering.cluster_units(labelled, X, C, method="centroid")
     per_unit = rows.groupBy("unit_number").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cluster").alias("k")).collect()
     sizes = {r.unit_number: r.n for r in labelled.groupBy("unit_number").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert any(n > 60 for n in sizes.values())
-    assert {r.unit_number: r.n for r in per_unit} == sizes
-    assert all(2 <= r.k <= 5 for r in per_unit)
+    assert {r.unit_number: r.n for r in per_unit} == {u: n for u, n in sizes.items() if n >= 5}
+    assert {r.k for r in per_unit} == {5}
+    # few distinct values at the ends of life, so that stretches of life share them
+    few = [(1, i, float(i % 3 if i < 90 else i % 7)) for i in range(1, 101)] + [(2, i, float(i)) for i in range(1, 6)]
+    df = spark.createDataFrame(few, "unit_number int, time_cycles int, sensor_1 double")
+    got = clustering.cluster_units(df, ["sensor_1"], C, method="centroid").groupBy("unit_number").agg(F.countDistinct("cluster")).collect()
+    assert {tuple(r) for r in got} == {(1, 5), (2, 5)}
+
+
+def test_units_of_any_length_take_the_same_way(spark):
+    rows = spark.range(1, 8001).selectExpr("IF(id <= 3000, 1, 2) unit_number", "CAST(IF(id <= 3000, id, id - 3000) AS INT) time_cycles")
+    df = rows.withColumn("sensor_1", F.floor(F.col("time_cycles") * 5 / F.when(F.col("unit_number") == 1, 3001).otherwise(5001)) * 100 + F.sin("time_cycles"))
+    for method, linkage in (("agglomerate", "single"), ("centroid", "ward")):
+        got = clustering.cluster_units(df, ["sensor_1"], C, linkage=linkage, method=method)
+        steps = F.floor((F.col("sensor_1") + 50) / 100).cast("int")
+        assert got.join(df, ["unit_number", "time_cycles"]).where(F.col("cluster") != steps).count() == 0
+        assert got.count() == 8000
+    with pytest.raises(ValueError, match="no linkage"):
+        clustering.cluster_units(df, ["sensor_1"], C, linkage="single", method="centroid")
+    with pytest.raises(Exception, match="too many to merge"):
+        clustering.cluster_units(df, ["sensor_1"], C, max_rows=4000).count()
+
+
+def test_quality_of_huge_cells(spark):
+    conf = spark.createDataFrame([(0, 0, 4_000_000_000), (1, 1, 4_000_000_000)], "true int, pred int, n long")
+    row = metrics.cluster_quality(conf).first()
+    assert row.gini_index == 0 and row.purity == 1
+
+
+def test_centroids_in_chunks(spark):
+    centres = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(25)], "label int, centroid array<double>")
+    rows = spark.createDataFrame([(0, [3.4, 1.0]), (1, [3.5, 0.0]), (2, [99.0, 0.0])], "id int, v array<double>")
+    for chunk in (1000, 4):
+        got = clustering.nearest_centroid(rows, "v", centres, "label", chunk=chunk).orderBy("id").collect()
+        assert [r.nearest for r in got] == [3, 3, 24]
+
+
+def test_ensemble_weights_are_chosen(spark):
+    df = spark.createDataFrame([(1.0, 1.5, 2.0)], "y double, pred_a double, pred_b double")
+    by = lambda w: {r.model: r.weight for r in models.ensemble_weights(df, "y", ["a", "b"], w).collect()}
+    assert by("equal") == {"a": 0.5, "b": 0.5} and by({"a": 3, "b": 1}) == {"a": 0.75, "b": 0.25}
+    assert by("inverse_mse")["a"] == pytest.approx(0.8)
+    with pytest.raises(ValueError):
+        by("other")
 
 
 def test_merge_trees_reject_long_units(labelled):
-    with pytest.raises(Exception, match="too long"):
+    with pytest.raises(Exception, match="too many to merge"):
         clustering.dendrograms(labelled, X, C, max_rows=10).count()
 
 
@@ -154,7 +195,7 @@ def test_ensemble(spark, labelled):
     out = ensemble.predict(labelled, "_p").first()
     assert out._p == pytest.approx(sum(weights[m] * out[f"pred_{m}"] for m in weights))
     few = labelled.limit(50)
-    equal = models.Ensemble([ridge, forest]).fit(few, "time_to_next_stage")
+    equal = models.Ensemble([ridge, forest]).fit(few, "time_to_next_stage", weights="equal")
     assert {r.weight for r in equal.weights.collect()} == {0.5}
     with pytest.raises(ValueError):
         models.Ensemble([]).fit(labelled, "time_to_next_stage")
@@ -207,3 +248,37 @@ def test_stages_cover_the_sampled_rows(labelled):
     scores = phases.evaluate_stages(staged.rows, C.but(contiguous=False))
     assert scores.where("accuracy BETWEEN 0 AND 1 AND purity > 0").count() == 15
     assert set(metrics.QUALITY) < set(scores.columns)
+
+
+def test_run_of_all_phases(spark, tmp_path, labelled):
+    from pyspark.ml import PipelineModel
+
+    from wearcurve.plans.catalogue_series import _as_lines, _wide
+
+    wide = _wide(Tables(spark, "/root/testdata/sf0.001").series)
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    units = wide.select("unit_number").distinct().count()
+    for dataset in ("FD001", "FD003"):
+        for split in ("train", "test"):
+            _as_lines(wide).write.text(f"{root}/{split}/{split}_{dataset}.txt")
+        spark.createDataFrame([("20 ",)] * units, "value string").coalesce(1).write.text(f"{root}/RUL/RUL_{dataset}.txt")
+    small = {"params": {"n_estimators": 3, "max_depth": 4}, "top_k": 8}
+    quick = {"trees": 3, "boosting_rounds": 2}
+    runs, compared = phases.run_datasets(spark, root, class_options=small, time_options=quick, output_dir=out)
+    assert {r.dataset_id for r in compared.collect()} == {"FD001", "FD003"}
+    first = runs["FD001"]
+    assert {"unit_metrics", "fold_metrics", "average_metrics", "class_confusion", "feature_importance", "regression_stage_metrics", "model_rmse", "risk_thresholds", "stage_model"} <= set(first.saved)
+    assert first.stages.rows.count() == wide.count()  # no row is left out
+    # the saved model takes rows as they are
+    raw = phases.classification_features(spark.read.parquet(first.saved["degradation_stages"]), C.but(contiguous=False))
+    got = models.classify(PipelineModel.load(first.saved["stage_model"]), raw, "again")
+    test = spark.read.parquet(first.saved["test_with_preds"]).select("unit_number", "time_cycles", "predicted_stage")
+    both = got.join(test, ["unit_number", "time_cycles"])
+    assert both.count() == test.count() and both.where("again != predicted_stage").count() == 0
+    # one phase alone from the tables of the run before
+    again = phases.run(spark, root, "FD001", phase=4, output_dir=out, resume=True, risk_method="calibrated_minmax", risk_options={"thresholds": {"high": 0.9}})
+    assert again.stages is None and again.risk.thresholds.first().high == 0.9
+    # the test split with the RUL file, and a logistic model with its preset
+    other = phases.run(spark, root, "FD003", phase=2, subset="test", class_options={"model_type": "logistic_regression", "top_k": 5})
+    assert other.stages.rows.selectExpr("min(RUL)").first()[0] == 20
+    assert other.classification.model.stages[-1].getMaxIter() == 1000

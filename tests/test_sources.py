@@ -116,3 +116,20 @@ def test_missing_readings_become_null(spark, tmp_path):
     write(path, line(1, 1).replace("0.5", "NaN", 1))
     row = text.read_series(spark, path).first()
     assert row.setting_1 is None and row.setting_2 == 1.5
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_dir(Session())

@@ -23,10 +23,13 @@ LINKAGES = ("single", "complete", "average", "ward")
 # Fixed values
 N_CLUSTERS = 5
 
-# Largest unit merged row by row: its distance matrix takes 128 MB in one task. Larger units are
-# clustered by the distributed rounds of ``_cluster_large_units``.
-MAX_ROWS = 4096
-_ROUNDS = 12
+METHODS = ("agglomerate", "centroid")
+
+# Largest unit that can be merged bottom-up: its distance matrix takes 512 MB in one task.
+MAX_ROWS = 8192
+# Centroid rounds end when no centre moves by more than this share of the features' spread.
+TOLERANCE = 1e-6
+_MOST_ROUNDS = 200
 
 
 def _check(linkage: str, metric: str) -> None:
@@ -126,8 +129,13 @@ def _unit_groups(df: DataFrame, features: Sequence[str], layout: Layout) -> Data
     return df.select(*layout.unit, F.col(layout.cycle).alias("_cycle"), vector.alias("_x"))
 
 
-def _sized(df: DataFrame, layout: Layout) -> DataFrame:
-    return attach(df, layout, _rows=F.count(F.lit(1)))
+def _long_enough(df: DataFrame, layout: Layout, n_clusters: int, max_rows: int | None) -> DataFrame:
+    """Rows of units with at least ``n_clusters`` rows; a unit of more than ``max_rows`` fails the job."""
+    sized = attach(df, layout, _rows=F.count(F.lit(1))).where(F.col("_rows") >= n_clusters)
+    if max_rows is not None:
+        message = f"a unit has more than {max_rows} rows, too many to merge bottom-up: use method='centroid'"
+        sized = sized.where(F.when(F.col("_rows") > max_rows, F.raise_error(F.lit(message))).otherwise(True))
+    return sized
 
 
 def cluster_units(
@@ -137,19 +145,25 @@ def cluster_units(
     n_clusters: int = N_CLUSTERS,
     linkage: str = "ward",
     metric: str = "euclidean",
+    method: str = "agglomerate",
     max_rows: int = MAX_ROWS,
-    large_units: bool = True,
 ) -> DataFrame:
     """(unit…, cycle, cluster): each unit's rows in ``n_clusters`` clusters; shorter units are skipped.
 
-    Units of up to ``max_rows`` rows are merged bottom-up, one group per unit. Longer ones, which no
-    single task could hold, are split by distributed centroid rounds that start from equal stretches of
-    the unit's life; ``large_units=False`` leaves that part out of the plan when no unit is that long.
+    The caller chooses one method for all units. ``agglomerate`` merges rows bottom-up by ``linkage``, one
+    group per unit, and fails if a unit has more than ``max_rows`` rows. ``centroid`` takes units of any
+    length: distributed centroid rounds, which start from equal stretches of each unit's life and go on
+    until no centre moves; it has no linkage. Clusters are numbered by first row or by stretch.
     """
     _check(linkage, metric)
-    sized = _sized(df, layout).where(F.col("_rows") >= n_clusters)
-    unit_fields = [df.schema[c] for c in layout.unit]
-    small = _unit_groups(sized.where(F.col("_rows") <= max_rows), features, layout)
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}: use one of {METHODS}")
+    if method == "centroid":
+        if linkage != "ward":
+            raise ValueError("method 'centroid' has no linkage: leave it at its default")
+        return _cluster_by_centroids(_long_enough(df, layout, n_clusters, None), features, layout, n_clusters, metric)
+    from pyspark.sql import types as T
+
     names, cycle = list(layout.unit), layout.cycle
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
@@ -160,16 +174,9 @@ def cluster_units(
         out["cluster"] = labels.astype("int32")
         return out
 
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*unit_fields, df.schema[layout.cycle], T.StructField("cluster", T.IntegerType())])
-    merged = spread_groups(small, names).groupBy(*names).applyInPandas(solve, schema)
-    if not large_units:
-        return merged
-    large = sized.where(F.col("_rows") > max_rows).drop("_rows")
-    if large.isEmpty():
-        return merged
-    return merged.unionByName(_cluster_large_units(large, features, layout, n_clusters, metric).select(*merged.columns))
+    schema = T.StructType([*[df.schema[c] for c in names], df.schema[cycle], T.StructField("cluster", T.IntegerType())])
+    rows = _unit_groups(_long_enough(df, layout, n_clusters, max_rows), features, layout)
+    return spread_groups(rows, names).groupBy(*names).applyInPandas(solve, schema)
 
 
 def dendrograms(
@@ -181,16 +188,13 @@ def dendrograms(
     metric: str = "euclidean",
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """(unit…, step, a, b, height) for units of up to ``max_rows`` rows; a and b are first cycles.
+    """(unit…, step, a, b, height) of bottom-up merging; a and b are first cycles.
 
-    A merge tree of a longer unit cannot be built without all its pair distances: such a unit fails
-    the job rather than being cut.
+    Like ``agglomerate``, it fails if a unit has more than ``max_rows`` rows.
     """
     _check(linkage, metric)
     from pyspark.sql import types as T
 
-    sized = _sized(df, layout).where(F.col("_rows") >= n_clusters)
-    guard = F.when(F.col("_rows") > max_rows, F.raise_error(F.lit("a unit is too long for a merge tree"))).otherwise(True)
     names = list(layout.unit)
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
@@ -208,47 +212,68 @@ def dendrograms(
     fields = [T.StructField("step", T.IntegerType())]
     fields += [T.StructField(c, df.schema[layout.cycle].dataType) for c in ("a", "b")]
     schema = T.StructType([*[df.schema[c] for c in names], *fields, T.StructField("height", T.DoubleType())])
-    return spread_groups(_unit_groups(sized.where(guard), features, layout), names).groupBy(*names).applyInPandas(solve, schema)
+    rows = _unit_groups(_long_enough(df, layout, n_clusters, max_rows), features, layout)
+    return spread_groups(rows, names).groupBy(*names).applyInPandas(solve, schema)
 
 
-def _cluster_large_units(
-    df: DataFrame, features: Sequence[str], layout: Layout, k: int, metric: str, rounds: int = _ROUNDS
-) -> DataFrame:
-    """Centroid rounds for all long units together.
+def _cluster_by_centroids(df: DataFrame, features: Sequence[str], layout: Layout, k: int, metric: str) -> DataFrame:
+    """Centroid rounds for all units together, until no centre moves.
 
     A round joins every row to its unit's centroids on (unit, block) and averages again. Only the
     centroids, k per unit, change between rounds; they are written to the shared folder, so that a
-    round's plan does not contain the rounds before it.
+    round's plan does not contain the rounds before it. A cluster that loses all its rows starts anew at
+    the unit's row that is farthest from its centre, so a unit with k distinct rows keeps k clusters.
     """
     from wearcurve.sources.tables import materialize
 
     vector = F.array(*[F.col(c).cast("double") for c in features])
-    rows = attach(positions(df, layout), layout, _rows=F.count(F.lit(1)))
+    rows = positions(df, layout)
     start = F.floor((F.col("_pos") - 1) * k / F.col("_rows")).cast("int")
-    rows = materialize(
-        rows.select(*layout.unit, layout.cycle, vector.alias("_x"), start.alias("cluster")), "large-units"
-    )
+    rows = materialize(rows.select(*layout.unit, layout.cycle, vector.alias("_x"), start.alias("cluster")), "unit-rows")
     width = len(features)
-    centres = materialize(_unit_centres(rows, width, layout), "centres")
-    for _ in range(rounds - 1):
+    spread = rows.agg(*[F.stddev_pop(F.col("_x")[j]) for j in range(width)]).first()
+    limit = TOLERANCE * (sum((s or 0.0) ** 2 for s in spread) ** 0.5 or 1.0)
+    centres = materialize(_unit_centres(rows.withColumn("_d", F.lit(0.0)), width, layout, k), "centres")
+    for _ in range(_MOST_ROUNDS):
         moved = _to_nearest(rows, centres, layout, metric)
-        centres = materialize(_unit_centres(moved, width, layout), "centres")
-    return _to_nearest(rows, centres, layout, metric).drop("_x")
+        after = materialize(_unit_centres(moved, width, layout, k), "centres")
+        if not _moves(centres, after, layout, limit):
+            return _to_nearest(rows, after, layout, metric).drop("_x", "_d")
+        centres = after
+    raise RuntimeError(f"centres still move after {_MOST_ROUNDS} rounds")
+
+
+def _moves(before: DataFrame, after: DataFrame, layout: Layout, limit: float) -> bool:
+    """Whether any centre of any unit moved by more than ``limit``."""
+    both = before.select(*layout.unit, F.col("_centres").alias("_was")).join(after, list(layout.unit))
+    gaps = F.zip_with("_was", "_centres", lambda a, b: distance(a["_c"], b["_c"], "euclidean"))
+    return (both.agg(F.max(F.array_max(gaps))).first()[0] or 0.0) > limit
 
 
-def _unit_centres(rows: DataFrame, width: int, layout: Layout) -> DataFrame:
-    """(unit…, block range, centres): the mean vector of each cluster of a unit as one sorted array."""
+def _unit_centres(rows: DataFrame, width: int, layout: Layout, k: int) -> DataFrame:
+    """(unit…, block range, centres): the mean vector of each cluster of a unit as one array by cluster.
+
+    Clusters without rows get the unit's rows that are farthest from their centres (column ``_d``).
+    """
     blocked = layout.with_block(rows)
     means = blocked.groupBy(*layout.unit, "cluster").agg(
         F.array(*[F.avg(F.col("_x")[j]) for j in range(width)]).alias("_c"),
+        F.max(F.struct("_d", "_x")).alias("_far"),
         F.min(BLOCK).alias("_lo"),
         F.max(BLOCK).alias("_hi"),
     )
-    return means.groupBy(*layout.unit).agg(
-        F.sort_array(F.collect_list(F.struct("cluster", "_c"))).alias("_centres"),
+    units = means.groupBy(*layout.unit).agg(
+        F.map_from_entries(F.collect_list(F.struct("cluster", "_c"))).alias("_by"),
+        F.reverse(F.sort_array(F.collect_list("_far"))).alias("_fars"),
         F.min("_lo").alias("_lo_blk"),
         F.max("_hi").alias("_hi_blk"),
     )
+    every = F.sequence(F.lit(0), F.lit(k - 1))
+    empty = F.filter(every, lambda c: ~F.map_contains_key("_by", c))
+    # the farthest rows of different clusters, one for each empty cluster as far as they go
+    spare = lambda c: F.try_element_at("_fars", F.array_position(empty, c).cast("int"))["_x"]
+    filled = F.transform(every, lambda c: F.struct(c.alias("cluster"), F.coalesce(F.try_element_at("_by", c), spare(c)).alias("_c")))
+    return units.select(*layout.unit, F.filter(filled, lambda s: s["_c"].isNotNull()).alias("_centres"), "_lo_blk", "_hi_blk")
 
 
 def _to_nearest(rows: DataFrame, centres: DataFrame, layout: Layout, metric: str) -> DataFrame:
@@ -256,9 +281,8 @@ def _to_nearest(rows: DataFrame, centres: DataFrame, layout: Layout, metric: str
     scored = F.transform(
         "_centres", lambda c: F.struct(distance(F.col("_x"), c["_c"], metric).alias("d"), c["cluster"].alias("cluster"))
     )
-    return placed.withColumn("cluster", F.array_min(scored)["cluster"]).select(
-        *layout.unit, layout.cycle, "_x", "cluster"
-    )
+    best = placed.withColumn("_best", F.array_min(scored))
+    return best.select(*layout.unit, layout.cycle, "_x", F.col("_best.cluster").alias("cluster"), F.col("_best.d").alias("_d"))
 
 
 def order_stages(
@@ -296,27 +320,31 @@ def centroids(df: DataFrame, vector: str, by: Sequence[str], width: int) -> Data
 
 
 def nearest_centroid(
-    df: DataFrame, vector: str, centres: DataFrame, label: str, metric: str = "euclidean", max_centres: int = 1000
+    df: DataFrame, vector: str, centres: DataFrame, label: str, metric: str = "euclidean", chunk: int = 1000
 ) -> DataFrame:
     """The closest centroid of each row, the first label on ties; ``centres`` is (label, centroid).
 
-    The centroids travel as one array; more than ``max_centres`` of them fail the job.
+    Centroids travel as arrays of at most ``chunk``; a row keeps the best of each and of all.
     """
-    packed = centres.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("label"), "centroid"))).alias("c"))
-    checked = packed.select(
-        F.when(F.size("c") <= max_centres, F.col("c")).otherwise(
-            F.raise_error(F.lit("too many centroids for one array")).cast(packed.schema["c"].dataType)
+    from wearcurve.sources.tables import materialize
+
+    order = Window.orderBy("label")
+    listed = centres.select(F.col(label).alias("label"), "centroid")
+    numbered = materialize(listed.withColumn("_chunk", F.floor((F.row_number().over(order) - 1) / chunk)), "centroids")
+    chunks = -(-numbered.count() // chunk)
+    rows = df
+    kind = f"struct<d:double,label:{listed.schema['label'].dataType.simpleString()}>"
+    best = [F.lit(None).cast(kind)]
+    for i in range(chunks):
+        packed = numbered.where(F.col("_chunk") == i).agg(F.sort_array(F.collect_list(F.struct("label", "centroid")))).scalar()
+        rows = rows.withColumn(f"_centres{i}", packed)
+        scored = F.transform(
+            f"_centres{i}",
+            lambda c: F.struct(distance(F.col(vector), c["centroid"], metric).cast("double").alias("d"), c["label"].alias("label")),
         )
-    ).scalar()
-    rows = df.withColumn("_centres", checked)
-    scored = F.transform(
-        "_centres",
-        lambda c: F.struct(distance(F.col(vector), c["centroid"], metric).alias("d"), c["label"].alias("label")),
-    )
-    best = F.array_min(scored)
-    return rows.withColumn("_best", best).select(
-        *df.columns, F.col("_best.label").alias("nearest"), F.col("_best.d").alias("distance")
-    )
+        best.append(F.array_min(scored))
+    rows = rows.withColumn("_best", F.array_min(F.array(*best)))
+    return rows.select(*df.columns, F.col("_best.label").alias("nearest"), F.col("_best.d").alias("distance"))
 
 
 def distance_to_previous(df: DataFrame, features: Sequence[str], layout: Layout) -> DataFrame:

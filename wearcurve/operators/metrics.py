@@ -26,7 +26,8 @@ def normalized_confusion(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def class_report(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Precision, recall, F1 and support per class; 0 where a denominator is 0."""
-    n = F.col("n")
+    # squares of counts may exceed 64 bits
+    n = F.col("n").cast("double")
     sides = F.array(
         F.struct(
             F.col("true").alias("label"),
@@ -75,7 +76,8 @@ def performance(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def cluster_quality(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Size-weighted Gini impurity and entropy of the clusters, purity, inverse purity and their F."""
-    n = F.col("n")
+    # squares of counts may exceed 64 bits
+    n = F.col("n").cast("double")
     sides = F.array(
         F.struct(F.lit("pred").alias("side"), F.col("pred").cast("long").alias("g"), n.alias("n")),
         F.struct(F.lit("true").alias("side"), F.col("true").cast("long").alias("g"), n.alias("n")),
@@ -86,8 +88,8 @@ def cluster_quality(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .groupBy(*by, "side", "g")
         .agg(
             F.sum("n").alias("_n"),
-            F.sum(n * n).cast("double").alias("_n2"),
-            F.sum(n * F.log2(n.cast("double"))).alias("_nlog"),
+            F.sum(n * n).alias("_n2"),
+            F.sum(n * F.log2(n)).alias("_nlog"),
             F.max("n").alias("_top"),
         )
     )

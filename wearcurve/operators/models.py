@@ -80,8 +80,9 @@ def forest_classifier(params: Mapping, label: str, weight: str | None = None, se
 
 
 def logistic_classifier(params: Mapping, label: str, weight: str | None = None) -> LogisticRegression:
+    """``iterations`` bounds the solver's; it finds its own step, so a preset's ``learning_rate`` has no use."""
     model = LogisticRegression(
-        featuresCol=FEATURES, labelCol=label, family="multinomial", maxIter=params.get("max_iter", 100)
+        featuresCol=FEATURES, labelCol=label, family="multinomial", maxIter=params.get("max_iter", params.get("iterations", 100))
     )
     return model.setWeightCol(weight) if weight else model
 
@@ -167,9 +168,9 @@ def search_classifier(
     row_key: Sequence[str],
     store: str,
     candidates: Sequence[Mapping] | None = None,
-    validation_rows: int = 1000,
+    validation_rows: int | None = None,
 ) -> DataFrame:
-    """Score each setting by weighted F1 on a fixed validation sample: (params, score).
+    """Score each setting by weighted F1 on the validation rows, or on so many of them: (params, score).
 
     Scores are appended to the store after each fit and settings found there are not fitted again.
     """
@@ -183,7 +184,7 @@ def search_classifier(
         todo = {r["params"] for r in unscored(wanted, read_scores(spark, store)).collect()}
     else:
         todo = {params_key(s) for s in settings}
-    held_out = row_sample(validation, validation_rows, row_key)
+    held_out = validation if validation_rows is None else row_sample(validation, validation_rows, row_key)
     for setting in settings:
         key = params_key(setting)
         if key not in todo:
@@ -287,14 +288,15 @@ def fit_boosting(
 
 
 def fit_quantile(
-    df: DataFrame, columns: Sequence[str], target: str, quantile: float = 0.5, alpha: float = 0.1, rounds: int = 15
+    df: DataFrame, columns: Sequence[str], target: str, quantile: float = 0.5, alpha: float = 0.1, tolerance: float = 1e-3, rounds: int = 200
 ) -> Regressor:
     """Linear quantile regression by rounds of weighted least squares.
 
     Each round replaces the pinball loss by the quadratic that touches it at the current residuals:
     weight 1 / (|r| + e) and target y + (2q - 1)(|r| + e), on standardised columns. ``alpha`` is the L2
     weight of the standardised coefficients beside the mean pinball loss. The best fit seen is kept, and
-    the first one is the target's own quantile.
+    the first one is the target's own quantile. Rounds end when one lowers the best loss by less than
+    ``tolerance`` of it; the fit fails if that takes more than ``rounds``.
     """
     from wearcurve.sources.tables import materialize
 
@@ -313,7 +315,7 @@ def fit_quantile(
     weights, bias = [0.0] * len(names), float(start)
     best = (float("inf"), weights, bias)
     stage = VectorAssembler(inputCols=list(z), outputCol=FEATURES)
-    for last in [False] * rounds + [True]:
+    for _ in range(rounds):
         rows = base.withColumn("_r", F.col("_y") - _linear(list(z), weights, bias)).selectExpr(
             "*", f"abs(_r) + {floor!r}D AS _a", f"if(_r > 0, _r * {quantile!r}D, _r * {quantile - 1!r}D) AS _loss"
         )
@@ -323,8 +325,8 @@ def fit_quantile(
             "avg(_loss) AS loss", "avg(_w) AS w", "sum(_w * _t) / sum(_w) AS m", "sum(_w * _t * _t) / sum(_w) AS s"
         ).first()
         loss = row["loss"] + alpha / 2 * sum(w * w for w in weights)
-        best = min(best, (loss, weights, bias), key=lambda fit: fit[0])
-        if last:
+        gained, best = best[0] - loss, min(best, (loss, weights, bias), key=lambda fit: fit[0])
+        if gained <= tolerance * abs(best[0]):
             break
         # Spark divides the penalty by the mean weight's share and the target's weighted deviation
         deviation = max(row["s"] - row["m"] ** 2, 0.0) ** 0.5
@@ -338,6 +340,8 @@ def fit_quantile(
             standardization=False,
         ).fit(stage.transform(rows))
         weights, bias = [float(w) for w in fitted.coefficients], float(fitted.intercept)
+    else:
+        raise RuntimeError(f"the quantile fit still gains after {rounds} rounds")
     _, weights, bias = best
     raw = [w / s for w, s in zip(weights, spread)]
     shift = bias - sum(w * stats[f"m{i}"] for i, w in enumerate(raw))
@@ -370,22 +374,22 @@ def pinball(df: DataFrame, target: str, pred: str, quantile: float) -> DataFrame
     )
 
 
-def ensemble_weights(df: DataFrame, target: str, models: Sequence[str], given: Mapping[str, float] | None = None, enough: int = 100) -> DataFrame:
-    """(model, weight): inverse-MSE weights on more than ``enough`` rows, else the given or equal ones."""
+def ensemble_weights(
+    df: DataFrame, target: str, models: Sequence[str], weights: str | Mapping[str, float] = "inverse_mse"
+) -> DataFrame:
+    """(model, weight), adding up to 1: by inverse MSE, equal, or the given ones in proportion."""
+    if weights not in ("inverse_mse", "equal") and not isinstance(weights, Mapping):
+        raise ValueError(f"unknown weights {weights!r}: use 'inverse_mse', 'equal' or a mapping")
+    if weights != "inverse_mse":
+        base = {m: 1.0 if weights == "equal" else float(weights.get(m, 0.0)) for m in models}
+        total = sum(base.values())
+        return df.sparkSession.createDataFrame([(m, w / total) for m, w in base.items()], "model string, weight double")
     row = df.agg(
-        F.count(F.lit(1)).alias("_n"),
         *[F.avg(F.pow(F.col(f"pred_{m}") - F.col(target), F.lit(2.0))).alias(m) for m in models],
     )
-    base = {m: (given or {}).get(m, 0.0 if given else 1.0) for m in models}
-    total = sum(base.values())
     inverse = [1 / (F.col(m) + F.lit(1e-10)) for m in models]
     inverse_total = sum(inverse[1:], inverse[0])
-    weighted = row.select(
-        *[
-            F.when(F.col("_n") > enough, inv / inverse_total).otherwise(F.lit(base[m] / total)).alias(m)
-            for m, inv in zip(models, inverse)
-        ]
-    )
+    weighted = row.select(*[(inv / inverse_total).alias(m) for m, inv in zip(models, inverse)])
     return weighted.unpivot([], list(models), "model", "weight")
 
 
@@ -404,13 +408,13 @@ class Ensemble:
     weights: DataFrame | None = None
     names: list[str] = field(default_factory=list)
 
-    def fit(self, df: DataFrame, target: str, validation: DataFrame | None = None, given: Mapping[str, float] | None = None) -> "Ensemble":
+    def fit(self, df: DataFrame, target: str, validation: DataFrame | None = None, weights: str | Mapping[str, float] = "inverse_mse") -> "Ensemble":
         if not self.models:
             raise ValueError("an ensemble needs at least one model")
         self.names = [m.name for m in self.models]
         scored = self._score(df if validation is None else validation)
         # one row per model; fixed here so that scoring new frames does not score the training frame again
-        fitted = [(r["model"], r["weight"]) for r in ensemble_weights(scored, target, self.names, given).collect()]
+        fitted = [(r["model"], r["weight"]) for r in ensemble_weights(scored, target, self.names, weights).collect()]
         self.weights = df.sparkSession.createDataFrame(fitted, "model string, weight double")
         return self
 

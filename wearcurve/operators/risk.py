@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,11 +76,13 @@ def calibrate_risk(
     return rows.withColumn("normalized_risk_score", normal).drop("_max_t")
 
 
-def compute_scores(df: DataFrame, method: str = "urgency", by: Sequence[str] = ()) -> DataFrame:
+def compute_scores(
+    df: DataFrame, method: str = "urgency", by: Sequence[str] = (), failure_stage: int = rx.FAILURE_STAGE
+) -> DataFrame:
     if method == "urgency":
-        return score_risk(df, by)
+        return score_risk(df, by, failure_stage=failure_stage)
     if method in METHODS:
-        return calibrate_risk(df, method.removeprefix("calibrated_"), by)
+        return calibrate_risk(df, method.removeprefix("calibrated_"), by, failure_stage=failure_stage)
     raise ValueError(f"unknown risk method {method!r}: use one of {METHODS}")
 
 
@@ -97,8 +99,11 @@ def fixed_thresholds(df: DataFrame, by: Sequence[str] = (), **values: float) ->
     return row.select(*by, *[F.lit(levels[k]).alias(k) for k in ("high", "medium", "low")])
 
 
-def dynamic_thresholds(df: DataFrame, score: str, by: Sequence[str] = (), **options) -> DataFrame:
+def dynamic_thresholds(
+    df: DataFrame, score: str, by: Sequence[str] = (), defaults: Mapping[str, float] | None = None, **options
+) -> DataFrame:
     """The 85th, 60th and 30th percentiles, where strictly decreasing; the defaults elsewhere."""
+    levels = {**rx.DEFAULT_THRESHOLDS, **(defaults or {})}
     probs = rx.DYNAMIC_PERCENTILES
     table = exact_percentiles(df, [score], list(probs.values()), by, **options)
     row = table.groupBy(*by).agg(
@@ -107,7 +112,7 @@ def dynamic_thresholds(df: DataFrame, score: str, by: Sequence[str] = (), **opti
     usable = (F.col("_high") > F.col("_medium")) & (F.col("_medium") > F.col("_low"))
     return row.select(
         *by,
-        *[F.when(usable, F.col(f"_{k}")).otherwise(F.lit(rx.DEFAULT_THRESHOLDS[k])).alias(k) for k in probs],
+        *[F.when(usable, F.col(f"_{k}")).otherwise(F.lit(levels[k])).alias(k) for k in probs],
     )
 
 

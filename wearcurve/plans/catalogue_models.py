@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wearcurve.layout import CONTIGUOUS as C
 from wearcurve.operators import balance, clustering, features, labels, metrics, models, selection, splits
 from wearcurve.plans import phases
+from wearcurve.plans.catalogue_series import _UNIT_RANK
 from wearcurve.plans.registry import query
 from wearcurve.plans.staged import Tables
 from wearcurve.sources import tables as tb
@@ -173,9 +174,23 @@ def _(t: Tables):
     return heights.select("unit_number", F.size("h").cast("long").alias("merges"), F.size(falls).cast("long").alias("falls"))
 
 
-@query("I6_cluster_labels", [*KEY, "cluster"])
+# single linkage on one column leaves the widest gaps of the sorted values open
+_GAPS = """SELECT unit_number, time_cycles, CAST(dense_rank() OVER (PARTITION BY unit_number ORDER BY first) - 1 AS INT) AS cluster FROM (
+  SELECT unit_number, time_cycles, min(time_cycles) OVER (PARTITION BY unit_number, g) AS first FROM (
+    SELECT *, sum(CASE WHEN rk <= 4 THEN 1 ELSE 0 END) OVER (PARTITION BY unit_number ORDER BY sensor_2, time_cycles ROWS UNBOUNDED PRECEDING) AS g FROM (
+      SELECT *, row_number() OVER (PARTITION BY unit_number ORDER BY gap DESC NULLS LAST) AS rk FROM (
+        SELECT *, sensor_2 - lag(sensor_2) OVER (PARTITION BY unit_number ORDER BY sensor_2, time_cycles) AS gap FROM l))))"""
+
+
+@query("I6_cluster_labels", [*KEY, "cluster"], (), _GAPS, "l")
+def _(t: Tables):
+    return clustering.cluster_units(t.lines, ["sensor_2"], C, linkage="single")
+
+
+@query("I6_centroid_clusters", ["unit_number", "n", "clusters"], (), "SELECT unit_number, count(*) AS n, 5::BIGINT AS clusters FROM l GROUP BY 1", "l")
 def _(t: Tables):
-    return clustering.cluster_units(t.lines, [f"sensor_{i}" for i in (1, 3, 4)], C)
+    rows = clustering.cluster_units(t.lines, [f"sensor_{i}" for i in range(1, 5)], C, method="centroid")
+    return rows.groupBy("unit_number").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cluster").alias("clusters"))
 
 
 @query("I7_stage_order", ["unit_number", "cluster", "degradation_stage"], (), "SELECT unit_number, cluster, CAST(row_number() OVER (PARTITION BY unit_number ORDER BY avg(time_cycles), cluster) - 1 AS INT) AS degradation_stage FROM p GROUP BY 1, 2", "p")
@@ -193,46 +208,80 @@ def _embedding_columns(t: Tables) -> DataFrame:
 _EMB = [f"x{j}" for j in range(64)]
 
 
-@query("I8_logistic_regression", ["vec_id", "label", "predicted"], ["p_predicted"])
+def _judged(scored: DataFrame) -> DataFrame:
+    """Whether the class probabilities add up to 1 and the predicted class has the largest."""
+    p = F.col("class_probability")
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    return scored.withColumns({"sums_to_one": F.abs(total - 1) < 1e-9, "is_likeliest": F.get(p, F.col("predicted")) == F.array_max(p)})
+
+
+@query("I8_logistic_regression", ["vec_id", "label", "sums_to_one", "is_likeliest"], (), "SELECT vec_id, label, true AS sums_to_one, true AS is_likeliest FROM embeddings")
 def _(t: Tables):
     rows = _embedding_columns(t)
     model = models.fit_classifier(rows, _EMB, "label", "logistic_regression", models.preset("logistic_regression", 1), ["vec_id"])
-    scored = models.classify(model, rows, "predicted")
-    return scored.withColumn("p_predicted", F.col("class_probability")[F.col("predicted")])
+    return _judged(models.classify(model, rows, "predicted"))
 
 
-@query("I9_random_forest", [*KEY, "true_stage", "predicted"], ["p_predicted"])
+@query("I8_logistic_optimum", ["label", "n", "balanced"], (), "SELECT label, count(*) AS n, true AS balanced FROM embeddings GROUP BY 1")
+def _(t: Tables):
+    # where the loss of a free intercept is least, the probabilities of a class add up to its rows
+    rows = _embedding_columns(t)
+    scored = models.classify(models.fit_classifier(rows, _EMB, "label", "logistic_regression", {"iterations": 1000}), rows, "predicted")
+    each = scored.select("label", F.posexplode("class_probability").alias("k", "p"))
+    sums = each.groupBy(F.col("k").alias("label")).agg(F.sum("p").alias("expected"), F.count_if(F.col("label") == F.col("k")).alias("n"))
+    return sums.select("label", "n", (F.abs(F.col("expected") - F.col("n")) < 0.01 * F.col("n")).alias("balanced"))
+
+
+@query("I9_random_forest", [*KEY, "true_stage", "sums_to_one", "is_likeliest"], (), "SELECT unit_number, time_cycles, true_stage, true AS sums_to_one, true AS is_likeliest FROM p", "p")
 def _(t: Tables):
     rows = t.labelled.drop("predicted_stage")
     model = models.fit_classifier(rows, X, "true_stage", "random_forest", models.preset("random_forest", 1))
-    scored = models.classify(model, rows, "predicted")
-    return scored.withColumn("p_predicted", F.col("class_probability")[F.col("predicted")])
+    return _judged(models.classify(model, rows, "predicted"))
 
 
-@query("I10_feature_importance", ["model", "feature"], ["importance"])
+@query("I10_feature_importance", ["model", "features", "positive"], ["total"], "SELECT * FROM (VALUES ('random_forest splits', 3::BIGINT, true, 1.0), ('random_forest impurity', 3::BIGINT, true, 1.0), ('logistic_regression impurity', 3::BIGINT, true, 1.0)) AS v(model, features, positive, total)")
 def _(t: Tables):
     rows = t.labelled
     out = None
     for kind, how in (("random_forest", "splits"), ("random_forest", "impurity"), ("logistic_regression", "impurity")):
-        model = models.fit_classifier(rows, X, "true_stage", kind, {"n_estimators": 10, "max_depth": 6, "max_iter": 50})
-        one = models.feature_importance(model, X, how).withColumn("model", F.lit(f"{kind} {how}"))
+        model = models.fit_classifier(rows, X, "true_stage", kind, models.preset(kind, 1), KEY)
+        one = models.feature_importance(model, X, how).agg(
+            F.lit(f"{kind} {how}").alias("model"),
+            F.countDistinct("feature").alias("features"),
+            F.min(F.col("importance") >= 0).alias("positive"),
+            F.sum("importance").alias("total"),
+        )
         out = one if out is None else out.unionByName(one)
     return out
 
 
-@query("I11_hyper_parameter_search", ["params"], ["score"])
+@query("I11_hyper_parameter_search", ["params", "in_range"], (), """SELECT '{"max_depth": ' || d || ', "max_features": "' || f || '", "min_samples_split": ' || s || ', "n_estimators": ' || n || '}' AS params, true AS in_range
+  FROM (VALUES (5), (10)) AS a(d), (VALUES ('sqrt'), ('log2')) AS b(f), (VALUES (5), (10)) AS c(s), (VALUES (50), (100)) AS e(n)""")
 def _(t: Tables):
     rows = tb.materialize(splits.stratified_split(t.labelled, "true_stage", KEY), "search")
-    space = {"n_estimators": [5, 10], "max_depth": [3, 6], "min_samples_split": [5, 10], "max_features": ["sqrt", "log2"]}
-    return models.search_classifier(
+    scores = models.search_classifier(
         rows.where("part = 'train'"),
         rows.where("part = 'validation'"),
         X,
         "true_stage",
         KEY,
         tb.scratch_path(t.spark, "search-scores"),
-        models.search_candidates(space, 3),
+        models.search_candidates(n=16),
     )
+    return scores.select("params", F.col("score").between(0, 1).alias("in_range"))
+
+
+@query("I12_presets", ["model", "dataset", "params"], (), """SELECT 'random_forest' AS model, d AS dataset, '{"max_depth": ' || m || ', "min_samples_split": ' || s || ', "n_estimators": ' || n || '}' AS params
+  FROM (VALUES ('FD001', 10, 5, 50), ('FD002', 20, 10, 100), ('FD003', 12, 5, 50), ('FD004', 20, 5, 100)) AS v(d, m, s, n)
+  UNION ALL SELECT 'logistic_regression', d, '{"class_weights": "balanced", "iterations": ' || i || ', "learning_rate": ' || r || '}'
+  FROM (VALUES ('FD001', 1000, '0.01'), ('FD002', 500, '0.05'), ('FD003', 1000, '0.01'), ('FD004', 500, '0.05')) AS w(d, i, r)
+  WHERE (SELECT count(*) FROM p) > 0""", "p")
+def _(t: Tables):
+    from wearcurve.sources.text import DATASETS
+
+    found = t.labelled.select(F.lit(1)).limit(1)
+    rows = [(kind, d, tb.params_key(models.preset(kind, d))) for kind in models.PRESETS for d in DATASETS]
+    return found.select(F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, ("model", "dataset", "params"))]) for r in rows])).alias("r")).select("r.*")
 
 
 @query("A9_model_reload", ["n", "same"], (), "SELECT count(*) AS n, count(*) AS same FROM embeddings")
@@ -240,7 +289,7 @@ def _(t: Tables):
     from pyspark.ml import PipelineModel
 
     rows = _embedding_columns(t)
-    model = models.fit_classifier(rows, _EMB, "label", "logistic_regression", {"max_iter": 10})
+    model = models.fit_classifier(rows, _EMB, "label", "logistic_regression", models.preset("logistic_regression", 1), ["vec_id"])
     path = tb.scratch_path(t.spark, "model")
     model.write().overwrite().save(path)
     first = models.classify(model, rows, "a").select("vec_id", "a")
@@ -272,36 +321,41 @@ def _(t: Tables):
     return models.fit_ridge(t.labelled, S, TARGET, 1.0).predict(t.labelled, "predicted")
 
 
-def _quality(t: Tables, model: models.Regressor) -> DataFrame:
-    return metrics.regression_metrics(model.predict(t.labelled, "_pred"), TARGET, "_pred", count=True)
+def _beats_mean(t: Tables, model: models.Regressor) -> DataFrame:
+    found = metrics.regression_metrics(model.predict(t.labelled, "_pred"), TARGET, "_pred", count=True)
+    # the share of the mean's squared error that is left is 1 - r2
+    return found.select("n", (F.col("r2") > 0).alias("beats_mean"))
 
 
-_QUALITY = ["mse", "rmse", "mae", "r2", "mape"]
+_BEATS = "SELECT count(*) AS n, true AS beats_mean FROM p"
 
 
-@query("I14_random_forest_regressor", ["n"], _QUALITY)
+@query("I14_random_forest_regressor", ["n", "beats_mean"], (), _BEATS, "p")
 def _(t: Tables):
-    return _quality(t, models.fit_forest(t.labelled, X, TARGET))
+    return _beats_mean(t, models.fit_forest(t.labelled, X, TARGET))
 
 
-@query("I15_quantile_regression", ["quantile"], ["loss", "coverage"])
+@query("I15_quantile_regression", ["n", "not_above_constant"], ["quantile"], f"SELECT q AS quantile, (SELECT count({TARGET}) FROM p) AS n, true AS not_above_constant FROM (VALUES (0.1), (0.5), (0.9)) AS v(q)", "p")
 def _(t: Tables):
     out = None
     for q in (0.1, 0.5, 0.9):
         fitted = models.fit_quantile(t.labelled, X, TARGET, q, 0.0)
-        one = models.pinball(fitted.predict(t.labelled, "_pred"), TARGET, "_pred", q).withColumn("quantile", F.lit(q))
+        constant = t.labelled.agg(F.percentile(TARGET, q)).scalar()
+        rows = fitted.predict(t.labelled, "_pred").withColumn("_flat", constant)
+        loss = lambda p, q=q: F.avg(F.when(F.col(TARGET) > F.col(p), (F.col(TARGET) - F.col(p)) * q).otherwise((F.col(p) - F.col(TARGET)) * (1 - q)))
+        one = rows.agg(F.lit(q).alias("quantile"), F.count(TARGET).alias("n"), (loss("_pred") <= loss("_flat") + 1e-9).alias("not_above_constant"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
-@query("I16_prediction_interval", KEY, ["lower_bound", "upper_bound"])
+@query("I16_prediction_interval", [*KEY, "ordered"], (), "SELECT unit_number, time_cycles, true AS ordered FROM p", "p")
 def _(t: Tables):
-    return models.fit_interval(t.labelled, X, TARGET)(t.labelled)
+    return models.fit_interval(t.labelled, X, TARGET)(t.labelled).withColumn("ordered", F.col("lower_bound") <= F.col("upper_bound"))
 
 
-@query("I17_gradient_boosting", ["n"], _QUALITY)
+@query("I17_gradient_boosting", ["n", "beats_mean"], (), _BEATS, "p")
 def _(t: Tables):
-    return _quality(t, models.fit_boosting(t.labelled, X, TARGET, rounds=20))
+    return _beats_mean(t, models.fit_boosting(t.labelled, X, TARGET))
 
 
 _EDGES = "[" + ", ".join(repr(i / 256) for i in range(257)) + "]"
@@ -327,23 +381,30 @@ def _(t: Tables):
     return models.add_ensemble(t.labelled, weights, ["a", "b"])
 
 
-@query("I20_principal_components", ["vec_id"], ["component_1", "component_2", "component_3"])
+_TRACE = " + ".join(f"var_samp(embedding[{j + 1}]::DOUBLE)" for j in range(64))
+
+
+@query("I20_principal_components", ["n", "falling"], ["total_variance"], f"SELECT count(*) AS n, true AS falling, {_TRACE} AS total_variance FROM embeddings")
 def _(t: Tables):
-    return models.principal_components(_embedding_columns(t), _EMB, 3, ["vec_id"])
+    rows = models.principal_components(_embedding_columns(t), _EMB, 64, ["vec_id"])
+    variances = rows.agg(F.count(F.lit(1)).alias("n"), F.array(*[F.var_samp(f"component_{i + 1}") for i in range(64)]).alias("v"))
+    steps = F.zip_with(F.slice("v", 1, 63), F.slice("v", 2, 63), lambda a, b: a >= b - 1e-12)
+    return variances.select("n", F.forall(steps, lambda s: s).alias("falling"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total_variance"))
 
 
 # --- M2, M3, M4, M6: phases --------------------------------------------------------------------
 
 
-@query("M2_stages", ["unit_number", "n", "stages"], (), "SELECT unit_number, CAST(round_even(count(*) * CAST(0.6 AS DOUBLE), 0) AS BIGINT) AS n, 5::BIGINT AS stages FROM p GROUP BY 1", "p")
+@query("M2_stages", ["unit_number", "n", "stages"], (), "SELECT unit_number, count(*) AS n, 5::BIGINT AS stages FROM p GROUP BY 1", "p")
 def _(t: Tables):
     staged = phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C)
     return staged.rows.groupBy("unit_number").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("degradation_stage").alias("stages"))
 
 
-@query("M2_stage_profiles", ["stage", "n"], ["w_time_cycles_mean"])
+@query("M2_stage_profiles", ["stages", "n"], (), "SELECT 5::BIGINT AS stages, count(*) AS n FROM p", "p")
 def _(t: Tables):
-    return phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C).profiles
+    profiles = phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C).profiles
+    return profiles.agg(F.countDistinct("stage").alias("stages"), F.sum("n").alias("n"))
 
 
 @query("M2_stage_evaluation_by_fold", ["fold"], [*metrics.PERFORMANCE, *metrics.QUALITY])
@@ -352,18 +413,18 @@ def _(t: Tables):
     return phases.evaluate_stages(staged.rows, C.but(contiguous=False), folds=10)
 
 
-@query("M3_classification", (), ["f1", "precision", "recall"])
+@query("M3_classification", [*KEY, "degradation_stage", "sums_to_one", "is_likeliest"], (), f"SELECT unit_number, time_cycles, true_stage AS degradation_stage, true AS sums_to_one, true AS is_likeliest FROM p JOIN {_UNIT_RANK} USING (unit_number) WHERE rk <= ceil(n * CAST(0.2 AS DOUBLE))", "p")
 def _(t: Tables):
     rows = t.labelled.select(*KEY, "setting_1", *S, F.col("true_stage").alias("degradation_stage"))
-    return phases.classify_stages(rows, C, params={"n_estimators": 20, "max_depth": 8, "min_samples_split": 5}).metrics
+    return _judged(phases.classify_stages(rows, C).test.withColumn("predicted", F.col("predicted_stage")))
 
 
-@query("M4_time_predictions", (), _QUALITY)
+@query("M4_time_predictions", (), ["mse", "rmse", "mae", "r2", "mape"])
 def _(t: Tables):
     rows = t.labelled.select(*KEY, "setting_1", *S, "RUL", "predicted_stage")
     parted = tb.materialize(splits.unit_holdout(rows, C), "holdout")
     train, test = (parted.where(f"part = '{p}'").drop("part") for p in ("train", "test"))
-    return phases.predict_times(train, test, C, trees=30, boosting_rounds=20).metrics
+    return phases.predict_times(train, test, C).metrics
 
 
 @query("M6_run_all_phases", ["units_with_high_risk", "total_units", "total_high_risk_alerts"], ["mean_risk_score", "high_risk_threshold"])
@@ -376,11 +437,4 @@ def _(t: Tables):
     for split in ("train", "test"):
         _as_lines(wide).write.text(f"{root}/{split}/{split}_FD001.txt")
     units.select("value").write.text(f"{root}/RUL/RUL_FD001.txt")
-    result = phases.run(
-        t.spark,
-        root,
-        "FD001",
-        class_options={"params": {"n_estimators": 5, "max_depth": 6}, "top_k": 10},
-        time_options={"trees": 5, "boosting_rounds": 3},
-    )
-    return result.risk.metrics
+    return phases.run(t.spark, root, "FD001").risk.metrics

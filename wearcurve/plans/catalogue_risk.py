@@ -381,6 +381,16 @@ def _(t: Tables):
     return assess_risk(t.labelled).rows
 
 
+@query("M5_calibrated_risk", [*KEY, "risk_level", "maintenance_alert"], ["normalized_risk_score"], f"""SELECT *, risk_level = 'HIGH' AS maintenance_alert FROM (
+    SELECT *, CASE WHEN normalized_risk_score >= 0.7 THEN 'HIGH' WHEN normalized_risk_score >= 0.4 THEN 'MEDIUM'
+      WHEN normalized_risk_score >= 0.1 THEN 'LOW' ELSE 'NEGLIGIBLE' END AS risk_level
+    FROM (SELECT unit_number, time_cycles, greatest(0, pf * (mt - tf) / mt) AS normalized_risk_score FROM {_CALIBRATED}))""", "p")
+def _(t: Tables):
+    from wearcurve.plans.phases import assess_risk
+
+    return assess_risk(t.labelled, "calibrated_minmax").rows
+
+
 # --- N: the row-wise part on a stream ----------------------------------------------------------
 
 

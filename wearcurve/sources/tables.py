@@ -17,9 +17,12 @@ STAGES = T.StructType([*SERIES.fields, T.StructField("degradation_stage", T.Inte
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster. Only where none is named, as in tests, a local one is set."""
+    """The shared folder of the cluster. Only where none is named and all runs in one process, a local one is set."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="wearcurve-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
