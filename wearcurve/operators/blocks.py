@@ -32,18 +32,22 @@ def blocked_rank(
 ) -> DataFrame:
     """Exact 1-based ``row_number`` within ``keys`` (may be empty) in ``order``.
 
-    ``bucket`` are non-decreasing functions of the order. Rows are shuffled by (keys, bucket), never
-    by the keys alone; only the per-bucket row counts are summed per key.
+    ``bucket`` are non-decreasing functions of the order, the coarsest first. Rows are shuffled by (keys,
+    bucket), never by the keys alone. Row counts are summed level by level: those of the first bucket per
+    key, those of the second per key and first bucket, and so on.
     """
     names = list(bucket)
     keyed = df.withColumns(dict(bucket))
     counts = keyed.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*names).rowsBetween(_UNBOUNDED_BACK, -1)
-    )
-    offsets = counts.select(
-        *keys, *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
-    )
+    offsets, above = None, list(keys)
+    for level, name in enumerate(names):
+        sums = counts if level == len(names) - 1 else counts.groupBy(*above, name).agg(F.sum("_n").alias("_n"))
+        before = Window.partitionBy(*(above or [F.lit(0)])).orderBy(name).rowsBetween(_UNBOUNDED_BACK, -1)
+        own = sums.select(*above, name, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_b{level}"))
+        offsets = own if offsets is None else own.join(offsets, above)
+        above.append(name)
+    total = sum((F.col(f"_b{level}") for level in range(1, len(names))), F.col("_b0"))
+    offsets = offsets.select(*keys, *names, total.alias("_before"))
     inner = Window.partitionBy(*keys, *names).orderBy(*order)
     ranked = keyed.withColumn("_rn", F.row_number().over(inner))
     joined = ranked.join(offsets, [*keys, *names], "left")

@@ -270,10 +270,6 @@ class Preparation:
         self.sensors = list(sensor_columns) if sensor_columns is not None else features.sensors(train)
         self.settings = list(setting_columns) if setting_columns is not None else features.settings(train)
         columns = [*self.sensors, *self.settings]
-        probs = [0.25, 0.5, 0.75] if method == "robust" else [0.5]
-        self.percentiles = {
-            (r["column"], r["prob"]): r["value"] for r in exact_percentiles(train, columns, probs).collect()
-        }
         measures = {
             "mean": F.avg,
             "std": F.stddev_samp,
@@ -284,13 +280,28 @@ class Preparation:
         }
         row = train.agg(*[f(c).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in measures.items()]).first()
         self.statistics = {c: {k: row[f"{k}_{i}"] for k in measures} for i, c in enumerate(columns)}
+        self.percentiles: dict[tuple[str, float], float] = {}
+        if method == "robust":
+            self._rank(columns, [0.25, 0.5, 0.75])
         self.scaled = (
             [] if method == "none" else [c for c in columns if (self.statistics[c]["var"] or 0.0) > MIN_VARIANCE]
         )
 
+    def _rank(self, columns: Sequence[str], probs: Sequence[float]) -> None:
+        found = exact_percentiles(self.train, columns, probs).collect()
+        self.percentiles |= {(r["column"], r["prob"]): r["value"] for r in found}
+
     def _clean(self, df: DataFrame) -> DataFrame:
-        """Median for missing readings, then mean ± 5 deviations as limits."""
+        """Median for missing readings, then mean ± 5 deviations as limits.
+
+        Medians take two passes over the training frame, so they are worked out for columns with gaps only.
+        """
         out = {}
+        if self.sensors:
+            gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(self.sensors)]).first()
+            asked = [c for i, c in enumerate(self.sensors) if gaps[f"g{i}"] and (c, 0.5) not in self.percentiles]
+            if asked:
+                self._rank(asked, [0.5])
         for c in self.sensors:
             s = self.statistics[c]
             filled = F.coalesce(F.col(c), F.lit(self.percentiles.get((c, 0.5))))

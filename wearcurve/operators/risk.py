@@ -17,7 +17,7 @@ STAGE = "predicted_stage"
 TIME = "predicted_time_to_next_stage"
 SCORE_PREFERENCE = ("normalized_urgency", "normalized_risk_score", "urgency_score")
 METHODS = ("urgency", "calibrated_minmax", "calibrated_urgency")
-_CURVE_BUCKETS = 256
+_CURVE_ROWS = 100_000  # distinct scores of a bucket
 
 
 def _spread(df: DataFrame) -> list[str]:
@@ -120,13 +120,18 @@ def threshold_curve(df: DataFrame, score: str, failure: Column, beta: float = 1.
     """Precision, recall and F-beta of alerting at each distinct score or above.
 
     Equal scores are merged first. The running totals from the highest score down are taken per
-    bucket of scores, and the totals of the higher buckets are added, so no task sees all scores.
+    bucket of scores, and the totals of the higher buckets are added, so no task sees all scores. There
+    are as many buckets as the distinct scores need.
     """
+    from wearcurve.sources.tables import materialize
+
     tally = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.sum(failure.cast("long")).alias("_hit"), F.count(F.lit(1)).alias("_n")
     )
-    marks = [i / _CURVE_BUCKETS for i in range(1, _CURVE_BUCKETS)]
-    edges = tally.agg(F.percentile_approx("score", F.lit(marks), 10_000)).scalar()
+    tally = materialize(tally, "scores")
+    buckets = 2 + tally.count() // _CURVE_ROWS
+    marks = [i / buckets for i in range(1, buckets)]
+    edges = tally.agg(F.percentile_approx("score", F.lit(marks), max(10_000, 10 * buckets))).scalar()
     placed = tally.withColumn("_edges", edges).withColumn(
         "_bucket", F.size(F.filter("_edges", lambda e: e <= F.col("score")))
     ).drop("_edges")
@@ -138,9 +143,9 @@ def threshold_curve(df: DataFrame, score: str, failure: Column, beta: float = 1.
         F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_an"),
     )
     down = Window.partitionBy("_bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    # at most 256 rows
+    # one small row for each bucket; Spark broadcasts them if they are few
     rows = placed.withColumns({"_ch": F.sum("_hit").over(down), "_cn": F.sum("_n").over(down)}).join(
-        F.broadcast(above), "_bucket"
+        above, "_bucket"
     )
     total = tally.agg(F.sum("_hit")).scalar()
     hits, alerts = F.col("_ch") + F.col("_ah"), F.col("_cn") + F.col("_an")

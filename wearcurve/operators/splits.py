@@ -12,6 +12,7 @@ from wearcurve.operators.blocks import attach, blocked_rank, join_groups, join_u
 
 SEED = 42
 _HASH_BUCKET_DIGITS = 4  # 65,536 buckets
+_BUCKET_ROWS = 1 << 16
 
 
 def hash_of(columns: Sequence[str], seed: int = SEED) -> Column:
@@ -19,11 +20,18 @@ def hash_of(columns: Sequence[str], seed: int = SEED) -> Column:
 
 
 def hash_rank(
-    df: DataFrame, keys: Sequence[str], row_key: Sequence[str], seed: int = SEED, out: str = "_rank"
+    df: DataFrame, keys: Sequence[str], row_key: Sequence[str], seed: int = SEED, out: str = "_rank", rows: str | None = None
 ) -> DataFrame:
-    """Random 1-based rank within ``keys``. The leading hash digits are the buckets, so they are even."""
+    """Random 1-based rank within ``keys``. The leading hash digits are the buckets, so they are even.
+
+    ``rows`` names a column with the row count of the row's keys: then there are only as many buckets as
+    that many rows need.
+    """
     hashed = df.withColumn("_hash", hash_of(row_key, seed))
     bucket = {"_hbk": F.substring("_hash", 1, _HASH_BUCKET_DIGITS)}
+    if rows is not None:
+        place = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
+        bucket = {"_hbk": F.floor(place * F.ceil(F.col(rows) / F.lit(_BUCKET_ROWS)))}
     order = [F.col("_hash"), *[F.col(c) for c in row_key]]
     return blocked_rank(hashed, keys, order, bucket, out).drop("_hash")
 
@@ -89,9 +97,9 @@ def unit_holdout(
 
 def unit_sample(df: DataFrame, layout: Layout, share: float = 0.6, seed: int = SEED) -> DataFrame:
     """``round(share * n)`` rows of each unit without replacement (ties round to even)."""
-    ranked = hash_rank(df, layout.unit, [*layout.unit, layout.cycle], seed)
-    sized = attach(ranked, layout, _rows=F.count(F.lit(1)))
-    return sized.where(F.col("_rank") <= F.bround(F.col("_rows") * F.lit(share))).drop("_rank", "_rows")
+    sized = attach(df, layout, _rows=F.count(F.lit(1)))
+    ranked = hash_rank(sized, layout.unit, [*layout.unit, layout.cycle], seed, rows="_rows")
+    return ranked.where(F.col("_rank") <= F.bround(F.col("_rows") * F.lit(share))).drop("_rank", "_rows")
 
 
 def stratified_split(
