@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wearcurve.llm.batches import small_batches
 from wearcurve.llm.memo import Memo, held
 
 SPACE = "▁"
@@ -97,10 +98,10 @@ class Encoder:
         self.shorter = [-1] * len(model.pieces)  # the longest piece that is a proper prefix of a piece
         for piece, i in self.normal.items():
             self.shorter[i] = next((self.normal[piece[:k]] for k in range(len(piece) - 1, 0, -1) if piece[:k] in self.normal), -1)
-        self.fits = Memo(self._fits)
+        self.fits = Memo(self._fits, 150_000)  # by first id x number of pieces + second id
         self.alone = Memo(lambda i: self.merged(model.pieces[i]) == [i])
-        self.words = Memo(lambda word: self._ids(SPACE + word))  # of a word with the space before it
-        self.parts = Memo(self._ids)  # of a part of a word
+        self.words = Memo(lambda word: self._ids(SPACE + word), 200_000)  # of a word with the space before it
+        self.parts = Memo(self._ids, 50_000)  # of a part of a word
 
     def merged(self, text: str) -> list[int]:
         """Ids of a short text of known characters, by plain merging: best score first, then leftmost."""
@@ -117,9 +118,10 @@ class Encoder:
             symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
         return [normal[s] for s in symbols]
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
+    def _fits(self, pair: int) -> bool:
         pieces = self.model.pieces
-        return self.merged(pieces[pair[0]] + pieces[pair[1]]) == [*pair]
+        first, second = divmod(pair, len(pieces))
+        return self.merged(pieces[first] + pieces[second]) == [first, second]
 
     def longest(self, text: str, at: int) -> int:
         """Id of the longest piece that starts at a position; a single character is always one."""
@@ -131,7 +133,7 @@ class Encoder:
 
     def search(self, text: str) -> list[int]:
         """Ids of a text of known characters, by backtracking."""
-        n, sizes, fits, shorter = len(text), self.sizes, self.fits, self.shorter
+        n, sizes, fits, shorter, many = len(text), self.sizes, self.fits, self.shorter, len(self.model.pieces)
         failed = bytearray(n // 8 + 1)
         path: list[int] = []
         at, piece = 0, self.longest(text, 0)
@@ -143,7 +145,7 @@ class Encoder:
                 piece = shorter[piece]
                 continue
             end = at + sizes[piece]
-            if not failed[end >> 3] >> (end & 7) & 1 and (fits[path[-1], piece] if path else self.alone[piece]):
+            if not failed[end >> 3] >> (end & 7) & 1 and (fits[path[-1] * many + piece] if path else self.alone[piece]):
                 path.append(piece)
                 if end == n:
                     return path
@@ -236,6 +238,8 @@ def encode(text: Column | str, model: PieceModel, end: bool = True) -> Column:
     key = model.key
     tail = _packed([model.end_id]) if end else b""
 
+    small_batches()
+
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         import numpy as np
@@ -259,6 +263,7 @@ def _plain(ids: pa.Array | None) -> list[int | None]:
 def decode(ids: Column | str, model: PieceModel) -> Column:
     """Texts of id lists, equal to the library's ``decode(ids)``."""
     key = model.key
+    small_batches()
 
     @F.arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
