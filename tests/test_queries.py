@@ -6,11 +6,8 @@ import pytest
 from wearcurve.plans import registry
 
 SF = "/root/testdata/sf0.001"
-# fits of many trees or rounds; their parts are tested in test_learning.py
-LONG = {
-    "M2_stage_profiles", "M2_stage_evaluation_by_fold", "M3_classification", "M4_time_predictions", "M6_run_all_phases",
-    "I6_cluster_labels", "I14_random_forest_regressor", "I15_quantile_regression", "I16_prediction_interval", "I17_gradient_boosting",
-}
+# fits of many trees or rounds, half a minute and more; tests/oracle_check.py runs them, test_learning.py tests their parts
+LONG = {"I6_centroid_clusters", "I11_hyper_parameter_search", "I17_gradient_boosting", "M4_time_predictions", "M6_run_all_phases"}
 NAMES = [n for n in registry.load_all() if n not in LONG]
 
 
