@@ -474,9 +474,9 @@ def _(t: Tables):
     return preparation.sensor_profile(t.series, S)
 
 
-@query("D1_sensor_profile_lines", ["column"], _PROFILE, _profile_sql("l", ["sensor_1", "sensor_3", "sensor_4"]), "l", digits=5)
+@query("D1_sensor_profile_lines", ["column"], _PROFILE, _profile_sql("l", [f"sensor_{i}" for i in range(1, 5)]), "l", digits=5)
 def _(t: Tables):
-    return preparation.sensor_profile(t.lines, ["sensor_1", "sensor_3", "sensor_4"])
+    return preparation.sensor_profile(t.lines, [f"sensor_{i}" for i in range(1, 5)])
 
 
 @query("D2_cycle_features", [*KEY, "remaining_cycles"], ["cycle_ratio"], "SELECT unit_number, time_cycles, m - time_cycles AS remaining_cycles, time_cycles / m AS cycle_ratio FROM (SELECT *, max(time_cycles) OVER (PARTITION BY unit_number) AS m FROM u)", "u")
@@ -583,7 +583,7 @@ def _(t: Tables):
     return features.add_rolling(t.series, S, C)
 
 
-_LS = ["sensor_1", "sensor_3", "sensor_4"]
+_LS = [f"sensor_{i}" for i in range(1, 5)]
 
 
 @query("E3_rolling_lines", KEY, _rolling_names(_LS, features.WINDOWS, *_R), _rolling_sql("l", _LS, features.WINDOWS, *_R), "l", digits=5)
