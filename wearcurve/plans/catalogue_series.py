@@ -144,7 +144,7 @@ def _(t: Tables):
     ["params"],
     ["score"],
     """SELECT '{"setting": ' || CAST(CAST(setting_1 AS INT) AS VARCHAR) || ', "stage": ' || CAST(predicted_stage AS VARCHAR) || '}' AS params,
-      avg(sensor_1) AS score FROM p WHERE predicted_stage <> 0 GROUP BY setting_1, predicted_stage""",
+      avg(sensor_1) AS score FROM p GROUP BY setting_1, predicted_stage""",
     "p",
 )
 def _(t: Tables):
@@ -158,7 +158,7 @@ def _(t: Tables):
     tb.write_scores(all_scores.where("predicted_stage = 0"), path)
     todo = tb.unscored(all_scores.select("params"), tb.read_scores(t.spark, path))
     tb.write_scores(all_scores.join(todo, "params"), path)
-    return tb.read_scores(t.spark, path).join(todo, "params", "left_semi")
+    return tb.read_scores(t.spark, path)
 
 
 # --- B: projections, filters, cleaning, scaling ------------------------------------------------
