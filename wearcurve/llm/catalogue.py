@@ -245,4 +245,19 @@ SELECT page_id, host, path, rule,
 FROM v
 """
 
-SQL: dict[str, str] = {"op5_decontamination": _OP5, "op8_url_filter": _OP8}
+#: Digests straight from the turns; the formatted length from the escapes and the template's fixed strings.
+_OP4 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+  CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'))
+    + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op4_chat": _OP4, "op5_decontamination": _OP5, "op8_url_filter": _OP8}

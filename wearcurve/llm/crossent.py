@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wearcurve.llm.batches import small_batches
+
 
 SLOTS = 1 << 20
 STRENGTH = 8.0
@@ -59,6 +61,7 @@ def fit(docs: DataFrame, is_target: Column, text: str = "text") -> Models:
     """Count all texts for the background and those where ``is_target`` holds for the target."""
     import numpy as np
 
+    small_batches()
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(is_target, F.lit(False)).alias("target")).where("text != ''")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +139,7 @@ def cross_entropy(raw: bytes, models: Models) -> tuple[int, float | None, float
 
 def score(text: Column | str, models: Models, spark) -> Column:
     """Struct (n_tokens, target_loss, background_loss, difference) of whole texts. The models have a fixed size."""
+    small_batches()
     shared = spark.sparkContext.broadcast(models)
 
     @F.arrow_udf("struct<n_tokens bigint, target_loss double, background_loss double, difference double>")

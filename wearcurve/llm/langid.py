@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearcurve.llm.batches import small_batches
 from wearcurve.llm.memo import held
 from wearcurve.sources.tables import materialize
 
@@ -180,6 +181,7 @@ class Classifier:
 
 def predict(text: Column | str, model: Model, spark) -> Column:
     """Struct (lang, score, rejected) of whole texts. The model is broadcast; its size is bounded by the fit."""
+    small_batches()
     shared = spark.sparkContext.broadcast(model)
     key = model.key
 

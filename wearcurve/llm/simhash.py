@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wearcurve.llm.batches import small_batches
 from wearcurve.llm.components import connected_components
 from wearcurve.sources.tables import materialize
 
@@ -55,6 +56,7 @@ def fingerprint_of(text: str | None) -> int:
 
 def fingerprint(text: Column | str) -> Column:
     """Fingerprint of whole texts as ``bigint``."""
+    small_batches()
 
     @F.arrow_udf("bigint")
     def votes(texts: pa.Array) -> pa.Array:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wearcurve.llm.batches import small_batches
 from wearcurve.llm.bytebpe import LATIN, Parts
 from wearcurve.llm.memo import held
 
@@ -154,6 +155,7 @@ class Counter:
 
 def count_tokens(text: Column | str, vocabulary: Vocabulary) -> Column:
     """Tokens of whole texts as ``bigint``, equal to the length of the library's encoding."""
+    small_batches()
     key = vocabulary.key
     whole = whole_tokens(vocabulary)
     spec = vocabulary.spec
