@@ -133,6 +133,7 @@ def brute_contamination(docs, items):
 @pytest.mark.parametrize("rows", [decontam.BROADCAST_ROWS, 0])
 def test_contamination(frame, monkeypatch, rows):
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(decontam, "BROADCAST_KEYS", rows)
     long = " ".join(f"w{i}" for i in range(30))
     items = [(1, long), (2, "Short one."), (2, "three word item"), (10, "É"), (4, None), (5, "..."), (None, "nobody owns this"), (6, long), (7, "a a a a a a a a a a a a a a a a")]
     docs = [

@@ -9,7 +9,7 @@ which must lie in the document with the whole window (length bound). Then the wo
 
 Documents are keyed by the digest of their text, so copies are compared once, and the joins carry no texts but
 those of documents with a candidate. The benchmark's shingle hashes are broadcast only if there are at most
-``BROADCAST_ROWS``; beyond, Spark shuffles.
+``BROADCAST_ROWS``, the candidates' keys only up to ``BROADCAST_KEYS``; beyond, Spark shuffles.
 
 Null texts have no words. Items without words give no window; items with a null id can hit words but are not
 listed. Repeated documents give a row each, repeated item ids count once. Without items, nothing is hit.
@@ -27,6 +27,8 @@ WINDOW, SHINGLE = 13, 5
 ONE_IN = 20
 #: A hash takes 8 bytes, so this is at most some 32 MB in a task.
 BROADCAST_ROWS = 1_000_000
+#: A key takes 32 bytes, so this is at most some 30 MB in a task.
+BROADCAST_KEYS = 250_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -136,7 +138,10 @@ def _occurring(keyed: DataFrame, window: DataFrame, sizes: list[int]) -> DataFra
     candidates = materialize(candidates.select("key", start.alias("start"), "size", "window").distinct(), "candidates")
     # the words themselves, one text of each key
     asked = candidates.groupBy("key").agg(F.collect_list(F.struct("start", "size", "window")).alias("asked"))
-    texts = keyed.join(asked.select("key"), "key", "left_semi").groupBy("key").agg(F.min("body").alias("body"))
+    keys = materialize(candidates.select("key").distinct(), "candidate_keys")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)  # then copies of a text are merged before anything is shuffled
+    texts = keyed.join(keys, "key", "left_semi").groupBy("key").agg(F.min("body").alias("body"))
     looked = asked.join(texts, "key").select("key", "asked", words(F.col("body")).alias("w"))
     right = F.filter("asked", lambda a: F.array_join(F.slice(F.col("w"), a["start"] + 1, a["size"]), " ") == a["window"])
     return looked.select("key", F.inline(right))
