@@ -30,16 +30,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearcurve.llm.bytebpe import Parts
-from wearcurve.llm.memo import held
+from wearcurve.llm.batches import small_batches
+from wearcurve.llm.bulkbpe import BulkMerger
+from wearcurve.llm.bytebpe import Parts, base_of, is_plain
+from wearcurve.llm.memo import Memo, held, let_go
 from wearcurve.llm.token_counts import Vocabulary
 from wearcurve.sources.tables import scratch_path
 
-#: Bytes of text that make a shard, some 6 MB of ids.
-SHARD_TEXT = 12_000_000
+#: Bytes of text that make a shard, some 3 MB of ids.
+SHARD_TEXT = 6_000_000
 #: Keys of a bucket, on average.
 BUCKET_KEYS = 20_000
 HEAD = 13
+#: Words of a generation that a worker remembers.
+MEMO = 100_000
 _ENTRY = [("fingerprint", "<u4"), ("shard", "<i4"), ("offset", "<i8"), ("n", "<i8"), ("start", "<i8")]
 
 
@@ -55,16 +59,48 @@ class Store:
 
 
 class Encoder:
-    """Raw ids of texts by the tokenizers library; one per Python worker. Words are encoded once and remembered."""
+    """Raw ids of texts by the tokenizers library; one per Python worker.
+
+    Words are encoded once and remembered. New words of Latin letters, which are one pre-token each, are merged in
+    bulk by the library's vocabulary; all else goes through the library itself.
+    """
 
     def __init__(self, vocabulary: Vocabulary, width: int):
         import numpy as np
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(vocabulary.spec)
-        kind = f"<u{width}"
-        raw = lambda part: np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype=kind).tobytes()
-        self.parts = Parts(raw, b"".join, vocabulary.added)
+        self.kind = f"<u{width}"
+        raw = lambda part: np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        self.parts = Parts(raw, b"".join, vocabulary.added, MEMO)
+        self.bulk = BulkMerger(vocabulary)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        parts = self.parts
+        cuts = [parts.cut(t) if t else None for t in texts]
+        self._learn({w for words in cuts if words for w in words})
+        return [parts.get(t) if words is None else parts.of_words(words) for t, words in zip(texts, cuts, strict=True)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Encode the new words that can be merged in bulk."""
+        spaced, bare = self.parts.spaced, self.parts.bare
+        fresh = words.difference(spaced)
+        lines = [w for w in fresh if w[0] == "\n"]
+        self._learn_of(bare, b"", [w[1:] for w in lines])
+        self._learn_of(spaced, b" ", [w for w in fresh if w[0] != "\n"])
+        for w in lines:
+            if w[1:] in bare:
+                spaced.keep(w, bare["\n"] + bare[w[1:]])
+
+    def _learn_of(self, known: Memo, before: bytes, words: list[str]) -> None:
+        bare = self.parts.bare
+        bases = list(map(base_of, words))
+        plain = [w for w in set(bases).difference(known) if w not in known.old and is_plain(w)]
+        for word, ids in zip(plain, self.bulk.merged([before + w.encode() for w in plain], self.kind), strict=True):
+            known.keep(word, ids)
+        for word, base in zip(words, bases, strict=True):
+            if len(base) < len(word):
+                known.keep(word, known[base] + bare[word[len(base) :]])
 
 
 def id_width(vocabulary: Vocabulary) -> int:
@@ -76,12 +112,13 @@ def id_width(vocabulary: Vocabulary) -> int:
 def raw_ids(text: Column, vocabulary: Vocabulary, end_id: int) -> Column:
     """Raw ids of whole texts with an end id, as ``binary``."""
     width, key, spec = id_width(vocabulary), vocabulary.key, vocabulary.spec
+    small_batches()
 
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
         encoder = held(f"ids{width}{key}", lambda: Encoder(Vocabulary(spec), width))
         tail = end_id.to_bytes(width, "little")
-        return pa.array([encoder.parts.get(t) + tail for t in texts.to_pylist()], pa.binary())
+        return pa.array([raw + tail for raw in encoder.encode(texts.to_pylist())], pa.binary())
 
     return encoded.asNondeterministic()(text)
 
@@ -98,20 +135,6 @@ def unpacked(raw: Column, width: int) -> Column:
     return ids(raw)
 
 
-def crc32_wide(raw: Column, width: int) -> Column:
-    """CRC-32 of ids as little-endian unsigned 32-bit integers."""
-
-    @F.arrow_udf("bigint")
-    def crc(rows: pa.Array) -> pa.Array:
-        from zlib import crc32
-
-        import numpy as np
-
-        return pa.array([None if r is None else crc32(np.frombuffer(r, f"<u{width}").astype("<u4").tobytes()) for r in rows.to_pylist()], pa.int64())
-
-    return crc(raw)
-
-
 # writing ------------------------------------------------------------------------------------------------------
 
 
@@ -123,10 +146,11 @@ def write_store(docs: DataFrame, vocabulary: Vocabulary, end_id: int, id: str =
     total = body.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = 1 + total // SHARD_TEXT
     width = id_width(vocabulary)
-    rows = body.select("key", raw_ids(F.col("text"), vocabulary, end_id).alias("raw"))
     # rows that repeat a key may be many: they are spread over shards by content and place
-    rows = rows.withColumns({"tie": F.xxhash64("raw"), "place": F.monotonically_increasing_id()})
+    rows = body.withColumns({"tie": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    # texts are dealt and then encoded: dealing by range reads its rows twice
     ordered = rows.repartitionByRange(shards, "key", "tie", "place").sortWithinPartitions("key", "tie", "place")
+    ordered = ordered.select("key", raw_ids(F.col("text"), vocabulary, end_id).alias("raw"))
     head = F.concat(
         F.when(F.col("key").isNull(), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))),
         F.unhex(F.lpad(F.hex(F.coalesce("key", F.lit(0).cast("long"))), 16, "0")),
@@ -146,6 +170,7 @@ def _walk(width: int):
     """Records of shards: shard, key, order of a key in its shard, offset, ids, ids before it in the shard."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = memoryview(content.as_buffer())
@@ -309,10 +334,15 @@ def _locate(keys: pa.Table, index: pa.Table) -> pa.Table:
 # reading ------------------------------------------------------------------------------------------------------
 
 
-def _fetch(width: int):
-    schema = pa.schema([("key", pa.int64()), ("copy", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("raw", pa.binary())])
+def _fetch(width: int, with_ids: bool):
+    schema = pa.schema([("key", pa.int64()), ("copy", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("crc32", pa.int64()), ("raw", pa.binary())])
 
     def of(wanted: pa.Table, shard: pa.Table) -> pa.Table:
+        from zlib import crc32
+
+        import numpy as np
+
+        let_go()
         found = []
         if len(wanted) and len(shard):
             data = memoryview(shard.column("content")[0].as_buffer())
@@ -320,14 +350,20 @@ def _fetch(width: int):
                 at, n, key = r["offset"], r["n"], r["key"]
                 here = None if data[at] else int.from_bytes(data[at + 1 : at + 9], "big", signed=True)
                 if here == key and int.from_bytes(data[at + 9 : at + HEAD], "big") == n:
-                    found.append((key, r["copy"], r["start"], n, data[at + HEAD : at + HEAD + n * width]))
+                    raw = data[at + HEAD : at + HEAD + n * width]
+                    check = crc32(np.frombuffer(raw, f"<u{width}").astype("<u4").tobytes())
+                    found.append((key, r["copy"], r["start"], n, check, raw if with_ids else None))
         return pa.table({f.name: pa.array([x[i] for x in found], f.type) for i, f in enumerate(schema)}, schema=schema)
 
     return of
 
 
-def look_up(keys: DataFrame, store: Store) -> DataFrame:
-    """(key, copy, start, n, raw) of each distinct (key, copy) in ``keys`` that the store has."""
+def look_up(keys: DataFrame, store: Store, with_ids: bool = True) -> DataFrame:
+    """(key, copy, start, n, crc32, raw) of each distinct (key, copy) in ``keys`` that the store has.
+
+    ``crc32`` is that of the ids read, as little-endian unsigned 32-bit integers; without ``with_ids`` the raw ids
+    are null, for a caller that only verifies a store.
+    """
     spark = keys.sparkSession
     asked = _hashed(keys.select(F.col("key").cast("long").alias("key"), F.col("copy").cast("long").alias("copy")).distinct(), store.buckets)
     index = spark.read.schema("bucket int, size int, levels array<binary>, entries binary").parquet(f"{store.path}/index")
@@ -335,4 +371,6 @@ def look_up(keys: DataFrame, store: Store) -> DataFrame:
         asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(_locate, "key long, copy long, shard long, offset long, n long, start long")
     )
     shards = _shards(spark, store.path).withColumn("shard", F.col("shard").cast("long"))
-    return located.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(_fetch(store.width), "key long, copy long, start long, n long, raw binary")
+    return located.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(
+        _fetch(store.width, with_ids), "key long, copy long, start long, n long, crc32 long, raw binary"
+    )
