@@ -291,6 +291,32 @@ def test_cross_entropy_of_long_texts(monkeypatch):
         assert (np.concatenate([c[1][n] for c in cut]) == codes[1][n]).all()
 
 
+def test_cross_entropy_counts_are_exact(spark, frame, monkeypatch):
+    """More different n-grams than any fixed number of slots keeps apart; texts over several blocks."""
+    draw = random.Random(10)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzäöüß漢字🙂 ", k=draw.randint(1, 400))) for _ in range(120)]
+    rows = [(i, t, i % 3 == 0) for i, t in enumerate([*texts, "unmarked", texts[0], None, "", "z" * 3000])]
+    docs = frame(rows, "doc_id long, text string, good boolean")
+    monkeypatch.setattr(crossent, "BLOCK", 4000)
+    models = crossent.fit(docs.where("text != 'unmarked'"), F.col("good"))
+    known = [t.encode() for _, t, _ in rows if t and t != "unmarked"]
+    good = [t.encode() for _, t, g in rows if t and t != "unmarked" and g]
+    grams = {(b"\0\0\0" + t)[i : i + 4] for t in known for i in range(len(t))}
+    assert models.fours.count() == len(grams)
+    got = {r["doc_id"]: r for r in crossent.scored(docs.select("doc_id", "text"), models).collect()}
+    assert sorted(got) == [i for i, _, _ in rows]
+    as_column = {r["doc_id"]: r["s"] for r in docs.select("doc_id", crossent.score("text", models, spark).alias("s")).collect()}
+    for i, t, _ in rows:
+        r = got[i]
+        assert r["n_tokens"] == len((t or "").encode())
+        if not t:
+            assert r["target_loss"] is r["background_loss"] is r["difference"] is None
+            continue
+        assert abs(r["target_loss"] - as_column[i]["target_loss"]) < 1e-9 and abs(r["difference"] - as_column[i]["difference"]) < 1e-9
+        if i % 10 == 0 or i >= 120:
+            assert abs(r["target_loss"] - brute_loss(t.encode(), good)) < 1e-9
+
+
 def test_cross_entropy_query(spark):
     rows = catalogue.op9_cross_entropy(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     mean = lambda q: np.mean([r["score"] for r in rows if r["quality"] == q])

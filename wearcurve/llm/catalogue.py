@@ -150,8 +150,8 @@ def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id", F.lit(True).alias("good")).distinct()
     # labels grow with the documents, so their join is planned alike at every size
     models = crossent.fit(docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left"), F.col("good"))
-    scored = docs.select("doc_id", crossent.score("text", models, spark).alias("s"))
-    return scored.select("doc_id", "s.n_tokens", "s.target_loss", "s.background_loss", F.col("s.difference").alias("score"))
+    scored = crossent.scored(docs.select("doc_id", "text"), models)
+    return scored.select("doc_id", "n_tokens", "target_loss", "background_loss", F.col("difference").alias("score"))
 
 
 #: The id that ends a document in the id store.

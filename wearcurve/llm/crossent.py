@@ -1,14 +1,17 @@
 """Cross-entropy difference of two matched language models.
 
 Both models share one vocabulary, the 256 byte values, so no token is unknown to either. They are n-gram models of order
-4 with Dirichlet smoothing towards the next lower order; n-grams of order 3 and 4 are counted in ``SLOTS`` hashed slots,
-so a model has a fixed size whatever the corpus holds. The target model counts the texts marked as target, the background
+4 with Dirichlet smoothing towards the next lower order. The target model counts the texts marked as target, the background
 model counts all texts; background counts are scaled to the target's total, so that smoothing weighs alike in both. A
 document's score is the mean over its tokens of target loss minus background loss, in nats: the lower, the more it is like
 the target.
 
-Counts cover all texts whole. Tasks count their part, and slots are added up by a shuffle; only the sums (at most
-``2 * SLOTS`` + 65,792 rows of three numbers) come to the driver and are broadcast.
+Counts are exact and cover all texts whole: tasks count the 4-grams of their part, a shuffle adds them up, and the table
+is written, so a model grows with what the corpus holds. Lower orders are sums over it. Only totals come to the driver.
+
+The loss of a token follows from the 4-gram that ends there. ``scored`` deals the texts to blocks of some ``BLOCK`` bytes,
+joins each block's distinct 4-grams with their losses, and sums these over each text beside them. A gram is there once for
+each run of a block, so a gram that all texts hold is no heavier than their blocks are many.
 
 Null and empty texts have no token and a null score. Without any target text there is no target model, and the job fails.
 Rows are counted and scored as often as they come; a null mark counts as not target. Other columns pass through.
@@ -22,39 +25,58 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearcurve.llm.batches import small_batches
+from wearcurve.sources.tables import materialize
 
 
-SLOTS = 1 << 20
 STRENGTH = 8.0
 #: Bytes worked on at once.
 STRETCH = 1 << 20
+#: Bytes of text in a block, and of text or different 4-grams that a task gathers before it hands on what it has.
+BLOCK, GATHERED = 1 << 23, 1 << 21
+#: Different 4-grams up to which ``score`` takes a model into memory.
+MOST_HELD = 1 << 22
+
+_SCORE = T.StructType([T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "difference")]])
 
 
 @dataclass(frozen=True)
 class Models:
-    target: tuple  # counts of orders 1 to 4, float32
-    background: tuple
-    key: str
+    fours: DataFrame  # (gram, target, both): how often each 4-gram comes in target texts and in all
+    threes: DataFrame  # the same of 3-grams
+    of_target: int
+    of_all: int
 
 
-def _codes(raw: bytes, at: int = 0):
-    """Slots of the n-grams of orders 1 to 4 that end at each byte of a stretch, and of orders 1 to 3 that end at the
-    byte before it. Before the text are zero bytes."""
+def _grams(raw: bytes, at: int = 0):
+    """The 4-gram that ends at each byte of a stretch, as a number. Before the text are zero bytes."""
     import numpy as np
 
     b = np.frombuffer(raw[max(0, at - 3) : at].rjust(3, b"\0") + raw[at : at + STRETCH], dtype=np.uint8).astype(np.uint32)
-    third, second, first, now = b[:-3], b[1:-2], b[2:-1], b[3:]
-    shift = np.uint32(32 - (SLOTS.bit_length() - 1))
-    hashed = lambda gram: (gram * np.uint32(2654435761)) >> shift
-    two, before = (first << 8) | now, (second << 8) | first
-    grams = now, two, hashed((second << 16) | two), hashed(((third << 24) | (second << 16) | two) ^ np.uint32(0x5BD1E995))
-    return grams, (first, before, hashed((third << 16) | before))
+    return (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
+
+
+def _codes(raw: bytes, at: int = 0):
+    """The n-grams of orders 1 to 4 that end at each byte of a stretch, and of orders 1 to 3 that end at the byte before
+    it."""
+    grams = _grams(raw, at)
+    before = grams >> 8
+    return (grams & 0xFF, grams & 0xFFFF, grams & 0xFFFFFF, grams), (before & 0xFF, before & 0xFFFF, before)
 
 
-def _sizes() -> tuple[int, ...]:
-    return 256, 1 << 16, SLOTS, SLOTS
+def _bytes(text: pa.Scalar) -> bytes:
+    return text.as_buffer().to_pybytes() if text.is_valid else b""
+
+
+def _stretches(raw: bytes) -> range:
+    return range(0, len(raw), STRETCH)
+
+
+def _summed(counts: DataFrame, mask: int) -> DataFrame:
+    """Counts of the lower order that ``mask`` leaves."""
+    return counts.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("target").alias("target"), F.sum("both").alias("both"))
 
 
 def fit(docs: DataFrame, is_target: Column, text: str = "text") -> Models:
@@ -65,90 +87,229 @@ def fit(docs: DataFrame, is_target: Column, text: str = "text") -> Models:
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(is_target, F.lit(False)).alias("target")).where("text != ''")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {t: [np.zeros(n, dtype=np.int64) for n in _sizes()] for t in (False, True)}
+        have = {t: (np.zeros(0, np.uint32), np.zeros(0, np.int64)) for t in (False, True)}
         waiting: dict[bool, list] = {False: [], True: []}
+        sizes = {False: 0, True: 0}
 
         def add(target: bool) -> None:
-            for have, parts in zip(sums[target], zip(*waiting[target], strict=True), strict=True):
-                have += np.bincount(np.concatenate(parts), minlength=len(have))
-            waiting[target], sizes[target] = [], 0
+            grams, n = np.unique(np.concatenate(waiting[target]), return_counts=True)
+            both, at = np.unique(np.concatenate([have[target][0], grams]), return_inverse=True)
+            sums = np.zeros(len(both), np.int64)
+            sums[at[: len(have[target][0])]] = have[target][1]
+            sums[at[len(have[target][0]) :]] += n
+            have[target], waiting[target], sizes[target] = (both, sums), [], 0
+
+        def out(target: bool) -> Iterator[pa.RecordBatch]:
+            grams, n = have[target]
+            for k in range(0, len(grams), 50_000):
+                part = grams[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int64)), pa.array(np.full(len(part), target)), pa.array(n[k : k + 50_000])], names=["gram", "target", "n"])
+            have[target] = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-        sizes = {False: 0, True: 0}
         for batch in batches:
             for t, target in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                raw = t.as_buffer().to_pybytes()
-                for at in range(0, len(raw), STRETCH):
-                    waiting[target].append(_codes(raw, at)[0])
-                    sizes[target] += min(STRETCH, len(raw) - at)
-                    if sizes[target] >= STRETCH:
+                raw = _bytes(t)
+                for at in _stretches(raw):
+                    waiting[target].append(_grams(raw, at))
+                    sizes[target] += len(waiting[target][-1])
+                    if sizes[target] >= GATHERED:
                         add(target)
+                        if len(have[target][0]) >= GATHERED:
+                            yield from out(target)
         for target in waiting:
             if waiting[target]:
                 add(target)
-        for order in range(4):
-            t, o = sums[True][order], sums[False][order]
-            at = np.flatnonzero(t + o)
-            for k in range(0, len(at), 50_000):
-                a = at[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), order, np.int32)), pa.array(a.astype(np.int32)), pa.array(t[a]), pa.array(t[a] + o[a])], names=["n", "slot", "target", "both"])
-
-    partial = rows.mapInArrow(counted, "n int, slot int, target long, both long")
-    total = partial.groupBy("n", "slot").agg(F.sum("target").alias("target"), F.sum("both").alias("both")).toArrow()
-    n, slot = np.asarray(total["n"]), np.asarray(total["slot"])
-    tables = {}
-    for name in ("target", "both"):
-        tables[name] = []
-        for order, size in enumerate(_sizes()):
-            counts = np.zeros(size, dtype=np.float64)
-            counts[slot[n == order]] = np.asarray(total[name])[n == order]
-            tables[name].append(counts)
-    of_target, of_all = tables["target"][0].sum(), tables["both"][0].sum()
+            yield from out(target)
+
+    partial = rows.mapInArrow(counted, "gram long, target boolean, n long")
+    total = partial.groupBy("gram").agg(F.sum(F.when(F.col("target"), F.col("n")).otherwise(0)).alias("target"), F.sum("n").alias("both"))
+    fours = materialize(total, "four_grams")
+    threes = materialize(_summed(fours, 0xFFFFFF), "three_grams")
+    of_target, of_all = threes.agg(F.sum("target"), F.sum("both")).first()
     if not of_target:
         raise ValueError("no target text")
-    target = tuple(c.astype(np.float32) for c in tables["target"])
-    background = tuple((c * (of_target / of_all)).astype(np.float32) for c in tables["both"])
-    from hashlib import sha256
+    return Models(fours, threes, of_target, of_all)
+
+
+def losses(grams: DataFrame, models: Models) -> DataFrame:
+    """(gram, target_loss, background_loss) in nats of the last byte of each 4-gram in ``grams``, counted or not."""
+    twos = _summed(models.threes, 0xFFFF)
+    ones = _summed(twos, 0xFF)
+    gram, before = F.col("gram"), F.shiftrightunsigned("gram", 8)
+    out = grams.select("gram")
+    # a key of three bytes belongs to 256 4-grams at most; orders 1 and 2 have at most 65,792 rows in all
+    for name, table, key in (
+        ("g4", models.fours, gram),
+        ("g3", models.threes, gram.bitwiseAND(F.lit(0xFFFFFF))),
+        ("c3", models.threes, before),
+        ("g2", F.broadcast(twos), gram.bitwiseAND(F.lit(0xFFFF))),
+        ("c2", F.broadcast(twos), before.bitwiseAND(F.lit(0xFFFF))),
+        ("g1", F.broadcast(ones), gram.bitwiseAND(F.lit(0xFF))),
+        ("c1", F.broadcast(ones), before.bitwiseAND(F.lit(0xFF))),
+    ):
+        counts = table.select(F.col("gram").alias(name), F.col("target").alias(name + "_target"), F.col("both").alias(name + "_both"))
+        out = out.join(counts, key == F.col(name), "left").drop(name)
+
+    def loss(which: str, scale: float) -> Column:
+        n = lambda name: F.coalesce(F.col(f"{name}_{which}"), F.lit(0)) * F.lit(scale)
+        p = (n("g1") + F.lit(STRENGTH / 256)) / F.lit(models.of_target + STRENGTH)
+        for order in (2, 3, 4):
+            # a context counts at least as often as what follows it: zero bytes before a text are not counted
+            p = (n(f"g{order}") + F.lit(STRENGTH) * p) / (F.greatest(n(f"c{order - 1}"), n(f"g{order}")) + F.lit(STRENGTH))
+        return -F.log(p)
+
+    return out.select("gram", loss("target", 1.0).alias("target_loss"), loss("both", models.of_target / models.of_all).alias("background_loss"))
+
+
+def scored(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` but the text, and n_tokens, target_loss, background_loss and difference of whole texts."""
+    import numpy as np
+
+    small_batches()
+    others = [c for c in docs.columns if c != text]
+    plain = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.col(text).alias("text"))
+    block = T.StructField("block", T.LongType())
 
-    return Models(target, background, sha256(b"".join(c.tobytes() for c in (*target, *background))).hexdigest())
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
 
+        first, sum_ = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index("text"))), 0)).astype(np.int64)) + sum_
+            if len(ends):
+                sum_ = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + ends // BLOCK)], names=[*batch.schema.names, "block"])
 
-def _losses(codes, counts):
-    """Loss of each byte, in nats. A context counts at least as often as what follows it: slots may be shared."""
-    import numpy as np
+    # written with their blocks, so that both readings deal rows alike
+    blocks = materialize(plain.mapInArrow(dealt, T.StructType([*plain.schema.fields, block])), "text_blocks")
 
-    grams, contexts = codes
-    p = (counts[0][grams[0]] + STRENGTH / 256) / (counts[0].sum() + STRENGTH)
-    for order in (1, 2, 3):
-        have = counts[order][grams[order]]
-        of = np.maximum(counts[order - 1][contexts[order - 1]], have)
-        p = (have + STRENGTH * p) / (of + STRENGTH)
-    return -np.log(p)
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting, size, have = None, [], 0, np.zeros(0, np.uint32)
 
+        def out() -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(have), 50_000):
+                part = have[k : k + 50_000].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), now)), pa.array(part)], names=["block", "gram"])
 
-def cross_entropy(raw: bytes, models: Models) -> tuple[int, float | None, float | None]:
-    """Tokens, and mean loss by the target and the background model."""
-    if not raw:
-        return 0, None, None
-    sums = [0.0, 0.0]
-    for at in range(0, len(raw), STRETCH):
-        codes = _codes(raw, at)
-        for i, counts in enumerate((models.target, models.background)):
-            sums[i] += float(_losses(codes, counts).sum(dtype="f8"))
-    return len(raw), sums[0] / len(raw), sums[1] / len(raw)
+        for batch in batches:
+            for b, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if b != now:
+                    have = np.unique(np.concatenate([have, *waiting]))
+                    yield from out()
+                    now, waiting, size, have = b, [], 0, np.zeros(0, np.uint32)
+                raw = _bytes(t)
+                for at in _stretches(raw):
+                    waiting.append(_grams(raw, at))
+                    size += len(waiting[-1])
+                    if size >= GATHERED:
+                        have, waiting, size = np.unique(np.concatenate([have, *waiting])), [], 0
+        have = np.unique(np.concatenate([have, *waiting]))
+        yield from out()
+
+    held = materialize(blocks.select("block", "text").mapInArrow(distinct, "block long, gram long"), "block_grams")
+    known = materialize(losses(held.select("gram").distinct(), models), "gram_losses")
+    # a block's losses come before its texts
+    kinds = held.join(known, "gram").withColumn("kind", F.lit(0)).unionByName(blocks.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    kept = [f"c{i}" for i in range(len(others))]
+    kinds = kinds.select("block", "kind", "gram", "target_loss", "background_loss", "text", *kept).repartition("block").sortWithinPartitions("block", "kind")
+    schema = T.StructType([*[f for f in plain.schema.fields if f.name != "text"], *_SCORE.fields])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, grams, both = None, [], None, None
+        for batch in batches:
+            numbers, marks = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            edges = [0, *(np.flatnonzero((np.diff(numbers) != 0) | (np.diff(marks) != 0)) + 1), len(marks)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                piece = batch.slice(a, b - a)
+                if numbers[a] != now:
+                    now, parts, grams, both = numbers[a], [], None, None
+                if not marks[a]:
+                    parts.append([np.asarray(piece.column(i)) for i in (2, 3, 4)])
+                    continue
+                if grams is None and parts:
+                    grams, target, background = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    order = np.argsort(grams)
+                    grams, both, parts = grams[order].astype(np.uint32), (target[order], background[order]), []
+                found: list[list] = [[], [], []]
+                for t in piece.column(5):
+                    raw = _bytes(t)
+                    sums = [0.0, 0.0]
+                    for at in _stretches(raw):
+                        own = _grams(raw, at)
+                        places = np.searchsorted(grams, own)
+                        if not (grams[np.minimum(places, len(grams) - 1)] == own).all():
+                            raise RuntimeError("a 4-gram without a loss")
+                        for i in (0, 1):
+                            sums[i] += float(both[i][places].sum())
+                    for x, v in zip(found, (len(raw), *[s / len(raw) if raw else None for s in sums]), strict=True):
+                        x.append(v)
+                n, one, other = found
+                difference = [None if x is None else x - y for x, y in zip(one, other, strict=True)]
+                scores = [pa.array(n, pa.int64()), *[pa.array(x, pa.float64()) for x in (one, other, difference)]]
+                yield pa.RecordBatch.from_arrays([*piece.columns[6:], *scores], names=schema.names)
+
+    out = kinds.mapInArrow(summed, schema)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], *_SCORE.names)
+
+
+class _Held:
+    """Counts of all orders in memory."""
+
+    def __init__(self, grams, target, both, scale: float):
+        import numpy as np
+
+        self.tables = []
+        for counts in (target, both * scale):
+            orders = []
+            for mask in (0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF):
+                codes, at = np.unique(grams & np.uint32(mask), return_inverse=True)
+                orders.append((codes, np.bincount(at, counts)))
+            self.tables.append(orders)
+
+    def losses(self, codes) -> list:
+        """Loss of each byte by both models, in nats."""
+        import numpy as np
+
+        def of(table, wanted):
+            at = np.minimum(np.searchsorted(table[0], wanted), len(table[0]) - 1)
+            return np.where(table[0][at] == wanted, table[1][at], 0.0)
+
+        grams, contexts = codes
+        out = []
+        for orders in self.tables:
+            p = (of(orders[0], grams[0]) + STRENGTH / 256) / (orders[0][1].sum() + STRENGTH)
+            for order in (1, 2, 3):
+                have = of(orders[order], grams[order])
+                p = (have + STRENGTH * p) / (np.maximum(of(orders[order - 1], contexts[order - 1]), have) + STRENGTH)
+            out.append(-np.log(p))
+        return out
 
 
 def score(text: Column | str, models: Models, spark) -> Column:
-    """Struct (n_tokens, target_loss, background_loss, difference) of whole texts. The models have a fixed size."""
-    small_batches()
-    shared = spark.sparkContext.broadcast(models)
+    """Struct (n_tokens, target_loss, background_loss, difference) of whole texts as a column, by a model that is small
+    enough to be sent to all tasks; larger ones fail here, and ``scored`` takes them."""
+    import numpy as np
 
-    @F.arrow_udf("struct<n_tokens bigint, target_loss double, background_loss double, difference double>")
-    def scored(texts: pa.Array) -> pa.Array:
-        own = shared.value
+    small_batches()
+    if models.fours.count() > MOST_HELD:
+        raise ValueError(f"more than {MOST_HELD} different 4-grams: use scored")
+    counts = models.fours.toArrow()
+    grams = np.asarray(counts["gram"]).astype(np.uint32)
+    shared = spark.sparkContext.broadcast(_Held(grams, np.asarray(counts["target"]), np.asarray(counts["both"]), models.of_target / models.of_all))
+
+    @F.arrow_udf(_SCORE)
+    def judged(texts: pa.Array) -> pa.Array:
         out = []
         for t in texts:
-            n, a, b = cross_entropy(t.as_buffer().to_pybytes() if t.is_valid else b"", own)
-            out.append({"n_tokens": n, "target_loss": a, "background_loss": b, "difference": None if a is None else a - b})
+            raw = _bytes(t)
+            sums = [0.0, 0.0]
+            for at in _stretches(raw):
+                sums = [s + float(x.sum()) for s, x in zip(sums, shared.value.losses(_codes(raw, at)), strict=True)]
+            a, b = (s / len(raw) if raw else None for s in sums)
+            out.append({"n_tokens": len(raw), "target_loss": a, "background_loss": b, "difference": None if a is None else a - b})
         return pa.array(out, pa.struct([("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64()), ("difference", pa.float64())]))
 
-    return scored.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+    return judged.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
