@@ -234,6 +234,30 @@ def test_neighbours(frame, monkeypatch):
     assert len(few) <= 2
 
 
+def test_neighbours_of_far_queries(frame, monkeypatch):
+    """Every query gets min(k, candidates) rows, and near ones, however far it is from most rows."""
+    draw = np.random.default_rng(11)
+    vectors = draw.normal(size=(1500, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    queries = list(range(0, 1500, 100))
+    for i, q in enumerate(queries):
+        vectors[q] *= (1, 1.5, 3, 5, 10)[i % 5]
+    vectors[1400] *= 1e6
+    monkeypatch.setattr(ann, "BLOCK", 600)
+    df = frame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits = []
+    for q in queries:
+        assert len(got[q]) == 10
+        d = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        hits.append(len(set(got[q]) & set([i for i in np.argsort(d, kind="stable") if i != q][:10])) / 10)
+    assert np.mean(hits) >= 0.9
+    few = ann.nearest(df.where("vec_id IN (0, 1, 2, 3, 300)"), F.col("vec_id") % 100 == 0).groupBy("query_id").count().collect()
+    assert {tuple(r) for r in few} == {(0, 4), (300, 4)}
+
+
 def test_neighbour_recall(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)

@@ -11,6 +11,10 @@ that holds any share of the vectors is spread over all blocks; a task holds one
 it. A query's best of each block are ranked at the end. Work and shuffle: each vector moves once, each query once for
 each block. The width is fitted on ``SAMPLE`` rows (the median distance of pairs); everything else covers all rows.
 
+A query that lies farther from these rows than they do from each other takes steps that are as many times wider, by
+doublings. One that finds fewer than ``k`` rows in a block takes steps twice as wide there, ``WIDER`` times at most, and
+then all rows of the block. So each query gets ``k`` rows of each block, or all that the block has.
+
 Vectors that are null, zero, hold null or non-finite components, or are not as long as most of the sample take no part.
 Rows, not ids, are candidates: a repeated id or vector is a candidate as often as it comes, and a query row excludes only
 itself. Equal distances go by id, null ids last, then by row. Fewer candidates than ``k`` give fewer rows.
@@ -30,6 +34,8 @@ from wearcurve.sources.tables import materialize
 HASHES, TABLES, PROBES = 6, 12, 700
 #: Width of a step as a share of the median distance.
 WIDTH = 0.7
+#: A query this many times farther away than usual takes wider steps; doublings for want of rows, and doublings in all.
+FAR, WIDER, MOST_DOUBLINGS = 1.1, 2, 8
 BLOCK, SAMPLE, SEED = 16_384, 500, 20
 
 
@@ -64,6 +70,35 @@ def probe_sets(hashes: int, probes: int) -> list[tuple[int, ...]]:
     return found
 
 
+def doublings(query, sample, usual: float) -> int:
+    """Of the width, for a query by its median distance to the sampled rows."""
+    import numpy as np
+
+    far = float(np.median(np.linalg.norm(sample - query, axis=1))) / (FAR * usual)
+    return max(0, int(np.ceil(np.log2(far)))) if far > 0 else 0
+
+
+class Block:
+    """The vectors of one block and their hash tables by doublings of the width, made as queries need them."""
+
+    def __init__(self, vectors, sample, usual: float):
+        self.vectors, self.sample, self.usual = vectors, sample, usual
+        self.tables: dict[int, Tables] = {}
+
+    def candidates(self, query, enough: int):
+        """Rows in the buckets visited, at least ``enough`` of them, or all rows."""
+        import numpy as np
+
+        first = doublings(query, self.sample, self.usual)
+        for n in range(first, min(first + WIDER, MOST_DOUBLINGS) + 1):
+            if n not in self.tables:
+                self.tables[n] = Tables(self.vectors, WIDTH * self.usual * 2.0**n)
+            found = self.tables[n].candidates(query)
+            if len(found) >= enough:
+                return found
+        return np.arange(len(self.vectors))
+
+
 class Tables:
     """The hash tables of one block."""
 
@@ -136,7 +171,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id
     dims = max(set(lengths), key=lambda n: (lengths.count(n), n))
     sample = np.array([v for v in some if len(v) == dims], dtype=np.float64)
     apart = np.linalg.norm(sample[:, None] - sample[None], axis=2)[np.triu_indices(len(sample), 1)]
-    width = WIDTH * float(np.median(apart)) if len(apart) and np.median(apart) > 0 else 1.0
+    usual = float(np.median(apart)) if len(apart) and np.median(apart) > 0 else 1.0 / WIDTH
     rows = rows.where(F.size("v") == dims)
     blocks = 1 + rows.count() // BLOCK
     held = rows.select(F.pmod(F.xxhash64("row"), F.lit(blocks).cast("long")).alias("block"), F.lit(0).alias("kind"), "id", "row", "v")
@@ -146,7 +181,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id
     out = pa.schema([("query_id", pa.int64()), ("query_row", pa.int64()), ("vec_id", pa.int64()), ("vec_row", pa.int64()), ("score", pa.float64())])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, tables, ids, own = None, [], None, None, None
+        block, parts, held, ids, own = None, [], None, None, None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             marks = np.asarray(table.column("block")) * 2 + np.asarray(table.column("kind"))
@@ -156,24 +191,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id: str = "vec_id
                     continue
                 piece = table.slice(a, b - a)
                 if piece.column("block")[0].as_py() != block:
-                    block, parts, tables = piece.column("block")[0].as_py(), [], None
+                    block, parts, held = piece.column("block")[0].as_py(), [], None
                 if piece.column("kind")[0].as_py() == 0:
                     parts.append(piece)
                     continue
                 if not parts:
                     continue
-                if tables is None:
+                if held is None:
                     whole = pa.concat_tables(parts)
-                    tables = Tables(_vectors(whole.column("v"), dims), width)
+                    held = Block(_vectors(whole.column("v"), dims), sample, usual)
                     ids = np.asarray(whole.column("id").fill_null(np.iinfo(np.int64).max).combine_chunks())
                     own = np.asarray(whole.column("row").combine_chunks())
                     named = whole.column("id").combine_chunks()
                 queries = _vectors(piece.column("v"), dims)
                 found = []
                 for i, (query_id, query_row) in enumerate(zip(piece.column("id").to_pylist(), piece.column("row").to_pylist(), strict=True)):
-                    at = tables.candidates(queries[i])
+                    at = held.candidates(queries[i], k + 1)  # it may find itself
                     at = at[own[at] != query_row]
-                    score = np.sqrt(((tables.vectors[at] - queries[i]) ** 2).sum(axis=1))
+                    score = np.sqrt(((held.vectors[at] - queries[i]) ** 2).sum(axis=1))
                     best = np.lexsort((own[at], ids[at], score))[:k]
                     found += [(query_id, query_row, named[int(at[j])].as_py(), int(own[at[j]]), float(score[j])) for j in best]
                 if found:
