@@ -239,6 +239,22 @@ def test_language_edges(spark, frame):
     assert docs.limit(0).select(langid.predict("text", model, spark)).count() == 0
 
 
+def test_language_sample_holds_a_text_once(spark, frame, monkeypatch):
+    """A text with most rows of its language neither fills the sample nor displaces others."""
+    draw = random.Random(12)
+    texts = [" ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(6)) for _ in range(200)]
+    hashed = frame([(t,) for t in texts], "text string").withColumn("place", F.pmod(F.xxhash64("text"), F.lit(1 << 20)))
+    copied = hashed.orderBy("place").first()["text"]  # surely below the share
+    docs = frame([("xx", t) for t in [*texts, *[copied] * 300]], "lang string, text string")
+    taken = []
+    write = langid.materialize
+    monkeypatch.setattr(langid, "SAMPLE", 20)
+    monkeypatch.setattr(langid, "materialize", lambda df, name: taken.append(write(df, name)) or taken[-1])
+    langid.fit(docs)
+    sample = [r["text"] for r in taken[0].collect()]
+    assert len(sample) == len(set(sample)) == 20
+
+
 # language models
 
 

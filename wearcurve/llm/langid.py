@@ -2,7 +2,7 @@
 
 A text is lower-cased, everything but letters becomes a space, and its byte 3-grams are hashed to ``DIMS`` counts.
 The vector is (1 + log count) times the inverse document frequency, of length one. A fit takes at most
-``SAMPLE`` labelled rows of each language, chosen by a hash of the row (whole texts, up to ``LONGEST`` bytes each),
+``SAMPLE`` different labelled texts of each language, chosen by a hash (whole texts, up to ``LONGEST`` bytes each),
 clusters them by spherical k-means into ``CLUSTERS`` centroids, and learns how near texts of a given length are to
 their own centroids: pieces of 2, 4, 8, ... times 8 bytes are cut from the sample for that. A text is rejected as no
 known language if its cosine is below ``SLACK`` times that of nearly all such pieces of the same length class, by the
@@ -11,7 +11,8 @@ language where that is lowest.
 The model has languages x clusters x dims numbers; a fit refuses more than ``MOST_LANGUAGES``. Prediction reads the
 text alone: the nearest centroid by cosine, the first in name order of equals. Null texts and texts without a letter
 are ``und`` with score 0 and rejected. Rows with a null text, a null language or a text without a letter teach
-nothing; without any row to learn from, every text is ``und`` and only those without a letter are rejected. Repeated rows are learnt and judged as often as they come.
+nothing; without any row to learn from, every text is ``und`` and only those without a letter are rejected. Copies of
+a text within a language are learnt from once, so that none fills the sample; rows are judged as often as they come.
 """
 
 from __future__ import annotations
@@ -97,22 +98,24 @@ def _clustered(vectors, k: int):
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Learn from a bounded sample of labelled rows."""
+    """Learn from a bounded sample of the different texts of each language."""
     import numpy as np
 
     spark = docs.sparkSession
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = rows.where((F.octet_length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
-    order = F.xxhash64("text")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    rows = rows.withColumn("order", F.xxhash64("text"))
+    # all copies of a text have one hash
+    sizes = rows.select("lang", "order").distinct().groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not sizes:
         return Model((), b"", b"", b"", "empty")
     # first some twice the sample by the hash alone, so that few texts are ranked
     share = spark.createDataFrame([(r["lang"], min(1.0, 2.0 * SAMPLE / r["n"])) for r in sizes], "lang string, share double")
-    some = rows.join(F.broadcast(share), "lang").where(F.pmod(order, F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(order, "text")))
+    some = rows.join(F.broadcast(share), "lang").where(F.pmod("order", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    single = some.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    ranked = single.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
     sample = materialize(ranked.where(F.col("rank") <= SAMPLE).select("lang", "text"), "language_sample")
 
     def learnt(group: pa.Table) -> pa.Table:
