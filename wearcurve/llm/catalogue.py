@@ -170,8 +170,29 @@ def op10_idstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proof of every document in a new manifest, checked on documents of which some were changed."""
+    from wearcurve.llm import merkle
+
+    id, n = F.col("doc_id"), F.col("n_chars")
+    tampered = F.when(F.crc32(id.cast("string")) % 7 == 0, n.cast("decimal(20,0)") + 1).otherwise(n.cast("decimal(20,0)"))
+    given = merkle.digest(id, "source", "lang", tampered, "text")
+    leaf = merkle.digest(id, "source", "lang", n, "text")
+    manifest = merkle.build(table(spark, sf_dir, "documents"), "lang", ["doc_id"], leaf, {"doc_id": id, "given": given})
+    proved = merkle.prove(manifest).withColumn("folded_root", merkle.fold(F.col("row.given"), F.col("proof")))
+    return proved.select(
+        "row.doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore)
+    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore, op13_merkle_manifest)
 }
 
 #: Contamination by brute force: all windows of all documents against all windows of all items.
@@ -259,4 +280,52 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op4_chat": _OP4, "op5_decontamination": _OP5, "op8_url_filter": _OP8}
+#: Trees level by level; the proof of a leaf gathers the neighbour of its ancestor in every level.
+_OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS tree,
+    list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text],
+      lambda v: coalesce(CAST(strlen(v) AS VARCHAR) || ':' || v, '-')) AS parts,
+    coalesce(CAST(strlen(CAST(n_chars + 1 AS VARCHAR)) AS VARCHAR) || ':' || CAST(n_chars + 1 AS VARCHAR), '-') AS more,
+    xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END)) % 7 = 0 AS tampered
+  FROM documents),
+leaves AS (
+  SELECT rid, doc_id, tree, sha256(array_to_string(parts, '')) AS leaf,
+    sha256(array_to_string(CASE WHEN tampered THEN list_concat(parts[1:3], [more], parts[5:5]) ELSE parts END, '')) AS given FROM d),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS position, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves),
+nodes(level, tree, position, n, digest) AS (
+  SELECT 0, tree, position, n, leaf FROM placed
+  UNION ALL
+  SELECT any_value(level) + 1, tree, position // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY position))
+  FROM nodes WHERE n > 1 GROUP BY tree, position // 2),
+subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS position, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top(level, position, n, digest) AS (
+  SELECT 0, position, n, digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, position // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY position))
+  FROM top WHERE n > 1 GROUP BY position // 2),
+up(rid, level, tree, position, n, folded, siblings) AS (
+  SELECT rid, 0, tree, position, n, given, '' FROM placed
+  UNION ALL
+  SELECT u.rid, u.level + 1, u.tree, u.position // 2, (u.n + 1) // 2,
+    sha256(CASE WHEN s.digest IS NULL THEN u.folded WHEN s.position < u.position THEN s.digest || u.folded ELSE u.folded || s.digest END),
+    u.siblings || coalesce(s.digest, '')
+  FROM up u LEFT JOIN nodes s ON s.level = u.level AND s.tree = u.tree AND s.position = xor(u.position, 1) WHERE u.n > 1),
+onward(rid, level, position, n, folded, siblings) AS (
+  SELECT rid, 0, r.position, r.n, u.folded, u.siblings FROM up u JOIN subroots r USING (tree) WHERE u.n = 1
+  UNION ALL
+  SELECT u.rid, u.level + 1, u.position // 2, (u.n + 1) // 2,
+    sha256(CASE WHEN s.digest IS NULL THEN u.folded WHEN s.position < u.position THEN s.digest || u.folded ELSE u.folded || s.digest END),
+    u.siblings || coalesce(s.digest, '')
+  FROM onward u LEFT JOIN top s ON s.level = u.level AND s.position = xor(u.position, 1) WHERE u.n > 1)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(o.siblings) AS proof_sha256, o.folded AS folded_root,
+  o.folded = t.digest AS verified
+FROM placed p JOIN subroots s USING (tree) JOIN onward o ON o.rid = p.rid AND o.n = 1, top t WHERE t.n = 1
+"""
+
+SQL: dict[str, str] = {"op4_chat": _OP4, "op5_decontamination": _OP5, "op8_url_filter": _OP8, "op13_merkle_manifest": _OP13}
