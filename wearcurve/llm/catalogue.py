@@ -170,6 +170,14 @@ def op10_idstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies overlap in every document."""
+    from wearcurve.llm import align, pieces, token_counts
+
+    vocabulary, model = token_counts.load_vocabulary(tokenizer_path("byte")), pieces.load_model(tokenizer_path("piece"))
+    return align.align(table(spark, sf_dir, "documents"), vocabulary, model)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The proof of every document in a new manifest, checked on documents of which some were changed."""
     from wearcurve.llm import merkle
@@ -192,7 +200,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore, op13_merkle_manifest)
+    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore, op12_alignment, op13_merkle_manifest)
 }
 
 #: Contamination by brute force: all windows of all documents against all windows of all items.

@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearcurve.llm.batches import small_batches
-from wearcurve.llm.bulkbpe import BulkMerger
-from wearcurve.llm.bytebpe import Parts, base_of, is_plain
+from wearcurve.llm.bulkbpe import LETTERS, MARK, byte_merger, content, cut, gathered, slices
+from wearcurve.llm.bytebpe import LATIN
 from wearcurve.llm.memo import Memo, held, let_go
 from wearcurve.llm.token_counts import Vocabulary
 from wearcurve.sources.tables import scratch_path
@@ -59,48 +59,72 @@ class Store:
 
 
 class Encoder:
-    """Raw ids of texts by the tokenizers library; one per Python worker.
+    """Ids of texts by the tokenizers library; one per Python worker.
 
-    Words are encoded once and remembered. New words of Latin letters, which are one pre-token each, are merged in
-    bulk by the library's vocabulary; all else goes through the library itself.
+    Texts are cut into pre-tokens with Arrow. Words of Latin letters, which are one pre-token each, are merged in bulk by
+    the library's own vocabulary; the other words go through the library itself and are remembered. A text in which a
+    cut could be inside a pre-token is encoded whole. ``plain``: strings of added tokens are ordinary text.
     """
 
-    def __init__(self, vocabulary: Vocabulary, width: int):
+    def __init__(self, vocabulary: Vocabulary, width: int, plain: bool = False):
         import numpy as np
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(vocabulary.spec)
+        tokenizer.encode_special_tokens = plain
         self.kind = f"<u{width}"
-        raw = lambda part: np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype=self.kind).tobytes()
-        self.parts = Parts(raw, b"".join, vocabulary.added, MEMO)
-        self.bulk = BulkMerger(vocabulary)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = self.parts
-        cuts = [parts.cut(t) if t else None for t in texts]
-        self._learn({w for words in cuts if words for w in words})
-        return [parts.get(t) if words is None else parts.of_words(words) for t, words in zip(texts, cuts, strict=True)]
-
-    def _learn(self, words: set[str]) -> None:
-        """Encode the new words that can be merged in bulk."""
-        spaced, bare = self.parts.spaced, self.parts.bare
-        fresh = words.difference(spaced)
-        lines = [w for w in fresh if w[0] == "\n"]
-        self._learn_of(bare, b"", [w[1:] for w in lines])
-        self._learn_of(spaced, b" ", [w for w in fresh if w[0] != "\n"])
-        for w in lines:
-            if w[1:] in bare:
-                spaced.keep(w, bare["\n"] + bare[w[1:]])
-
-    def _learn_of(self, known: Memo, before: bytes, words: list[str]) -> None:
-        bare = self.parts.bare
-        bases = list(map(base_of, words))
-        plain = [w for w in set(bases).difference(known) if w not in known.old and is_plain(w)]
-        for word, ids in zip(plain, self.bulk.merged([before + w.encode() for w in plain], self.kind), strict=True):
-            known.keep(word, ids)
-        for word, base in zip(words, bases, strict=True):
-            if len(base) < len(word):
-                known.keep(word, known[base] + bare[word[len(base) :]])
+        self.added = vocabulary.added
+        self.raw = lambda part: np.array(tokenizer.encode(part, add_special_tokens=False).ids, dtype=np.int64)
+        self.odd = Memo(self.raw, MEMO)
+        self.bulk, self.of_byte = byte_merger(vocabulary)
+
+    def encode(self, texts: pa.Array, spaced: bool = False):
+        """Ids of the texts of a slice one after the other, and where each text's ids end; null is empty.
+
+        ``spaced``: a space is put before every text that is not empty.
+        """
+        import numpy as np
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        if spaced:
+            texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+        codes, starts, words = cut(texts, ",.")
+        plain = pc.match_substring_regex(words, f"^ ?[{LETTERS}]{{1,64}}$").to_numpy(zero_copy_only=False)
+        letters = words.filter(pa.array(plain)) if not plain.all() else words
+        merged, sizes = self.bulk.merged(self.of_byte[content(letters)], pc.binary_length(letters).to_numpy().astype(np.int64))
+        odd = np.flatnonzero(~plain)
+        others = words.take(pa.array(odd)).to_pylist()
+        # what makes a cut doubtful
+        bad, empty, mark, joins = (np.zeros(len(words), dtype=bool) for _ in range(4))
+        for k, word in zip(odd.tolist(), others, strict=True):
+            bad[k] = word != "\n" and (word == " " or (len(word.split()) != 1 if word else False) or word[-1:].isspace() or word[:1] != " " and word[:1].isspace())
+            empty[k] = not word
+            mark[k] = word[:1] in (",", ".")
+            joins[k] = bool(word) and not (word[-1].isalnum() and word[-1] <= LATIN)
+        places, first = len(codes), starts[:-1]
+        at_edge = np.zeros(places + 1, dtype=bool)
+        at_edge[first] = at_edge[starts[1:] - 1] = True
+        doubt = bad[codes] | (empty[codes] & ~at_edge[:places])
+        after = mark[codes] & np.append(False, joins[codes[:-1]])
+        after[first] = False
+        whole = np.logical_or.reduceat(doubt | after, first) if places else np.zeros(0, dtype=bool)
+        for a in [MARK, *self.added]:
+            whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        # entries: merged words, the other words, then whole texts
+        entry = np.empty(len(words) + 1, dtype=np.int64)
+        entry[:-1][plain] = np.arange(len(letters))
+        entry[odd] = np.arange(len(letters), len(words))
+        found = [self.odd[w] if w and not b else np.zeros(0, dtype=np.int64) for w, b in zip(others, bad[odd], strict=True)]
+        codes = entry[codes]
+        for k in np.flatnonzero(whole).tolist():
+            codes[starts[k] : starts[k + 1]] = len(words)  # nothing
+        found.append(np.zeros(0, dtype=np.int64))
+        for k in np.flatnonzero(whole).tolist():
+            codes[starts[k]] = len(letters) + len(found)
+            found.append(self.raw(texts[k].as_py()))
+        ids, ends = gathered(codes, np.concatenate([merged, *found]), np.concatenate([sizes, [len(f) for f in found]]).astype(np.int64))
+        return ids.astype(self.kind), np.append(0, ends)[starts[1:]]
 
 
 def id_width(vocabulary: Vocabulary) -> int:
@@ -117,8 +141,14 @@ def raw_ids(text: Column, vocabulary: Vocabulary, end_id: int) -> Column:
     @F.arrow_udf("binary")
     def encoded(texts: pa.Array) -> pa.Array:
         encoder = held(f"ids{width}{key}", lambda: Encoder(Vocabulary(spec), width))
-        tail = end_id.to_bytes(width, "little")
-        return pa.array([raw + tail for raw in encoder.encode(texts.to_pylist())], pa.binary())
+        tail, out = end_id.to_bytes(width, "little"), []
+        for part in slices(texts):
+            ids, ends = encoder.encode(part)
+            packed, at = ids.tobytes(), 0
+            for end in (ends * width).tolist():
+                out.append(packed[at:end] + tail)
+                at = end
+        return pa.array(out, pa.binary())
 
     return encoded.asNondeterministic()(text)
 
