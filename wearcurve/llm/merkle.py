@@ -176,8 +176,7 @@ def _proofs(levels: Sequence[DataFrame], tails: DataFrame) -> DataFrame:
 
 def prove(manifest: Manifest) -> DataFrame:
     """(row, digest, proof, subroot, root) of every leaf."""
-    total = root(manifest)
-    start = total.select(F.lit("").alias("tree"), F.array().cast("array<string>").alias("proof"), F.lit(None).cast("string").alias("subroot"), "root")
+    start = _roots(manifest.top).select("tree", F.array().cast("array<string>").alias("proof"), F.lit(None).cast("string").alias("subroot"), F.col("digest").alias("root"))
     of_groups = _proofs(manifest.top, start).select(F.col("row.group").alias("tree"), "proof", F.col("digest").alias("subroot"), "root")
     return _proofs(manifest.groups, of_groups).select("row", "digest", "proof", "subroot", "root")
 
