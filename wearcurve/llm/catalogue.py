@@ -170,6 +170,21 @@ def op10_idstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 200 bytes that occur anywhere else."""
+    from wearcurve.llm import repeats
+
+    found = repeats.removed(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two vocabularies overlap in every document."""
     from wearcurve.llm import align, pieces, token_counts
@@ -200,7 +215,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore, op12_alignment, op13_merkle_manifest)
+    f.__name__: f for f in (op1_multiprobe_ann, op2_langid, op3_simhash, op4_chat, op5_decontamination, op6_sentencepiece, op7_token_counts, op8_url_filter, op9_cross_entropy, op10_idstore, op11_suffix_dedup, op12_alignment, op13_merkle_manifest)
 }
 
 #: Contamination by brute force: all windows of all documents against all windows of all items.
