@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from wearcurve.functions.features import METRICS, distance
 from wearcurve.layout import BLOCK, Layout
+from wearcurve.operators import linkage as linkages
+from wearcurve.operators import tiles
 from wearcurve.operators.blocks import Lookback, attach, join_units, positions, spread_groups, unit_table
 
 # executors need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+for _module in (sys.modules[__name__], linkages, tiles):
+    cloudpickle.register_pickle_by_value(_module)
 
 LINKAGES = ("single", "complete", "average", "ward")
 
@@ -151,8 +154,9 @@ def cluster_units(
     """(unit…, cycle, cluster): each unit's rows in ``n_clusters`` clusters; shorter units are skipped.
 
     The caller chooses one method for all units. ``agglomerate`` merges rows bottom-up by ``linkage``, one
-    group per unit, and fails if a unit has more than ``max_rows`` rows. ``centroid`` takes units of any
-    length: distributed centroid rounds, which start from equal stretches of each unit's life and go on
+    group per unit of up to ``max_rows`` rows. Longer units are merged in rounds over tiles of rows
+    (``linkage``): single linkage by Euclidean or Manhattan distance, and Ward by Euclidean distance; with
+    any other linkage they fail the job. ``centroid`` takes units of any length: distributed centroid rounds, which start from equal stretches of each unit's life and go on
     until no centre moves; it has no linkage. Clusters are numbered by first row or by stretch.
     """
     _check(linkage, metric)
@@ -175,8 +179,17 @@ def cluster_units(
         return out
 
     schema = T.StructType([*[df.schema[c] for c in names], df.schema[cycle], T.StructField("cluster", T.IntegerType())])
-    rows = _unit_groups(_long_enough(df, layout, n_clusters, max_rows), features, layout)
-    return spread_groups(rows, names).groupBy(*names).applyInPandas(solve, schema)
+    by_rounds = (linkage == "single" and metric != "cosine") or (linkage, metric) == ("ward", "euclidean")
+    sized = _long_enough(df, layout, n_clusters, None if by_rounds else max_rows)
+    longest = unit_table(df, layout, F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] if by_rounds else 0
+    if (longest or 0) <= max_rows:
+        return spread_groups(_unit_groups(sized, features, layout), names).groupBy(*names).applyInPandas(solve, schema)
+    sized = attach(sized, layout, _rows=F.count(F.lit(1)))
+    short = _unit_groups(sized.where(F.col("_rows") <= max_rows), features, layout)
+    short = spread_groups(short, names).groupBy(*names).applyInPandas(solve, schema)
+    rows = _unit_groups(sized.where(F.col("_rows") > max_rows), features, layout).withColumnRenamed("_cycle", "id")
+    found = linkages.long_clusters(rows.withColumn("id", F.col("id").cast("long")), names, n_clusters, linkage, metric)
+    return short.unionByName(found.select(*names, F.col("id").cast(df.schema[cycle].dataType).alias(cycle), "cluster"))
 
 
 def dendrograms(

@@ -68,15 +68,19 @@ def space_tiles(rows: DataFrame, keys: Sequence[str], id: str, vector: str, tile
     return materialize(out, "tiles")
 
 
-def gap(x: Column, lo: Column, hi: Column) -> Column:
-    """Squared distance of a point to a box."""
+def _summed(gaps: Column, metric: str) -> Column:
+    return F.aggregate(gaps, F.lit(0.0), lambda s, g: s + (g if metric == "manhattan" else g * g))
+
+
+def gap(x: Column, lo: Column, hi: Column, metric: str = "euclidean") -> Column:
+    """Distance of a point to a box: Manhattan, or squared Euclidean."""
     over = F.zip_with(x, F.arrays_zip(lo.alias("lo"), hi.alias("hi")), lambda v, b: F.greatest(b["lo"] - v, v - b["hi"], F.lit(0.0)))
-    return F.aggregate(over, F.lit(0.0), lambda s, g: s + g * g)
+    return _summed(over, metric)
 
 
-def _box_gap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column) -> Column:
+def _box_gap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column, metric: str) -> Column:
     over = F.zip_with(F.arrays_zip(a_lo.alias("lo"), a_hi.alias("hi")), F.arrays_zip(b_lo.alias("lo"), b_hi.alias("hi")), lambda a, b: F.greatest(b["lo"] - a["hi"], a["lo"] - b["hi"], F.lit(0.0)))
-    return F.aggregate(over, F.lit(0.0), lambda s, g: s + g * g)
+    return _summed(over, metric)
 
 
 def boxes(rows: DataFrame, keys: Sequence[str], vector: str, width: int, **more: Column) -> DataFrame:
@@ -85,23 +89,49 @@ def boxes(rows: DataFrame, keys: Sequence[str], vector: str, width: int, **more:
     return rows.groupBy(*keys, "_tile").agg(sides[0].alias("lo"), sides[1].alias("hi"), *[c.alias(n) for n, c in more.items()])
 
 
-def meetings(rows: DataFrame, keys: Sequence[str], vector: str, width: int, limit: str, skip: str | None = None) -> DataFrame:
+def meetings(
+    rows: DataFrame,
+    keys: Sequence[str],
+    vector: str,
+    width: int,
+    limit: str,
+    skip: str | None = None,
+    metric: str = "euclidean",
+    weigh: tuple[str, str] | None = None,
+) -> DataFrame:
     """Rows that have to meet, by (keys, _from, _to): those that look (``_looks``) and those that may be found.
 
-    ``limit``: squared distance within which a row looks (null: it does not). ``skip``: a column; two tiles that both
-    have one and the same value in it need not meet.
+    ``limit``: distance, as ``gap`` measures it, within which a row looks (null: it does not). ``skip``: a column; two
+    tiles that both have one and the same value in it need not meet. ``weigh``: columns of a cluster's rows n and spread
+    v, if what is limited is n1 n2 / (n1 + n2) (distance + v1 + v2), which grows with all of them.
     """
     keys = list(keys)
-    same = {"_one": F.when(F.min(skip) == F.max(skip), F.min(skip))} if skip else {}
-    box = boxes(rows, keys, vector, width, _most=F.max(limit), **same)
-    left = box.select(*keys, F.pmod(F.xxhash64("_tile"), F.lit(_SALTS)).alias("_salt"), F.struct("_tile", "lo", "hi", "_most", *same).alias("a")).where("a._most IS NOT NULL")
-    right = box.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("_salt"), F.struct("_tile", "lo", "hi", *same).alias("b"))
-    pairs = left.join(right, [*keys, "_salt"]).where((F.col("a._tile") != F.col("b._tile")) & (_box_gap(*[F.col(c) for c in ("a.lo", "a.hi", "b.lo", "b.hi")]) <= F.col("a._most")))
+    more = {"_one": F.when(F.min(skip) == F.max(skip), F.min(skip))} if skip else {}
+    if weigh:
+        more |= {"_n0": F.min(weigh[0]), "_v0": F.min(weigh[1])}
+
+    def bound(distance: Column, one: tuple[str, str], two: tuple[str, str]) -> Column:
+        if not weigh:
+            return distance
+        (n1, v1), (n2, v2) = ([F.col(c) for c in x] for x in (one, two))
+        return n1 * n2 / (n1 + n2) * (distance + v1 + v2)
+
+    box = boxes(rows, keys, vector, width, _most=F.max(limit), **more)
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("_salt")
+    left = box.select(*keys, F.pmod(F.xxhash64("_tile"), F.lit(_SALTS)).alias("_salt"), F.struct("_tile", "lo", "hi", "_most", *more).alias("_a")).where("_a._most IS NOT NULL")
+    right = box.select(*keys, salts, F.struct("_tile", "lo", "hi", *more).alias("_b"))
+    between = _box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric)
+    near = (F.col("_a._tile") != F.col("_b._tile")) & (bound(between, ("_a._n0", "_a._v0"), ("_b._n0", "_b._v0")) <= F.col("_a._most"))
+    pairs = left.join(right, [*keys, "_salt"]).where(near)
     if skip:
-        pairs = pairs.where(~F.coalesce(F.col("a._one") == F.col("b._one"), F.lit(False)))
-    pairs = pairs.select(*keys, F.col("a._tile").alias("_from"), F.col("b._tile").alias("_to"), F.col("a.lo").alias("_alo"), F.col("a.hi").alias("_ahi"), F.col("b.lo").alias("_blo"), F.col("b.hi").alias("_bhi"), F.col("a._most").alias("_most"))
-    looks = rows.join(pairs.withColumn("_tile", F.col("_from")), [*keys, "_tile"]).where(gap(F.col(vector), F.col("_blo"), F.col("_bhi")) <= F.col(limit))
-    found = rows.join(pairs.withColumn("_tile", F.col("_to")), [*keys, "_tile"]).where(gap(F.col(vector), F.col("_alo"), F.col("_ahi")) <= F.col("_most"))
+        pairs = pairs.where(~F.coalesce(F.col("_a._one") == F.col("_b._one"), F.lit(False)))
+    pairs = pairs.select(*keys, F.col("_a._tile").alias("_from"), F.col("_b._tile").alias("_to"), "_a", "_b")
+    own = weigh or ("", "")
+    x = F.col(vector)
+    looks = rows.join(pairs.withColumn("_tile", F.col("_from")), [*keys, "_tile"])
+    looks = looks.where(bound(gap(x, F.col("_b.lo"), F.col("_b.hi"), metric), own, ("_b._n0", "_b._v0")) <= F.col(limit))
+    found = rows.join(pairs.withColumn("_tile", F.col("_to")), [*keys, "_tile"])
+    found = found.where(bound(gap(x, F.col("_a.lo"), F.col("_a.hi"), metric), ("_a._n0", "_a._v0"), own) <= F.col("_a._most"))
     names = [*rows.columns, "_from", "_to"]
     return looks.select(*names, F.lit(True).alias("_looks")).unionAll(found.select(*names, F.lit(False).alias("_looks")))
 
