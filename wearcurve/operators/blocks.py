@@ -8,10 +8,12 @@ The helpers below are the only place where windows over a unit are built:
 * ``attach``         per-unit aggregates on every row
 * ``Lookback``       windows that look a bounded number of rows back
 * ``block_carry``    running aggregates: what all earlier (or later) blocks of the unit contribute
+* ``store_blocks``   rows written once by (unit, block), so that several steps per block share one shuffle
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -154,6 +156,17 @@ def block_carry(
     )
 
 
+def store_blocks(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows with their block, written as a table bucketed by (unit, block): work per block needs no further shuffle."""
+    from wearcurve.sources.tables import scratch_path
+
+    spark, name = df.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    n, keys = shuffle_partitions(df), layout.block_keys
+    writer = layout.with_block(df).repartition(n, *keys).write.bucketBy(n, *keys).option("path", scratch_path(spark, name))
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
 def block_window(layout: Layout):
     """Window over one block of one unit, ordered by cycle."""
     return Window.partitionBy(*layout.block_keys).orderBy(layout.cycle)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearcurve.functions import features as fx
 from wearcurve.layout import BLOCK, Layout
-from wearcurve.operators.blocks import Lookback, attach, block_window, positions
+from wearcurve.operators.blocks import Lookback, attach, block_window, positions, store_blocks
 
 # Fixed values
 WINDOWS = (5, 10, 20)
@@ -153,6 +154,122 @@ def add_running(
     return out.select(*kept) if had_block else out.select(*[c for c in kept if c != BLOCK])
 
 
+@dataclass(frozen=True)
+class Rolling:
+    """Mean and sample deviation over the last ``w`` rows, for each of ``windows``."""
+
+    columns: Sequence[str]
+    windows: Sequence[int] = WINDOWS
+    mean_name: str = "{c}_roll{w}_mean"
+    std_name: str = "{c}_roll{w}_std"
+
+
+@dataclass(frozen=True)
+class Running:
+    """``<c>_cummean`` and ``<c>_cumstd`` since the unit's first row."""
+
+    columns: Sequence[str]
+
+
+@dataclass(frozen=True)
+class Difference:
+    """``<c>_diff``: change since the unit's previous row, 0 on its first row."""
+
+    columns: Sequence[str]
+
+
+def add_windows(df: DataFrame, layout: Layout, requests: Sequence[Rolling | Running | Difference]) -> DataFrame:
+    """All requested columns in one pass over the rows.
+
+    Rows are written once by (unit, block). A block tells the rest of its unit its count, mean and squared deviation of
+    each column and its last rows, as many as the longest window; what earlier blocks say is put together for each
+    block and joined back to it. So every result is the block's own part merged with what came before, whatever
+    gaps the cycles have, and rows are shuffled once. The same values as ``add_rolling``, ``add_running`` and
+    ``add_differences``; nulls are skipped, and a mean of nothing is null. The rows are written before this returns.
+    """
+    names = list(dict.fromkeys(c for r in requests for c in r.columns))
+    back = max([max(r.windows) - 1 for r in requests if isinstance(r, Rolling)] + [1])
+    had_block, given = BLOCK in df.columns, list(df.columns)
+    stored = store_blocks(df, layout)
+    keys, own = layout.block_keys, block_window(layout)
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(layout.cycle)))
+    values = F.array(*[F.col(c).cast("double") for c in names])
+    told = stored.select(*keys, layout.cycle, *names, last.alias("_last"))
+    aggs = [F.collect_list(F.when(F.col("_last") <= back, F.struct(F.col(layout.cycle).alias("t"), values.alias("x")))).alias("_tail")]
+    for i, c in enumerate(names):
+        x = F.col(c).cast("double")
+        aggs += [F.count(c).alias(f"_n{i}"), F.avg(x).alias(f"_m{i}"), F.coalesce(F.var_pop(x) * F.count(c), F.lit(0.0)).alias(f"_q{i}")]
+    per_block = told.groupBy(*keys).agg(*aggs)
+    order = Window.partitionBy(*layout.unit).orderBy(BLOCK)
+    upto, earlier = order.rowsBetween(_BACK, 0), order.rowsBetween(_BACK, -1)
+    # a block has a row at least, so the last rows are in as many blocks
+    tails = F.sort_array(F.flatten(F.collect_list("_tail").over(order.rowsBetween(-back, -1))), asc=False)
+    refs, sums = {"_tails": F.transform(F.slice(tails, 1, back), lambda r: r["x"])}, []
+    for i in range(len(names)):
+        n, gap = F.col(f"_n{i}"), F.col(f"_m{i}") - F.col(f"_ref{i}")
+        # deviations are taken from the unit's first block mean, which keeps the sums small
+        refs[f"_ref{i}"] = F.first(f"_m{i}", ignorenulls=True).over(upto)
+        squares = F.col(f"_q{i}") + F.coalesce(n * gap * gap, F.lit(0.0))
+        sums += [
+            F.col(f"_ref{i}"),
+            F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_n0{i}"),
+            F.coalesce(F.sum(n * gap).over(earlier), F.lit(0.0)).alias(f"_d0{i}"),
+            F.coalesce(F.sum(squares).over(earlier), F.lit(0.0)).alias(f"_s0{i}"),
+        ]
+    carried = per_block.withColumns(refs).select(*keys, "_tails", *sums)
+    # of the last 0, 1, 2, ... rows before the block: count, sum and sum of squares around the reference
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("d"), F.lit(0.0).alias("s"))
+
+    def so_many(i: int) -> Column:
+        def one_more(so_far: Column, row: Column) -> Column:
+            gap, before = F.get(row, F.lit(i)) - F.col(f"_ref{i}"), F.element_at(so_far, -1)
+            n = before["n"] + gap.isNotNull().cast("long")
+            d, s = before["d"] + F.coalesce(gap, F.lit(0.0)), before["s"] + F.coalesce(gap * gap, F.lit(0.0))
+            return F.concat(so_far, F.array(F.struct(n.alias("n"), d.alias("d"), s.alias("s"))))
+
+        return F.aggregate("_tails", F.array(zero), one_more)
+
+    parts = {f"_t{i}": so_many(i) for i in range(len(names))}
+    carried = carried.withColumns(parts).withColumn("_prev", F.get("_tails", F.lit(0))).drop("_tails")
+    rows = stored.join(carried, keys, "left").withColumn("_rn", F.row_number().over(own))
+
+    def merged(i: int, n0: Column, d0: Column, s0: Column, frame) -> tuple[Column, Column]:
+        """Mean and sample deviation of what came before and of a frame of the block's own rows."""
+        x, ref = F.col(names[i]).cast("double"), F.col(f"_ref{i}")
+        n1 = F.count(names[i]).over(frame)
+        d1 = F.coalesce((F.avg(x).over(frame) - ref) * n1, F.lit(0.0))
+        s1 = F.coalesce(F.var_pop(x).over(frame) * n1, F.lit(0.0)) + F.coalesce(F.try_divide(d1 * d1, n1), F.lit(0.0))
+        n = n0 + n1
+        offset = F.try_divide(d0 + d1, n)
+        squares = F.greatest(s0 + s1 - (d0 + d1) * offset, F.lit(0.0))
+        return ref + offset, F.coalesce(F.sqrt(F.try_divide(squares, n - 1)), F.lit(0.0))
+
+    new: dict[str, Column] = {}
+    for request in requests:
+        for c in request.columns:
+            i = names.index(c)
+            if isinstance(request, Difference):
+                before = F.when(F.col("_rn") == 1, F.get("_prev", F.lit(i))).otherwise(F.lag(F.col(c).cast("double")).over(own))
+                new.setdefault(f"{c}_diff", F.coalesce(F.col(c) - before, F.lit(0.0)))
+            elif isinstance(request, Running):
+                mean, std = merged(i, F.col(f"_n0{i}"), F.col(f"_d0{i}"), F.col(f"_s0{i}"), own.rowsBetween(_BACK, 0))
+                new |= {f"{c}_cummean": mean, f"{c}_cumstd": std}
+            else:
+                for w in request.windows:
+                    # a block's first rows are short of so many, the last before the block
+                    missing = F.least(F.greatest(F.lit(w) - F.col("_rn"), F.lit(0)), F.size(f"_t{i}") - 1)
+                    part = F.get(f"_t{i}", missing.cast("int"))
+                    frame = own.rowsBetween(-(w - 1), 0)
+                    mean, std = merged(i, part["n"], part["d"], part["s"], frame)
+                    inside = F.col("_rn") >= w
+                    x = F.col(c).cast("double")
+                    mean = F.when(inside, F.avg(x).over(frame)).otherwise(mean)
+                    std = F.when(inside, F.coalesce(F.stddev_samp(x).over(frame), F.lit(0.0))).otherwise(std)
+                    new |= {request.mean_name.format(c=c, w=w): mean, request.std_name.format(c=c, w=w): std}
+    new = {n: e for n, e in new.items() if n not in given}
+    return rows.withColumns(new).select(*given, *new) if had_block else rows.withColumns(new).select(*[c for c in given if c != BLOCK], *new)
+
+
 def add_crossovers(
     df: DataFrame, columns: Sequence[str], layout: Layout, windows: Sequence[int] = WINDOWS
 ) -> DataFrame:
