@@ -8,6 +8,7 @@ The helpers below are the only place where windows over a unit are built:
 * ``attach``         per-unit aggregates on every row
 * ``Lookback``       windows that look a bounded number of rows back
 * ``block_carry``    running aggregates: what all earlier (or later) blocks of the unit contribute
+* ``range_parts``    rows written in order, cut into numbered parts; ``range_positions`` counts rows over them
 * ``store_blocks``   rows written once by (unit, block), so that several steps per block share one shuffle
 """
 
@@ -156,6 +157,33 @@ def block_carry(
     )
 
 
+def range_parts(rows: DataFrame, by: Sequence[Column | str]) -> DataFrame:
+    """Rows in order, written: ``_part`` numbers the ranges they were dealt by, ``_place`` grows along the order.
+
+    Rows that are equal in ``by`` share a part, so ``by`` should tell rows apart. ``rows`` should be a stored table.
+    """
+    from wearcurve.sources.tables import materialize
+
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = materialize(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    return placed.withColumn("_part", F.shiftright("_place", 33))
+
+
+def range_positions(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "_pos", total: str = "_of") -> DataFrame:
+    """1-based position of each row among those with equal ``keys``, and how many these are.
+
+    Rows are counted for each part of a key's rows: what passes a window is one row for each part.
+    """
+    keys = list(keys)
+    placed = range_parts(rows, [*keys, *order])
+    parts = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
+    before = F.sum("_rows").over(group.orderBy("_part")) - F.col("_rows")
+    parts = parts.select(*keys, "_part", (before - F.col("_first") + 1).alias("_base"), F.sum("_rows").over(group).alias(total))
+    found = placed.join(parts, [*keys, "_part"])
+    return found.withColumn(out, F.col("_place") + F.col("_base")).drop("_place", "_part", "_base")
+
+
 def store_blocks(df: DataFrame, layout: Layout) -> DataFrame:
     """Rows with their block, written as a table bucketed by (unit, block): work per block needs no further shuffle."""
     from wearcurve.sources.tables import scratch_path

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from wearcurve.functions import risk as rx
 from wearcurve.functions.features import clip, min_max
 from wearcurve.layout import Layout
-from wearcurve.operators.blocks import join_groups
+from wearcurve.operators.blocks import join_groups, range_parts
 from wearcurve.operators.quantiles import exact_percentiles
 
 STAGE = "predicted_stage"
 TIME = "predicted_time_to_next_stage"
 SCORE_PREFERENCE = ("normalized_urgency", "normalized_risk_score", "urgency_score")
 METHODS = ("urgency", "calibrated_minmax", "calibrated_urgency")
-_CURVE_ROWS = 100_000  # distinct scores of a bucket
 
 
 def _spread(df: DataFrame) -> list[str]:
@@ -119,9 +118,9 @@ def dynamic_thresholds(
 def threshold_curve(df: DataFrame, score: str, failure: Column, beta: float = 1.0) -> DataFrame:
     """Precision, recall and F-beta of alerting at each distinct score or above.
 
-    Equal scores are merged first. The running totals from the highest score down are taken per
-    bucket of scores, and the totals of the higher buckets are added, so no task sees all scores. There
-    are as many buckets as the distinct scores need.
+    Equal scores are merged first and written in order, highest first. Each part of the order adds up its own scores,
+    and the totals of the parts before it are added, so no task sees all scores and work grows with their number. The
+    scores are written before this returns.
     """
     from wearcurve.sources.tables import materialize
 
@@ -129,24 +128,17 @@ def threshold_curve(df: DataFrame, score: str, failure: Column, beta: float = 1.
         F.sum(failure.cast("long")).alias("_hit"), F.count(F.lit(1)).alias("_n")
     )
     tally = materialize(tally, "scores")
-    buckets = 2 + tally.count() // _CURVE_ROWS
-    marks = [i / buckets for i in range(1, buckets)]
-    edges = tally.agg(F.percentile_approx("score", F.lit(marks), max(10_000, 10 * buckets))).scalar()
-    placed = tally.withColumn("_edges", edges).withColumn(
-        "_bucket", F.size(F.filter("_edges", lambda e: e <= F.col("score")))
-    ).drop("_edges")
-    sums = placed.groupBy("_bucket").agg(F.sum("_hit").alias("_bh"), F.sum("_n").alias("_bn"))
-    higher = Window.partitionBy(F.lit(0)).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = range_parts(tally, [F.desc("score")])
+    sums = placed.groupBy("_part").agg(F.sum("_hit").alias("_bh"), F.sum("_n").alias("_bn"))
+    # one row for each part
+    higher = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     above = sums.select(
-        "_bucket",
+        "_part",
         F.coalesce(F.sum("_bh").over(higher), F.lit(0)).alias("_ah"),
         F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_an"),
     )
-    down = Window.partitionBy("_bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    # one small row for each bucket; Spark broadcasts them if they are few
-    rows = placed.withColumns({"_ch": F.sum("_hit").over(down), "_cn": F.sum("_n").over(down)}).join(
-        above, "_bucket"
-    )
+    down = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.withColumns({"_ch": F.sum("_hit").over(down), "_cn": F.sum("_n").over(down)}).join(above, "_part")
     total = tally.agg(F.sum("_hit")).scalar()
     hits, alerts = F.col("_ch") + F.col("_ah"), F.col("_cn") + F.col("_an")
     b2 = beta * beta

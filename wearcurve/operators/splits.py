@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearcurve.layout import Layout
 from wearcurve.operators.blocks import attach, blocked_rank, join_groups, join_units, positions, unit_table, with_row
 
+# executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEED = 42
+#: Rows of a leaf of the bootstrap's tree, at most about.
+_LEAF_ROWS = 4096
 _HASH_BUCKET_DIGITS = 4  # 65,536 buckets
 _BUCKET_ROWS = 1 << 16
 
@@ -121,15 +132,90 @@ def stratified_split(
 
 
 def row_sample(df: DataFrame, rows: int, row_key: Sequence[str], seed: int = SEED) -> DataFrame:
-    """At most ``rows`` rows, chosen by hash."""
-    order = [hash_of(row_key, seed), *[F.col(c) for c in row_key]]
-    return df.orderBy(*order).limit(rows)
+    """At most ``rows`` rows, chosen by hash: those whose hash is among the ``rows`` smallest.
+
+    The hash of the last one is found digit by digit: rows are counted by the next digits of those that begin like it,
+    until these are few. The rest is a filter. The counts are taken before this returns.
+    """
+    hashed = df.withColumn("_hash", hash_of(row_key, seed))
+    head, left, inside = "", rows, hashed
+    while len(head) < 32:
+        digits = len(head) + _HASH_BUCKET_DIGITS
+        counts = inside.groupBy(F.substring("_hash", 1, digits).alias("_head")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_head"))  # one row for each of 65,536 heads
+        last = counts.withColumn("_upto", upto).where(F.col("_upto") >= left).agg(F.min(F.struct("_head", "_upto", "_n"))).first()[0]
+        if last is None:  # there are not so many rows
+            return df
+        head, left = last["_head"], left - (last["_upto"] - last["_n"])
+        if left == last["_n"]:  # all that begin like this
+            return hashed.where(F.substring("_hash", 1, len(head)) <= head).drop("_hash")
+        inside = hashed.where(F.col("_hash").startswith(head))
+        if last["_n"] <= _BUCKET_ROWS:
+            break
+    order = Window.partitionBy(F.lit(0)).orderBy("_hash", *row_key)  # some thousand rows
+    edge = inside.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= left).drop("_r")
+    return hashed.where(F.substring("_hash", 1, len(head)) < head).unionByName(edge).drop("_hash")
+
+
+def _multinomial(draws: int, weights: np.ndarray, seed: int, node: str) -> np.ndarray:
+    """How many of ``draws`` fall to each weight; the same for the same node and weights, whoever asks."""
+    total = weights.sum()
+    if not draws or not total:
+        return np.zeros(len(weights), dtype=np.int64)
+    source = np.random.default_rng(list(hashlib.sha256(f"{seed}:{node}".encode()).digest()))
+    return source.multinomial(draws, weights / total)
 
 
 def weighted_bootstrap(
+    df: DataFrame, weight: str, row_key: Sequence[str], seed: int = SEED, draws: int | None = None
+) -> DataFrame:
+    """Sample with replacement, each row drawn in proportion to its weight; rows come once, with ``draws``.
+
+    Exactly ``draws`` rows are drawn, as many as there are rows by default. The draws are dealt down a tree over the
+    rows' hashes: a node deals its draws to its children by their sums of weights, and a leaf of some thousand rows to
+    its rows. Each node draws by its own seed and weights are added up exactly, so the sample does not depend on the
+    order or place of rows. Weights are taken to 2**-40 of the largest; null and negative ones count as zero, and if
+    there is no other, no row is drawn. The rows are counted before this returns.
+    """
+    from pyspark.sql import types as T
+
+    plain = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
+    rows, most = df.agg(F.count(F.lit(1)), F.max(plain)).first()
+    units = F.round(plain / F.lit(most or 1.0) * F.lit(float(1 << 40))).cast("decimal(14,0)") if most else F.lit(0).cast("decimal(14,0)")
+    hashed = df.withColumns({"_hash": hash_of(row_key, seed), "_units": units})
+    depth = 0
+    while rows > _LEAF_ROWS << (8 * depth):
+        depth += 1
+    head = lambda level: F.substring("_hash", 1, 2 * level) if level else F.lit("")
+    given = df.sparkSession.createDataFrame([("", rows if draws is None else draws)], "_node string, _draws long")
+    for level in range(1, depth + 1):
+        sums = hashed.groupBy(head(level).alias("_child")).agg(F.sum("_units").cast("double").alias("_w"))
+        children = sums.withColumn("_node", F.substring("_child", 1, 2 * (level - 1))).join(given, "_node")
+
+        def deal(node: pa.Table) -> pa.Table:
+            node = node.sort_by("_child")
+            name, many = node["_node"][0].as_py(), node["_draws"][0].as_py()
+            return pa.table({"_node": node["_child"], "_draws": _multinomial(many, node["_w"].to_numpy(), seed, name)})
+
+        given = children.groupBy("_node").applyInArrow(deal, "_node string, _draws long")
+    leaves = hashed.withColumn("_node", head(depth)).join(given.withColumnRenamed("_draws", "_of_leaf"), "_node")
+    keep = df.columns
+
+    def draw(leaf: pa.Table) -> pa.Table:
+        order = pc.sort_indices(leaf, [("_hash", "ascending"), ("_units", "ascending")])
+        leaf = leaf.take(order)
+        weights = np.array([float(u) for u in leaf["_units"].to_pylist()])
+        drawn = _multinomial(leaf["_of_leaf"][0].as_py(), weights, seed, "leaf" + leaf["_node"][0].as_py())
+        return leaf.select(keep).append_column("draws", pa.array(drawn.astype(np.int32)))
+
+    schema = T.StructType([*df.schema.fields, T.StructField("draws", T.IntegerType())])
+    return leaves.groupBy("_node").applyInArrow(draw, schema).where("draws > 0")
+
+
+def poisson_bootstrap(
     df: DataFrame, weight: str, row_key: Sequence[str], seed: int = SEED
 ) -> DataFrame:
-    """Sample with replacement, each row drawn in proportion to its weight.
+    """Like ``weighted_bootstrap``, with about as many draws as rows and no shuffle.
 
     Draw counts are Poisson with mean weight * n / sum(weight), taken from the row's hash by inverting
     the distribution, so the sample is the same on every run. Rows come once, with ``draws``.

@@ -12,34 +12,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wearcurve.operators.blocks import range_positions, shuffle_partitions
+
 TILE_ROWS = 1024
 #: Coordinates that tiles are cut by, at most.
 _CUTS = 3
-_SALTS = 16
-
-
-def range_positions(rows: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "_pos", total: str = "_of") -> DataFrame:
-    """1-based position of each row among those with equal ``keys``, and how many these are; a stored table.
-
-    Rows are dealt by ranges of (keys, order), and rows are counted for each part: what passes a window is one row for
-    each part. ``rows`` should be a stored table, and its rows distinct in (keys, order).
-    """
-    from wearcurve.sources.tables import materialize
-
-    keys, by = list(keys), [*keys, *order]
-    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by)
-    placed = materialize(dealt.withColumn("_place", F.monotonically_increasing_id()), "ranges")
-    part = F.shiftright("_place", 33).alias("_part")
-    parts = placed.groupBy(*keys, part).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    group = Window.partitionBy(*(keys or [F.lit(0)]))
-    before = F.sum("_rows").over(group.orderBy("_part")) - F.col("_rows")
-    parts = parts.select(*keys, "_part", (before - F.col("_first") + 1).alias("_base"), F.sum("_rows").over(group).alias(total))
-    found = placed.withColumn("_part", part).join(parts, [*keys, "_part"])
-    return found.withColumn(out, F.col("_place") + F.col("_base")).drop("_place", "_part", "_base")
 
 
 def space_tiles(rows: DataFrame, keys: Sequence[str], id: str, vector: str, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -98,15 +79,19 @@ def meetings(
     skip: str | None = None,
     metric: str = "euclidean",
     weigh: tuple[str, str] | None = None,
+    answers: str | None = None,
 ) -> DataFrame:
     """Rows that have to meet, by (keys, _from, _to): those that look (``_looks``) and those that may be found.
 
     ``limit``: distance, as ``gap`` measures it, within which a row looks (null: it does not). ``skip``: a column; two
     tiles that both have one and the same value in it need not meet. ``weigh``: columns of a cluster's rows n and spread
-    v, if what is limited is n1 n2 / (n1 + n2) (distance + v1 + v2), which grows with all of them.
+    v, if what is limited is n1 n2 / (n1 + n2) (distance + v1 + v2), which grows with all of them. ``answers``: a boolean
+    column; only those rows are found. Tiles are compared box by box, in as many parts as the session shuffles to.
     """
     keys = list(keys)
     more = {"_one": F.when(F.min(skip) == F.max(skip), F.min(skip))} if skip else {}
+    if answers:
+        more["_any"] = F.max(answers)
     if weigh:
         more |= {"_n0": F.min(weigh[0]), "_v0": F.min(weigh[1])}
 
@@ -117,9 +102,10 @@ def meetings(
         return n1 * n2 / (n1 + n2) * (distance + v1 + v2)
 
     box = boxes(rows, keys, vector, width, _most=F.max(limit), **more)
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("_salt")
-    left = box.select(*keys, F.pmod(F.xxhash64("_tile"), F.lit(_SALTS)).alias("_salt"), F.struct("_tile", "lo", "hi", "_most", *more).alias("_a")).where("_a._most IS NOT NULL")
-    right = box.select(*keys, salts, F.struct("_tile", "lo", "hi", *more).alias("_b"))
+    many = shuffle_partitions(rows)
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))).alias("_salt")
+    left = box.select(*keys, F.pmod(F.xxhash64("_tile"), F.lit(many)).alias("_salt"), F.struct("_tile", "lo", "hi", "_most", *more).alias("_a")).where("_a._most IS NOT NULL")
+    right = (box.where("_any") if answers else box).select(*keys, salts, F.struct("_tile", "lo", "hi", *more).alias("_b"))
     between = _box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric)
     near = (F.col("_a._tile") != F.col("_b._tile")) & (bound(between, ("_a._n0", "_a._v0"), ("_b._n0", "_b._v0")) <= F.col("_a._most"))
     pairs = left.join(right, [*keys, "_salt"]).where(near)
@@ -130,7 +116,7 @@ def meetings(
     x = F.col(vector)
     looks = rows.join(pairs.withColumn("_tile", F.col("_from")), [*keys, "_tile"])
     looks = looks.where(bound(gap(x, F.col("_b.lo"), F.col("_b.hi"), metric), own, ("_b._n0", "_b._v0")) <= F.col(limit))
-    found = rows.join(pairs.withColumn("_tile", F.col("_to")), [*keys, "_tile"])
+    found = (rows.where(answers) if answers else rows).join(pairs.withColumn("_tile", F.col("_to")), [*keys, "_tile"])
     found = found.where(bound(gap(x, F.col("_a.lo"), F.col("_a.hi"), metric), ("_a._n0", "_a._v0"), own) <= F.col("_a._most"))
     names = [*rows.columns, "_from", "_to"]
     return looks.select(*names, F.lit(True).alias("_looks")).unionAll(found.select(*names, F.lit(False).alias("_looks")))

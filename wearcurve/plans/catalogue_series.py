@@ -814,9 +814,26 @@ _POISSON_SQL = """WITH b AS (SELECT unit_number, time_cycles, sensor_1 * (SELECT
   SELECT unit_number, time_cycles, CAST(count(*) FILTER (WHERE c <= x) AS INT) AS draws FROM c GROUP BY 1, 2 HAVING draws > 0"""
 
 
-@query("L8_weighted_bootstrap", [*KEY, "draws"], (), _POISSON_SQL, "u")
+@query("L8_poisson_bootstrap", [*KEY, "draws"], (), _POISSON_SQL, "u")
 def _(t: Tables):
-    return splits.weighted_bootstrap(t.series, "sensor_1", KEY)
+    return splits.poisson_bootstrap(t.series, "sensor_1", KEY)
+
+
+@query("L8_weighted_bootstrap", ["unit_number", "near_share"], ["total"], "SELECT unit_number, true AS near_share, (SELECT count(*) FROM u) AS total FROM u GROUP BY 1", "u")
+def _(t: Tables):
+    drawn = t.series.join(splits.weighted_bootstrap(t.series, "sensor_1", KEY).select(*KEY, "draws"), KEY, "left")
+    sums = drawn.groupBy("unit_number").agg(F.coalesce(F.sum("draws"), F.lit(0)).alias("draws"), F.sum("sensor_1").alias("w"))
+    every = sums.agg(F.sum("draws").alias("total"), F.sum("w").alias("w")).select(F.struct("*")).scalar()
+    share = F.col("w") / F.col("_all.w")
+    n = F.col("_all.total")
+    # five standard deviations of a binomial count
+    near = F.abs(F.col("draws") - n * share) <= 5 * F.sqrt(n * share * (1 - share)) + 1
+    return sums.withColumn("_all", every).select("unit_number", near.alias("near_share"), n.alias("total"))
+
+
+@query("L8_weighted_draws", [*KEY, "draws"])
+def _(t: Tables):
+    return splits.weighted_bootstrap(t.series, "sensor_1", KEY).select(*KEY, "draws")
 
 
 # --- M1 ----------------------------------------------------------------------------------------
