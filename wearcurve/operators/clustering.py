@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from wearcurve.functions.features import METRICS, distance
 from wearcurve.layout import BLOCK, Layout
 from wearcurve.operators import linkage as linkages
 from wearcurve.operators import tiles
-from wearcurve.operators.blocks import Lookback, attach, join_units, positions, spread_groups, unit_table
+from wearcurve.operators.blocks import Lookback, attach, join_units, positions, range_positions, spread_groups, unit_table
 
 # executors need not have this package installed
 for _module in (sys.modules[__name__], linkages, tiles):
@@ -337,18 +338,24 @@ def nearest_centroid(
 ) -> DataFrame:
     """The closest centroid of each row, the first label on ties; ``centres`` is (label, centroid).
 
-    Centroids travel as arrays of at most ``chunk``; a row keeps the best of each and of all.
+    Up to ``chunk`` centroids travel as one array. More are cut into tiles, and so are the rows: a row's limit is its
+    nearest centroid in the tile next to its own, and only tiles within that limit are looked into. By cosine there are
+    no such limits: then centroids travel as arrays of at most ``chunk``, and a row keeps the best of each and of all.
+    The centroids are counted, and tiles written, before this returns.
     """
     from wearcurve.sources.tables import materialize
 
-    order = Window.orderBy("label")
-    listed = centres.select(F.col(label).alias("label"), "centroid")
-    numbered = materialize(listed.withColumn("_chunk", F.floor((F.row_number().over(order) - 1) / chunk)), "centroids")
-    chunks = -(-numbered.count() // chunk)
+    listed = materialize(centres.select(F.col(label).alias("label"), F.col("centroid").cast("array<double>").alias("centroid")), "centroids")
+    many = listed.count()
+    if many > chunk and metric != "cosine":
+        return _nearest_by_tiles(df, vector, listed, metric)
+    numbered = listed.withColumn("_chunk", F.lit(0).cast("long"))
+    if many > chunk:
+        numbered = materialize(range_positions(listed, [], ["label"]).withColumn("_chunk", F.floor((F.col("_pos") - 1) / chunk)), "numbered")
     rows = df
     kind = f"struct<d:double,label:{listed.schema['label'].dataType.simpleString()}>"
     best = [F.lit(None).cast(kind)]
-    for i in range(chunks):
+    for i in range(-(-many // chunk)):
         packed = numbered.where(F.col("_chunk") == i).agg(F.sort_array(F.collect_list(F.struct("label", "centroid")))).scalar()
         rows = rows.withColumn(f"_centres{i}", packed)
         scored = F.transform(
@@ -360,6 +367,51 @@ def nearest_centroid(
     return rows.select(*df.columns, F.col("_best.label").alias("nearest"), F.col("_best.d").alias("distance"))
 
 
+def _nearest_by_tiles(df: DataFrame, vector: str, listed: DataFrame, metric: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    from wearcurve.sources.tables import materialize
+
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "nearest-rows")
+    points = rows.select("_row", F.col(vector).cast("array<double>").alias("_x")).where("_x IS NOT NULL")
+    points = tiles.space_tiles(points, [], "_row", "_x")
+    heads = tiles.space_tiles(listed.select("label", F.col("centroid").alias("_x")), [], "label", "_x")
+    heads = heads.withColumn("_tile", -1 - F.col("_tile"))
+    width = heads.agg(F.max(F.size("_x"))).first()[0] or 1
+    kind = listed.schema["label"].dataType
+
+    def nearest(cell: pa.Table) -> pa.Table:
+        """The nearest centroid of the cell for each of its rows, the first label of equals."""
+        looks = cell["_looks"].to_numpy(zero_copy_only=False).astype(bool)
+        here, there = cell.filter(pa.array(looks)), cell.filter(pa.array(~looks)).sort_by("label")
+        if not len(there) or not len(here):
+            return pa.table({"_row": pa.array([], pa.int64()), "_d": pa.array([], pa.float64()), "label": cell["label"].slice(0, 0)})
+        x, y = tiles.matrix(here["_x"]), tiles.matrix(there["_x"])
+        at, low = np.zeros(len(x), dtype=np.int64), np.zeros(len(x))
+        for i in range(0, len(x), 1024):
+            d = linkages.apart(x[i : i + 1024], y, metric)
+            at[i : i + 1024] = d.argmin(axis=1)
+            low[i : i + 1024] = d.min(axis=1)
+        return pa.table({"_row": here["_row"], "_d": low, "label": there["label"].take(pa.array(at))})
+
+    schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("_d", T.DoubleType()), T.StructField("label", kind)])
+    # the tile of centroids next to each tile of rows
+    guess = tiles.nearest_tiles(points, heads, "_x", width, metric)
+    looks = points.join(guess, "_tile").select("_row", F.lit(None).cast(kind).alias("label"), "_x", F.col("_tile").alias("_from"), F.col("_next").alias("_to"), F.lit(True).alias("_looks"))
+    known = heads.join(guess.select(F.col("_tile").alias("_from"), F.col("_next").alias("_tile")), "_tile")
+    known = known.select(F.lit(None).cast("long").alias("_row"), "label", "_x", "_from", F.col("_tile").alias("_to"), F.lit(False).alias("_looks"))
+    first = materialize(looks.unionAll(known).groupBy("_from", "_to").applyInArrow(nearest, schema), "nearest-first")
+    limited = points.join(first.select("_row", F.col("_d").alias("_limit")), "_row")
+    every = limited.select("_row", F.lit(None).cast(kind).alias("label"), "_x", "_tile", "_limit", F.lit(False).alias("_answers"))
+    every = every.unionAll(heads.select(F.lit(None).cast("long"), "label", "_x", "_tile", F.lit(None).cast("double"), F.lit(True)))
+    met = tiles.meetings(materialize(every, "nearest-all"), [], "_x", width, "_limit", metric=metric, answers="_answers")
+    found = first.unionAll(met.groupBy("_from", "_to").applyInArrow(nearest, schema))
+    best = found.groupBy("_row").agg(F.min(F.struct("_d", "label")).alias("_b"))
+    joined = rows.join(best, "_row", "left")
+    d = F.col("_b._d") if metric == "manhattan" else F.sqrt("_b._d")
+    return joined.select(*df.columns, F.col("_b.label").alias("nearest"), d.alias("distance"))
+
+
 def distance_to_previous(df: DataFrame, features: Sequence[str], layout: Layout) -> DataFrame:
     """All three distances of each row to the unit's previous row (null on the first)."""
     look = Lookback(layout, 1)

@@ -35,7 +35,7 @@ _MOST_ROUNDS = 100
 CHAIN = 2048
 
 
-def _apart(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+def apart(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """Manhattan, or squared Euclidean, distances of all rows of ``a`` to all of ``b``."""
     out = np.zeros((len(a), len(b)))
     for j in range(a.shape[1]):
@@ -127,7 +127,7 @@ def spanning_tree(rows: DataFrame, keys: Sequence[str], metric: str = "euclidean
         at, left = 0, np.ones(n, dtype=bool)
         for _ in range(n - 1):
             left[at] = False
-            d = _apart(x[at : at + 1], x, metric)[0]
+            d = apart(x[at : at + 1], x, metric)[0]
             closer = d < near
             near[closer], to[closer] = d[closer], at
             at = int(np.argmin(np.where(left, near, np.inf)))
@@ -152,7 +152,7 @@ def spanning_tree(rows: DataFrame, keys: Sequence[str], metric: str = "euclidean
         there = np.flatnonzero(~looks)
         for at in range(0, int(looks.sum()), 1024):
             here = np.flatnonzero(looks)[at : at + 1024]
-            d = _apart(x[here], x[there], metric)
+            d = apart(x[here], x[there], metric)
             d[comps[here][:, None] == comps[there][None, :]] = np.inf
             if not d.size:
                 continue
@@ -184,7 +184,7 @@ def spanning_tree(rows: DataFrame, keys: Sequence[str], metric: str = "euclidean
 def _links(n, x, v, here, there) -> np.ndarray:
     """Ward-like links: the sum of squared distances of all pairs of rows over the rows of both."""
     both = n[here][:, None] * n[there][None, :] / (n[here][:, None] + n[there][None, :])
-    return both * (_apart(x[here], x[there], "euclidean") + v[here][:, None] + v[there][None, :])
+    return both * (apart(x[here], x[there], "euclidean") + v[here][:, None] + v[there][None, :])
 
 
 def chain(ids: np.ndarray, n: np.ndarray, x: np.ndarray, v: np.ndarray, h: np.ndarray) -> list[tuple[int, int, float]]:

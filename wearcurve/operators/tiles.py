@@ -70,6 +70,16 @@ def boxes(rows: DataFrame, keys: Sequence[str], vector: str, width: int, **more:
     return rows.groupBy(*keys, "_tile").agg(sides[0].alias("lo"), sides[1].alias("hi"), *[c.alias(n) for n, c in more.items()])
 
 
+def nearest_tiles(rows: DataFrame, others: DataFrame, vector: str, width: int, metric: str = "euclidean") -> DataFrame:
+    """(_tile, _next): for each tile of ``rows`` the tile of ``others`` with the nearest box, the least number of equals."""
+    many = shuffle_partitions(rows)
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))).alias("_salt")
+    left = boxes(rows, [], vector, width).select("_tile", F.pmod(F.xxhash64("_tile"), F.lit(many)).alias("_salt"), F.struct("lo", "hi").alias("_a"))
+    right = boxes(others, [], vector, width).select(F.col("_tile").alias("_next"), F.struct("lo", "hi").alias("_b"), salts)
+    pairs = left.join(right, "_salt").withColumn("_g", _box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric))
+    return pairs.groupBy("_tile").agg(F.min(F.struct("_g", "_next"))["_next"].alias("_next"))
+
+
 def meetings(
     rows: DataFrame,
     keys: Sequence[str],
