@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from itertools import product
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.functions.features import clip
@@ -24,6 +26,7 @@ from wearcurve.operators import metrics as mx
 from wearcurve.operators.blocks import with_row
 from wearcurve.operators.quantiles import exact_percentiles
 from wearcurve.operators.splits import SEED, row_sample
+from wearcurve.operators.time_models import FEATURES, EnsembleRegressionModel, IntervalRegression, QuantileRegression, weighted
 from wearcurve.sources.tables import params_key, read_scores, shared_dir, unscored, write_scores
 
 # Fixed values
@@ -48,8 +51,6 @@ SEARCH_SPACE = {
     "max_features": ["sqrt", "log2"],
 }
 
-FEATURES = "features"
-
 
 def assembler(columns: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol=FEATURES, handleInvalid="error")
@@ -169,10 +170,12 @@ def search_classifier(
     store: str,
     candidates: Sequence[Mapping] | None = None,
     validation_rows: int | None = None,
+    at_once: int = 4,
 ) -> DataFrame:
     """Score each setting by weighted F1 on the validation rows, or on so many of them: (params, score).
 
-    Scores are appended to the store after each fit and settings found there are not fitted again.
+    ``at_once`` settings are fitted at the same time, each in a thread of the driver. A score is stored after its fit in
+    a folder of its own by the setting, so that a repeated fit replaces it, and settings found there are not fitted again.
     """
     spark = train.sparkSession
     settings = [dict(c) for c in (candidates or search_candidates())]
@@ -185,15 +188,19 @@ def search_classifier(
     else:
         todo = {params_key(s) for s in settings}
     held_out = validation if validation_rows is None else row_sample(validation, validation_rows, row_key)
-    for setting in settings:
+    def score(setting: dict) -> None:
         key = params_key(setting)
-        if key not in todo:
-            continue
         model = fit_classifier(train, columns, label, "random_forest", setting)
         conf = mx.confusion(classify(model, held_out, "_pred"), label, "_pred")
-        score = mx.performance(conf).select(F.lit(key).alias("params"), F.col("f1").alias("score"))
-        write_scores(score, store)
-    return read_scores(spark, store).join(wanted, "params", "left_semi")
+        write_scores(mx.performance(conf).select(F.lit(key).alias("params"), F.col("f1").alias("score")), store, key)
+
+    open_settings = [s for s in settings if params_key(s) in todo]
+    shared_dir(spark)
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        # a fit is many small jobs; several at once fill the cluster
+        for done in [pool.submit(inheritable_thread_target(score), s) for s in open_settings]:
+            done.result()
+    return read_scores(spark, store).join(wanted, "params", "left_semi").dropDuplicates(["params"])
 
 
 def best_params(scores: DataFrame) -> dict:
@@ -207,25 +214,13 @@ def best_params(scores: DataFrame) -> dict:
 
 @dataclass
 class Regressor:
-    """A fitted model as a column expression over a frame."""
+    """A fitted Spark ML model with a ``prediction`` column, and its name in an ensemble."""
 
     name: str
-    apply: object
+    model: Transformer
 
     def predict(self, df: DataFrame, out: str) -> DataFrame:
-        return self.apply(df, out)
-
-
-def _from_pipeline(name: str, model: PipelineModel) -> Regressor:
-    def apply(df: DataFrame, out: str) -> DataFrame:
-        return model.transform(df).withColumnRenamed("prediction", out).drop(FEATURES)
-
-    return Regressor(name, apply)
-
-
-def _linear(columns: Sequence[str], coefficients: Sequence[float], intercept: float) -> Column:
-    terms = [f"{float(intercept)!r}D", *[f"`{c}` * {float(w)!r}D" for c, w in zip(columns, coefficients)]]
-    return F.expr(" + ".join(terms))
+        return self.model.transform(df).withColumnRenamed("prediction", out).drop(FEATURES)
 
 
 def ridge_model(df: DataFrame, columns: Sequence[str], target: str, alpha: float = 1.0):
@@ -242,14 +237,14 @@ def ridge_model(df: DataFrame, columns: Sequence[str], target: str, alpha: float
 
 
 def fit_ridge(df: DataFrame, columns: Sequence[str], target: str, alpha: float = 1.0) -> Regressor:
-    return _from_pipeline("Ridge", ridge_model(df, columns, target, alpha))
+    return Regressor("Ridge", ridge_model(df, columns, target, alpha))
 
 
 def fit_forest(df: DataFrame, columns: Sequence[str], target: str, trees: int = 100, depth: int = 10, seed: int = SEED) -> Regressor:
     estimator = RandomForestRegressor(
         featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed
     )
-    return _from_pipeline("RandomForest", Pipeline(stages=[assembler(columns), estimator]).fit(df))
+    return Regressor("RandomForest", Pipeline(stages=[assembler(columns), estimator]).fit(df))
 
 
 def fit_boosting(
@@ -280,90 +275,23 @@ def fit_boosting(
     )
     model = Pipeline(stages=[assembler(columns), estimator]).fit(df.withColumn("_residual", F.col(target) - mean))
 
-    def apply(rows: DataFrame, out: str) -> DataFrame:
-        scored = model.transform(rows)
-        return scored.withColumn(out, F.col("prediction") + F.lit(mean)).drop(FEATURES, "prediction")
-
-    return Regressor("HistGradientBoosting", apply)
+    shift = SQLTransformer(statement=f"SELECT * EXCEPT (prediction), prediction + {float(mean)!r}D AS prediction FROM __THIS__")
+    return Regressor("HistGradientBoosting", PipelineModel(stages=[*model.stages, shift]))
 
 
 def fit_quantile(
     df: DataFrame, columns: Sequence[str], target: str, quantile: float = 0.5, alpha: float = 0.1, tolerance: float = 1e-3, rounds: int = 200
 ) -> Regressor:
-    """Linear quantile regression by rounds of weighted least squares.
-
-    Each round replaces the pinball loss by the quadratic that touches it at the current residuals:
-    weight 1 / (|r| + e) and target y + (2q - 1)(|r| + e), on standardised columns. ``alpha`` is the L2
-    weight of the standardised coefficients beside the mean pinball loss. The best fit seen is kept, and
-    the first one is the target's own quantile. Rounds end when one lowers the best loss by less than
-    ``tolerance`` of it; the fit fails if that takes more than ``rounds``.
-    """
-    from wearcurve.sources.tables import materialize
-
-    names = list(columns)
-    stats = df.agg(
-        F.stddev_pop(target).alias("sd"),
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(names)],
-    ).first()
-    spread = [stats[f"s{i}"] or 1.0 for i in range(len(names))]
-    start = exact_percentiles(df, [target], [quantile]).first()["value"]
-    floor = 1e-3 * (stats["sd"] or 1.0)
-    z = {f"_z{i}": (F.col(c) - F.lit(stats[f"m{i}"])) / F.lit(spread[i]) for i, c in enumerate(names)}
-    # every round reads these columns again
-    base = materialize(df.select(F.col(target).cast("double").alias("_y"), *[e.alias(k) for k, e in z.items()]), "quantile")
-    weights, bias = [0.0] * len(names), float(start)
-    best = (float("inf"), weights, bias)
-    stage = VectorAssembler(inputCols=list(z), outputCol=FEATURES)
-    for _ in range(rounds):
-        rows = base.withColumn("_r", F.col("_y") - _linear(list(z), weights, bias)).selectExpr(
-            "*", f"abs(_r) + {floor!r}D AS _a", f"if(_r > 0, _r * {quantile!r}D, _r * {quantile - 1!r}D) AS _loss"
-        )
-        # a quarter of 1 / a: the touching quadratic of the pinball loss itself
-        rows = rows.selectExpr("*", "0.25D / _a AS _w", f"_y + {2 * quantile - 1!r}D * _a AS _t")
-        row = rows.selectExpr(
-            "avg(_loss) AS loss", "avg(_w) AS w", "sum(_w * _t) / sum(_w) AS m", "sum(_w * _t * _t) / sum(_w) AS s"
-        ).first()
-        loss = row["loss"] + alpha / 2 * sum(w * w for w in weights)
-        gained, best = best[0] - loss, min(best, (loss, weights, bias), key=lambda fit: fit[0])
-        if gained <= tolerance * abs(best[0]):
-            break
-        # Spark divides the penalty by the mean weight's share and the target's weighted deviation
-        deviation = max(row["s"] - row["m"] ** 2, 0.0) ** 0.5
-        fitted = LinearRegression(
-            featuresCol=FEATURES,
-            labelCol="_t",
-            weightCol="_w",
-            solver="normal",
-            regParam=alpha / 2 * deviation / row["w"],
-            elasticNetParam=0.0,
-            standardization=False,
-        ).fit(stage.transform(rows))
-        weights, bias = [float(w) for w in fitted.coefficients], float(fitted.intercept)
-    else:
-        raise RuntimeError(f"the quantile fit still gains after {rounds} rounds")
-    _, weights, bias = best
-    raw = [w / s for w, s in zip(weights, spread)]
-    shift = bias - sum(w * stats[f"m{i}"] for i, w in enumerate(raw))
-
-    def apply(rows: DataFrame, out: str) -> DataFrame:
-        return rows.withColumn(out, _linear(names, raw, shift))
-
-    return Regressor("Quantile", apply)
+    """Linear quantile regression, see ``time_models.quantile_fit``."""
+    estimator = QuantileRegression(inputCols=list(columns), labelCol=target, quantile=quantile, regParam=alpha, tol=tolerance, maxIter=rounds)
+    return Regressor("Quantile", PipelineModel(stages=[estimator.fit(df)]))
 
 
 def fit_interval(
     df: DataFrame, columns: Sequence[str], target: str, lower: float = 0.1, upper: float = 0.9, alpha: float = 0.1
 ):
     """Function adding ``lower_bound`` and ``upper_bound`` (never crossed)."""
-    low = fit_quantile(df, columns, target, lower, alpha)
-    high = fit_quantile(df, columns, target, upper, alpha)
-
-    def apply(rows: DataFrame) -> DataFrame:
-        both = high.predict(low.predict(rows, "_lo"), "_hi")
-        return both.withColumns({"lower_bound": F.least("_lo", "_hi"), "upper_bound": F.greatest("_lo", "_hi")}).drop("_lo", "_hi")
-
-    return apply
+    return IntervalRegression(inputCols=list(columns), labelCol=target, lower=lower, upper=upper, regParam=alpha).fit(df).transform
 
 
 def pinball(df: DataFrame, target: str, pred: str, quantile: float) -> DataFrame:
@@ -402,34 +330,26 @@ def add_ensemble(df: DataFrame, weights: DataFrame, models: Sequence[str], out:
 
 @dataclass
 class Ensemble:
-    """Base regressors with weights fitted on the training frame (or on a validation frame)."""
+    """Fitted regressors with weights by the training frame (or a validation frame); ``model`` can be saved."""
 
     models: list[Regressor]
-    weights: DataFrame | None = None
-    names: list[str] = field(default_factory=list)
+    model: EnsembleRegressionModel | None = None
 
     def fit(self, df: DataFrame, target: str, validation: DataFrame | None = None, weights: str | Mapping[str, float] = "inverse_mse") -> "Ensemble":
-        if not self.models:
-            raise ValueError("an ensemble needs at least one model")
-        self.names = [m.name for m in self.models]
-        scored = self._score(df if validation is None else validation)
-        # one row per model; fixed here so that scoring new frames does not score the training frame again
-        fitted = [(r["model"], r["weight"]) for r in ensemble_weights(scored, target, self.names, weights).collect()]
-        self.weights = df.sparkSession.createDataFrame(fitted, "model string, weight double")
+        # weights are fixed here so that scoring new frames does not score the training frame again
+        self.model = weighted({m.name: m.model for m in self.models}, df if validation is None else validation, target, weights)
         return self
 
-    def _score(self, df: DataFrame) -> DataFrame:
-        out = df
-        for m in self.models:
-            out = m.predict(out, f"pred_{m.name}")
-        return out
+    @property
+    def weights(self) -> DataFrame:
+        rows = list(zip(self.model.getOrDefault("names"), self.model.getOrDefault("weights"), strict=True))
+        return _session().createDataFrame(rows, "model string, weight double")
 
     def predict(self, df: DataFrame, out: str = "predicted_time_to_next_stage") -> DataFrame:
         """Adds every model's column, ``pred_Ensemble`` and ``out``."""
-        if self.weights is None:
+        if self.model is None:
             raise ValueError("the ensemble has not been fitted")
-        scored = add_ensemble(self._score(df), self.weights, self.names)
-        return scored.withColumn(out, F.col("pred_Ensemble"))
+        return self.model.transform(df).withColumn(out, F.col("pred_Ensemble"))
 
 
 # --- binning and projection --------------------------------------------------------------------

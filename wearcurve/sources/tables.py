@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import tempfile
 import uuid
@@ -81,13 +82,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
     return reader.format(fmt).load(path)
 
 
-def write_scores(scores: DataFrame, path: str) -> None:
-    """Append (params, score) rows to a JSON score store."""
-    scores.select("params", "score").write.mode("append").json(path)
+def write_scores(scores: DataFrame, path: str, key: str | None = None) -> None:
+    """Append (params, score) rows to a JSON score store; with ``key`` they replace what was written with that key."""
+    writer = scores.select("params", "score").write
+    if key is None:
+        writer.mode("append").json(path)
+    else:
+        writer.mode("overwrite").json(f"{path}/{hashlib.sha256(key.encode()).hexdigest()[:32]}")
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("params string, score double").json(path)
+    return spark.read.option("recursiveFileLookup", True).schema("params string, score double").json(path)
 
 
 def read_score_map(spark: SparkSession, path: str) -> DataFrame:
