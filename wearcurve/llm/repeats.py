@@ -6,7 +6,8 @@ their gram, so a text falls into short segments, one for each gram it is named b
 
 1. Texts are packed into blocks, and each block tells its grams and how often it holds them. The blocks are a bucketed
    table, so that what later comes back to a block is joined without shuffling a text again.
-2. Grams are counted over the corpus. A window whose gram is found once cannot repeat.
+2. Grams are counted over the corpus: blocks send them, packed, to shares by hash, and a share sends each block those of
+   its grams that are found again. A window whose gram is found once cannot repeat.
 3. Blocks send the segments of the other grams, a segment once for each block, to groups of some MB by gram.
 4. Each group sorts the suffixes that start a window by two-stage sorting (``suffixes``) and compares neighbours: windows
    with a common prefix of 200 bytes repeat, and so do all windows of a segment that is found twice.
@@ -28,7 +29,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.llm.batches import small_batches
@@ -37,10 +38,12 @@ from wearcurve.sources.tables import materialize, scratch_path
 
 #: Bytes of text in a block, about, and bytes of segments in a group, about.
 BLOCK_TEXT, GROUP = 8_000_000, 2_000_000
+#: Keys that one task counts, about.
+SHARE = 1_000_000
 #: Segments of one gram that may lie in one group.
-CROWD = 4096
+CROWD = 1024
 #: Bytes of a gram: a power of two.
-GRAM = 64
+GRAM = 32
 #: Windows that are worked out at a time.
 _CHUNK = 1 << 20
 _LOW = _CHUNK * 2 - 1
@@ -206,45 +209,149 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
+# counting -----------------------------------------------------------------------------------------------------
+
+_TOLD = "block long, keys array<long>, seen array<int>, many array<int>"
+_AGAIN = "block long, keys array<long>, kinds array<int>, places array<long>, firsts array<long>, segments long"
+
+
+def _mixed(keys):
+    """Another hash of 64-bit keys."""
+    import numpy as np
+
+    x = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _dealt(shares: int):
+    """What a block tells, cut into shares by key."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for row in range(len(batch)):
+                block, (keys, seen, many) = batch.column(0)[row].as_py(), (batch.column(k)[row].values.to_numpy() for k in (1, 2, 3))
+                share = (_mixed(keys) % np.uint64(shares)).astype(np.int64)
+                at = np.argsort(share, kind="stable")
+                cuts = np.flatnonzero(np.diff(share[at], prepend=-1))
+                if not len(cuts):
+                    continue
+                offsets = pa.array(np.append(cuts, len(at)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x[at])) for x in (keys, seen, many)]
+                yield pa.RecordBatch.from_arrays([pa.array(share[at][cuts]), pa.array([block] * len(cuts)), *lists], names=["share", "block", "keys", "seen", "many"])
+
+    return of
+
+
+def _counted(windows: bool, crowd: int):
+    """Keys of a share that are found more than once, for each block that has them."""
+    schema = pa.schema([("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("kinds", pa.list_(pa.int32())), ("places", pa.list_(pa.int64())), ("firsts", pa.list_(pa.int64())), ("segments", pa.int64())])
+
+    def of(share: pa.Table) -> pa.Table:
+        import numpy as np
+        import pyarrow.compute as pc
+
+        keys, seen, many = (pc.list_flatten(share[c]).to_numpy().astype(np.int64) for c in ("keys", "seen", "many"))
+        row = np.repeat(np.arange(len(share)), pc.list_value_length(share["keys"]).to_numpy())
+        blocks = share["block"].to_numpy()
+        _, of_key = np.unique(keys, return_inverse=True)
+        total = np.bincount(of_key, weights=seen).astype(np.int64)
+        places = np.bincount(of_key, weights=many).astype(np.int64)
+        first = np.full(len(total), np.iinfo(np.int64).max)
+        np.minimum.at(first, of_key, blocks[row])
+        kind = np.where(places > crowd, _CROWDED, _PLAIN) if not windows else np.full(len(total), _WINDOW)
+        again = np.flatnonzero(total[of_key] > 1)
+        row, of_key = row[again], of_key[again]
+        sizes = np.where(kind[of_key] == _CROWDED, 0, many[again])
+        cuts = np.flatnonzero(np.diff(row, prepend=-1))
+        if not len(cuts):
+            return schema.empty_table()
+        offsets = pa.array(np.append(cuts, len(row)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (keys[again], kind[of_key].astype(np.int32), places[of_key], first[of_key])]
+        return pa.Table.from_arrays([pa.array(blocks[row[cuts]]), *lists, pa.array(np.add.reduceat(sizes, cuts))], schema=schema)
+
+    return of
+
+
+def _found_again(told: DataFrame, windows: bool) -> DataFrame:
+    """Of what each block tells, the keys that are found more than once in the corpus; a stored table."""
+    total = told.agg(F.sum(F.size("keys").cast("long"))).first()[0] or 0
+    dealt = told.mapInArrow(_dealt(1 + total // SHARE), f"share long, {_TOLD}")
+    found = dealt.groupBy("share").applyInArrow(_counted(windows, CROWD), _AGAIN)
+    return materialize(found, "repeats_again")
+
+
 # what blocks send ---------------------------------------------------------------------------------------------
 
 
-def _crowded_windows(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
+def _wanted(rows: pa.Table):
+    """Keys, kinds, places and first blocks of all rows of a block."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    return [pc.list_flatten(rows[c]).to_numpy().astype(np.int64) for c in ("keys", "kinds", "places", "firsts")]
+
+
+def _crowded_windows(blocks: pa.Table, again: pa.Table) -> pa.Table:
     """Windows of the crowded grams of a block, by their own hash."""
     import numpy as np
 
+    schema = pa.schema([("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("seen", pa.list_(pa.int32())), ("many", pa.list_(pa.int32()))])
+    keys, kinds, _, _ = _wanted(again)
+    if not (kinds == _CROWDED).any():
+        return schema.empty_table()
     _, data, ends = _unpacked(blocks["packed"][0].as_py())
-    starts, sizes, keys = _runs(data, ends)
-    of = np.isin(keys, wanted["key"].to_numpy())
+    starts, sizes, of_run = _runs(data, ends)
+    of = np.isin(of_run, keys[kinds == _CROWDED])
     found, seen = np.unique(_windows(data, starts[of], sizes[of])[0], return_counts=True)
-    return pa.table({"block": [blocks["of_block"][0].as_py()], "keys": [found], "seen": [seen.astype(np.int32)]}, schema=pa.schema([("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("seen", pa.list_(pa.int32()))]))
+    row = {"block": [blocks["of_block"][0].as_py()], "keys": [found], "seen": [seen.astype(np.int32)], "many": [np.ones(len(found), dtype=np.int32)]}
+    return pa.table(row, schema=schema)
 
 
-_SEGMENT = "key long, block long, starts array<long>, body binary"
+_SEGMENT = "group long, block long, starts array<long>, body binary"
 
 
-def _segments(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
+def _segments(groups: int, crowd: int):
     """Segments of the wanted grams and windows of a block, each different one once with all its starts."""
-    import numpy as np
-
-    schema = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("starts", pa.list_(pa.int64())), ("body", pa.binary())])
-    _, data, ends = _unpacked(blocks["packed"][0].as_py())
-    starts, sizes, keys = _runs(data, ends)
-    keys_of, kinds = wanted["key"].to_numpy(), wanted["kind"].to_numpy()
-    plain = np.isin(keys, keys_of[kinds == _PLAIN])
-    crowded = np.isin(keys, keys_of[kinds == _CROWDED])
-    hashes, places = _windows(data, starts[crowded], sizes[crowded])
-    again = np.isin(hashes, keys_of[kinds == _WINDOW])
-    starts = np.concatenate([starts[plain], places[again]])
-    sizes = np.concatenate([sizes[plain], np.ones(int(again.sum()), dtype=np.int64)])
-    keys = np.concatenate([keys[plain], hashes[again]])
-    raw = data.tobytes()
-    bodies = [raw[a : a + n] for a, n in zip(starts.tolist(), (sizes + DEPTH - 1).tolist(), strict=True)]
-    found: dict[tuple[int, bytes], list[int]] = {}
-    for key, body, start in zip(keys.tolist(), bodies, starts.tolist(), strict=True):
-        found.setdefault((key, body), []).append(start)
-    block = blocks["of_block"][0].as_py()
-    return pa.table({"key": [k for k, _ in found], "block": [block] * len(found), "starts": list(found.values()), "body": [b for _, b in found]}, schema=schema)
+    schema = pa.schema([("group", pa.int64()), ("block", pa.int64()), ("starts", pa.list_(pa.int64())), ("body", pa.binary())])
+
+    def of(blocks: pa.Table, again: pa.Table) -> pa.Table:
+        import numpy as np
+
+        keys, kinds, places, firsts = _wanted(again)
+        if not len(keys):
+            return schema.empty_table()
+        block = blocks["of_block"][0].as_py()
+        _, data, ends = _unpacked(blocks["packed"][0].as_py())
+        starts, sizes, of_run = _runs(data, ends)
+        plain = np.isin(of_run, keys[kinds == _PLAIN])
+        crowded = np.isin(of_run, keys[kinds == _CROWDED])
+        hashes, at = _windows(data, starts[crowded], sizes[crowded])
+        window = kinds == _WINDOW
+        repeated = np.isin(hashes, keys[window])
+        starts = np.concatenate([starts[plain], at[repeated]])
+        sizes = np.concatenate([sizes[plain], np.ones(int(repeated.sum()), dtype=np.int64)])
+        names = np.concatenate([of_run[plain], hashes[repeated]])
+        raw = data.tobytes()
+        found: dict[tuple[int, bytes], list[int]] = {}
+        for key, a, n in zip(names.tolist(), starts.tolist(), (sizes + DEPTH - 1).tolist(), strict=True):
+            found.setdefault((key, raw[a : a + n]), []).append(a)
+        # a window at more than some places goes to one of several groups, that of its first block to all of them
+        spread = {k: (1 + n // crowd, f) for k, n, f in zip(keys[window].tolist(), places[window].tolist(), firsts[window].tolist(), strict=True) if n > crowd}
+        group_of = dict(zip(names.tolist(), (_mixed(names) % np.uint64(groups)).tolist(), strict=True))
+        own, out = int(_mixed(np.array([block]))[0]), []
+        for (key, body), where in found.items():
+            if key not in spread:
+                out.append((group_of[key], where, body))
+                continue
+            many, first = spread[key]
+            salts = np.arange(many) if block == first else np.array([own % many])
+            out += [(g, where, body) for g in (_mixed(key ^ salts) % np.uint64(groups)).tolist()]
+        return pa.table({"group": [o[0] for o in out], "block": [block] * len(out), "starts": [o[1] for o in out], "body": [o[2] for o in out]}, schema=schema)
+
+    return of
 
 
 # groups -------------------------------------------------------------------------------------------------------
@@ -328,13 +435,6 @@ def _kept(blocks: pa.Table, found: pa.Table) -> pa.Table:
     return pa.table({"id": ids, "n_bytes": text_ends - begins, "spans": pa.ListArray.from_arrays(pa.array(offsets), spans), "kept": kept})
 
 
-def _groups_of_place() -> Column:
-    """Groups of a window's place: one of as many as it takes to hold ``CROWD`` places each, about; all for its first block."""
-    groups = F.floor(F.col("places") / CROWD) + 1
-    spread = F.when(F.col("block") == F.col("first"), F.sequence(F.lit(0).cast("long"), groups - 1)).otherwise(F.array(F.pmod(F.xxhash64("block"), groups)))
-    return F.when(F.col("places").isNull(), F.array(F.lit(0).cast("long"))).otherwise(spread)
-
-
 def removed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_bytes, spans removed, bytes kept) of every document; the id must be an integer column."""
     spark = docs.sparkSession
@@ -346,46 +446,15 @@ def removed(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     # bucketed, so that joining a block's own data to it moves no text
     made.write.bucketBy(buckets, "block").option("path", scratch_path(spark, name)).saveAsTable(name)
     blocks = spark.table(name)
-    told = blocks.select("block", F.explode(F.arrays_zip("keys", "seen", "many")).alias("of"))
-    told = told.select("block", F.col("of.keys").alias("key"), F.col("of.seen").alias("seen"), F.col("of.many").alias("many"))
-    counted = told.groupBy("key").agg(F.sum("seen").alias("seen"), F.sum("many").alias("many")).where("seen > 1")
-    kind = F.when(F.col("many") > CROWD, _CROWDED).otherwise(_PLAIN).alias("kind")
-    grams = materialize(counted.select("key", kind, F.col("many").alias("rows")), "repeats_grams")
-    size = grams.where(F.col("kind") == _PLAIN).agg(F.sum("rows")).first()[0] or 0
     packed = blocks.select(F.col("block").alias("of_block"), "packed")
-    wanted = told.select("block", "key").join(grams.hint("merge"), "key").select("block", "key", "kind", F.lit(0).cast("long").alias("rows"))
-    crowded = grams.where(F.col("kind") == _CROWDED)
-    if not crowded.isEmpty():
-        some = told.select("block", "key").join(crowded.hint("merge"), "key").select("block", "key")
-        own = packed.groupBy("of_block").cogroup(some.groupBy("block")).applyInArrow(_only(_crowded_windows), "block long, keys array<long>, seen array<int>")
-        own = materialize(own, "repeats_windows").select("block", F.explode(F.arrays_zip("keys", "seen")).alias("of"))
-        own = own.select("block", F.col("of.keys").alias("key"), F.col("of.seen").alias("seen"))
-        again = own.groupBy("key").agg(F.sum("seen").alias("seen"), F.count("*").alias("rows"), F.min("block").alias("first")).where("seen > 1")
-        again = materialize(again.select("key", F.lit(_WINDOW).alias("kind"), "rows", "first"), "repeats_again")
-        size += again.agg(F.sum("rows")).first()[0] or 0
-        wanted = wanted.union(own.select("block", "key").join(again.hint("merge"), "key").select("block", "key", "kind", "rows"))
-        places = again.where(F.col("rows") > CROWD)
-    else:
-        places = None
-    segments = packed.groupBy("of_block").cogroup(wanted.groupBy("block")).applyInArrow(_only(_segments), _SEGMENT)
-    salt = F.lit(0).cast("long")
-    if places is not None:
-        segments = segments.join(places.select("key", "first", F.col("rows").alias("places")).hint("merge"), "key", "left")
-        segments = segments.withColumn("salt", F.explode(_groups_of_place()))
-        salt = F.col("salt")
-    groups = int(1 + size * (DEPTH + (DEPTH - GRAM) // 2) // GROUP)
-    segments = segments.select(F.pmod(F.xxhash64("key", salt), F.lit(groups)).alias("group"), "block", "starts", "body")
+    again = _found_again(blocks.select("block", "keys", "seen", "many"), False)
+    size, crowded = again.agg(F.sum("segments"), F.max(F.array_contains("kinds", _CROWDED))).first()
+    if crowded:
+        own = packed.groupBy("of_block").cogroup(again.groupBy("block")).applyInArrow(_crowded_windows, _TOLD)
+        windows = _found_again(materialize(own, "repeats_windows"), True)
+        size += windows.agg(F.sum("segments")).first()[0] or 0
+        again = again.unionByName(windows)
+    groups = int(1 + (size or 0) * (DEPTH + (DEPTH - GRAM) // 2) // GROUP)
+    segments = packed.groupBy("of_block").cogroup(again.groupBy("block")).applyInArrow(_segments(groups, CROWD), _SEGMENT)
     found = materialize(segments.groupBy("group").applyInArrow(_repeated, _FOUND), "repeats_found")
     return packed.groupBy("of_block").cogroup(found.groupBy("block")).applyInArrow(_kept, _KEPT)
-
-
-def _only(of):
-    """A function of blocks that have wanted rows; other blocks give nothing."""
-    names = {"_segments": ["key", "block", "starts", "body"], "_crowded_windows": ["block", "keys", "seen"]}[of.__name__]
-    kinds = {"key": pa.int64(), "block": pa.int64(), "starts": pa.list_(pa.int64()), "body": pa.binary(), "keys": pa.list_(pa.int64()), "seen": pa.list_(pa.int32())}
-    schema = pa.schema([(n, kinds[n]) for n in names])
-
-    def run(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
-        return of(blocks, wanted) if len(wanted) else schema.empty_table()
-
-    return run
