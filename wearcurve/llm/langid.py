@@ -2,11 +2,13 @@
 
 A text is lower-cased, everything but letters becomes a space, and its byte 3-grams are hashed to ``DIMS`` counts.
 The vector is (1 + log count) times the inverse document frequency, of length one. A fit takes at most
-``SAMPLE`` different labelled texts of each language, chosen by a hash (whole texts, up to ``LONGEST`` bytes each),
-clusters them by spherical k-means into ``CLUSTERS`` centroids, and learns how near texts of a given length are to
-their own centroids: pieces of 2, 4, 8, ... times 8 bytes are cut from the sample for that. A text is rejected as no
-known language if its cosine is below ``SLACK`` times that of nearly all such pieces of the same length class, by the
-language where that is lowest.
+``SAMPLE`` different labelled texts of each language, chosen by a hash and whole, however long, clusters their vectors
+by spherical k-means into ``CLUSTERS`` centroids, and learns how near texts of a given length are to their own
+centroids. For that, up to ``PIECES`` pieces of 8, 16, 32, ... bytes are cut from each text of the sample, evenly over
+the whole text, and beside each piece stands noise: words as long, of letters drawn evenly from a to z. A language's
+floor of a length class lies between what nearly all noise and nearly all pieces score, ``MARGIN`` of the way up where
+the two are apart, and is ``SLACK`` times the pieces' score where they are not. A text is rejected as no known language if its
+cosine is below the floor of its nearest language.
 
 The model has languages x clusters x dims numbers; a fit refuses more than ``MOST_LANGUAGES``. Prediction reads the
 text alone: the nearest centroid by cosine, the first in name order of equals. Null texts and texts without a letter
@@ -18,6 +20,7 @@ a text within a language are learnt from once, so that none fills the sample; ro
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -28,10 +31,10 @@ from wearcurve.llm.batches import small_batches
 from wearcurve.llm.memo import held
 from wearcurve.sources.tables import materialize
 
-DIMS, CLUSTERS, SAMPLE, LONGEST, MOST_LANGUAGES = 4096, 4, 800, 200_000, 500
+DIMS, CLUSTERS, SAMPLE, PIECES, MOST_LANGUAGES = 4096, 4, 800, 3, 500
 #: Length classes: a class for each doubling of the bytes.
 CLASSES = 24
-SLACK, LOW = 0.5, 0.002
+SLACK, LOW, MARGIN = 0.5, 0.002, 0.25
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -44,7 +47,7 @@ class Model:
     langs: tuple[str, ...]  # of each centroid, in name order
     centroids: bytes  # float32, centroids x DIMS
     idf: bytes  # float32
-    floors: bytes  # float32, CLASSES: the lowest cosine that is not rejected
+    floors: bytes  # float32, centroids x CLASSES: the lowest cosine that is not rejected
     key: str
 
 
@@ -103,7 +106,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     spark = docs.sparkSession
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    rows = rows.where((F.octet_length("text") <= LONGEST) & F.col("text").rlike(r"\p{L}"))
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
     rows = rows.withColumn("order", F.xxhash64("text"))
     # all copies of a text have one hash
     sizes = rows.select("lang", "order").distinct().groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
@@ -118,38 +121,79 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     ranked = single.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
     sample = materialize(ranked.where(F.col("rank") <= SAMPLE).select("lang", "text"), "language_sample")
 
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # counts of whole texts: what is grouped later has a size that texts do not change
+        for batch in batches:
+            packed = [_counts(_prepared(t.as_py())).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["lang", "counts"])
+
+    counted = materialize(sample.mapInArrow(vectors, "lang string, counts binary"), "language_counts")
+
+    def matrix(group: pa.Table):
+        return np.stack([np.frombuffer(c, np.float32) for c in group.column("counts").to_pylist()])
+
     def learnt(group: pa.Table) -> pa.Table:
-        texts = [_prepared(t) for t in group.column("text").to_pylist()]
-        counts = np.stack([_counts(t) for t in texts])
-        return pa.table({"lang": group.column("lang").slice(0, 1), "n": pa.array([len(texts)], pa.int64()), "df": pa.array([(counts > 0).sum(axis=0).astype(np.int64).tobytes()], pa.binary())})
+        df = (matrix(group) > 0).sum(axis=0).astype(np.int64).tobytes()
+        return pa.table({"lang": group.column("lang").slice(0, 1), "n": pa.array([len(group)], pa.int64()), "df": pa.array([df], pa.binary())})
 
-    frequencies = sample.groupBy("lang").applyInArrow(learnt, "lang string, n long, df binary").collect()
+    frequencies = counted.groupBy("lang").applyInArrow(learnt, "lang string, n long, df binary").collect()
     n = sum(r["n"] for r in frequencies)
     idf = (np.log((1 + n) / (1 + sum(np.frombuffer(r["df"], np.int64) for r in frequencies))) + 1).astype(np.float32)
 
     def centred(group: pa.Table) -> pa.Table:
-        texts = [_prepared(t) for t in group.column("text").to_pylist()]
-        centres = _clustered(_weighted(np.stack([_counts(t) for t in texts]), idf), CLUSTERS)
-        floors = np.zeros(CLASSES, dtype=np.float32)
-        for c in range(CLASSES):
-            size = 8 << c
-            pieces = [t[a : a + size] for t in texts for a in range(0, max(1, min(len(t) - size, 3 * size)), size) if len(t) >= size][: 2 * SAMPLE]
-            near = [float((_weighted(_counts(p)[None], idf) @ centres.T).max()) for p in pieces if p.strip()]
-            longer = _class_of(size)
-            if len(near) >= 20 and longer < CLASSES:
-                floors[longer] = SLACK * np.quantile(near, LOW)
-        for c in range(1, CLASSES):  # longer texts than any learnt from are as near as the longest of these
-            floors[c] = floors[c] or floors[c - 1]
-        return pa.table({"lang": group.column("lang").slice(0, 1), "centres": pa.array([centres.tobytes()], pa.binary()), "floors": pa.array([floors.tobytes()], pa.binary())})
-
-    parts = sorted(sample.groupBy("lang").applyInArrow(centred, "lang string, centres binary, floors binary").collect(), key=lambda r: r["lang"])
+        centres = _clustered(_weighted(matrix(group), idf), CLUSTERS)
+        return pa.table({"lang": group.column("lang").slice(0, 1), "centres": pa.array([centres.tobytes()], pa.binary())})
+
+    parts = sorted(counted.groupBy("lang").applyInArrow(centred, "lang string, centres binary").collect(), key=lambda r: r["lang"])
     langs = [r["lang"] for r in parts for _ in range(len(r["centres"]) // (4 * DIMS))]
-    # one floor for all languages, the lowest: what passes for one language passes for each
-    floors = np.min([np.frombuffer(r["floors"], np.float32) for r in parts], axis=0).tobytes()
     centroids = b"".join(r["centres"] for r in parts)
+    centres_of = spark.sparkContext.broadcast({r["lang"]: r["centres"] for r in parts})
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cosines of pieces of each text, and of noise beside them, to the nearest centroid of the text's language."""
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = _prepared(text.as_py())
+                centres = np.frombuffer(centres_of.value[lang], np.float32).reshape(-1, DIMS).T
+                out: list[tuple] = []
+                for c in range(CLASSES):
+                    size = 8 << c
+                    if size > len(raw):
+                        break
+                    at = sorted({round(k * (len(raw) - size) / max(1, PIECES - 1)) for k in range(PIECES)})
+                    pieces = [p for p in (raw[a : a + size] for a in at) if p.strip()]
+                    if pieces:
+                        noise = [_noise(p) for p in pieces]
+                        near = [(_weighted(np.stack([_counts(p) for p in kind]), idf) @ centres).max(axis=1).tolist() for kind in (pieces, noise)]
+                        out += [(_class_of(size), x, y) for x, y in zip(*near, strict=True)]
+                columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int32(), pa.float64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(out), pa.string()), *columns], names=["lang", "class", "clean", "noise"])
+
+    near = sample.mapInArrow(measured, "lang string, class int, clean double, noise double")
+    bounds = near.groupBy("lang", "class").agg(F.count("*").alias("n"), F.percentile("clean", F.lit(LOW)).alias("clean"), F.percentile("noise", F.lit(1 - LOW)).alias("noise"))
+    known = {(r["lang"], r["class"]): r for r in bounds.where("n >= 20").collect()}
+    floors = np.zeros((len(langs), CLASSES), dtype=np.float32)
+    for row, lang in zip(floors, langs, strict=True):
+        for c in range(CLASSES):
+            r = known.get((lang, c))
+            if r is not None:
+                row[c] = r["noise"] + MARGIN * (r["clean"] - r["noise"]) if r["noise"] < r["clean"] else SLACK * r["clean"]
+            elif c:  # longer texts than any learnt from are as near as the longest of these
+                row[c] = row[c - 1]
     from hashlib import sha256
 
-    return Model(tuple(langs), centroids, idf.tobytes(), floors, sha256(centroids + floors).hexdigest())
+    return Model(tuple(langs), centroids, idf.tobytes(), floors.tobytes(), sha256(centroids + floors.tobytes()).hexdigest())
+
+
+def _noise(piece: bytes) -> bytes:
+    """Words as long as those of a piece, of evenly drawn letters; the same for the same piece."""
+    import numpy as np
+    from zlib import crc32
+
+    out = np.frombuffer(piece, np.uint8).copy()
+    letters = out != 32
+    out[letters] = np.random.default_rng(crc32(piece)).integers(97, 123, int(letters.sum()), dtype=np.uint8)
+    return out.tobytes()
 
 
 class Classifier:
@@ -159,7 +203,7 @@ class Classifier:
         self.langs = model.langs
         self.centroids = np.frombuffer(model.centroids, np.float32).reshape(-1, DIMS).T.copy() if model.langs else None
         self.idf = np.frombuffer(model.idf, np.float32)
-        self.floors = np.frombuffer(model.floors, np.float32)
+        self.floors = np.frombuffer(model.floors, np.float32).reshape(-1, CLASSES)
 
     def judge(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, score, rejected) of each text."""
@@ -178,7 +222,7 @@ class Classifier:
             best = near.argmax(axis=1)
             for i, text, row, b in zip(block, prepared, near, best, strict=True):
                 score = min(1.0, max(0.0, float(row[b])))
-                out[i] = (self.langs[b], score, score < float(self.floors[_class_of(len(text))]))
+                out[i] = (self.langs[b], score, score < float(self.floors[b, _class_of(len(text))]))
         return out
 
 
