@@ -13,7 +13,8 @@ The loss of a token follows from the 4-gram that ends there. ``scored`` deals th
 joins each block's distinct 4-grams with their losses, and sums these over each text beside them. A gram is there once for
 each run of a block, so a gram that all texts hold is no heavier than their blocks are many.
 
-Null and empty texts have no token and a null score. Without any target text there is no target model, and the job fails.
+Null and empty texts have no token and a null score. Without any target text there is no target model: target losses and
+differences are null, background losses are unscaled, and all rows stay. An empty table gives an empty table.
 Rows are counted and scored as often as they come; a null mark counts as not target. Other columns pass through.
 """
 
@@ -30,14 +31,11 @@ from pyspark.sql import types as T
 from wearcurve.llm.batches import small_batches
 from wearcurve.sources.tables import materialize
 
-
 STRENGTH = 8.0
 #: Bytes worked on at once.
 STRETCH = 1 << 20
 #: Bytes of text in a block, and of text or different 4-grams that a task gathers before it hands on what it has.
 BLOCK, GATHERED = 1 << 23, 1 << 21
-#: Different 4-grams up to which ``score`` takes a model into memory.
-MOST_HELD = 1 << 22
 
 _SCORE = T.StructType([T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "difference")]])
 
@@ -58,14 +56,6 @@ def _grams(raw: bytes, at: int = 0):
     return (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
 
 
-def _codes(raw: bytes, at: int = 0):
-    """The n-grams of orders 1 to 4 that end at each byte of a stretch, and of orders 1 to 3 that end at the byte before
-    it."""
-    grams = _grams(raw, at)
-    before = grams >> 8
-    return (grams & 0xFF, grams & 0xFFFF, grams & 0xFFFFFF, grams), (before & 0xFF, before & 0xFFFF, before)
-
-
 def _bytes(text: pa.Scalar) -> bytes:
     return text.as_buffer().to_pybytes() if text.is_valid else b""
 
@@ -126,9 +116,7 @@ def fit(docs: DataFrame, is_target: Column, text: str = "text") -> Models:
     fours = materialize(total, "four_grams")
     threes = materialize(_summed(fours, 0xFFFFFF), "three_grams")
     of_target, of_all = threes.agg(F.sum("target"), F.sum("both")).first()
-    if not of_target:
-        raise ValueError("no target text")
-    return Models(fours, threes, of_target, of_all)
+    return Models(fours, threes, of_target or 0, of_all or 0)
 
 
 def losses(grams: DataFrame, models: Models) -> DataFrame:
@@ -152,13 +140,16 @@ def losses(grams: DataFrame, models: Models) -> DataFrame:
 
     def loss(which: str, scale: float) -> Column:
         n = lambda name: F.coalesce(F.col(f"{name}_{which}"), F.lit(0)) * F.lit(scale)
-        p = (n("g1") + F.lit(STRENGTH / 256)) / F.lit(models.of_target + STRENGTH)
+        p = (n("g1") + F.lit(STRENGTH / 256)) / F.lit(size + STRENGTH)
         for order in (2, 3, 4):
             # a context counts at least as often as what follows it: zero bytes before a text are not counted
             p = (n(f"g{order}") + F.lit(STRENGTH) * p) / (F.greatest(n(f"c{order - 1}"), n(f"g{order}")) + F.lit(STRENGTH))
         return -F.log(p)
 
-    return out.select("gram", loss("target", 1.0).alias("target_loss"), loss("both", models.of_target / models.of_all).alias("background_loss"))
+    # the background is scaled to the target's size, if there is a target
+    size = models.of_target or models.of_all
+    scale = size / models.of_all if models.of_all else 1.0
+    return out.select("gram", loss("target", 1.0).alias("target_loss"), loss("both", scale).alias("background_loss"))
 
 
 def scored(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
@@ -252,64 +243,7 @@ def scored(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*piece.columns[6:], *scores], names=schema.names)
 
     out = kinds.mapInArrow(summed, schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], *_SCORE.names)
-
-
-class _Held:
-    """Counts of all orders in memory."""
-
-    def __init__(self, grams, target, both, scale: float):
-        import numpy as np
-
-        self.tables = []
-        for counts in (target, both * scale):
-            orders = []
-            for mask in (0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF):
-                codes, at = np.unique(grams & np.uint32(mask), return_inverse=True)
-                orders.append((codes, np.bincount(at, counts)))
-            self.tables.append(orders)
-
-    def losses(self, codes) -> list:
-        """Loss of each byte by both models, in nats."""
-        import numpy as np
-
-        def of(table, wanted):
-            at = np.minimum(np.searchsorted(table[0], wanted), len(table[0]) - 1)
-            return np.where(table[0][at] == wanted, table[1][at], 0.0)
-
-        grams, contexts = codes
-        out = []
-        for orders in self.tables:
-            p = (of(orders[0], grams[0]) + STRENGTH / 256) / (orders[0][1].sum() + STRENGTH)
-            for order in (1, 2, 3):
-                have = of(orders[order], grams[order])
-                p = (have + STRENGTH * p) / (np.maximum(of(orders[order - 1], contexts[order - 1]), have) + STRENGTH)
-            out.append(-np.log(p))
-        return out
-
-
-def score(text: Column | str, models: Models, spark) -> Column:
-    """Struct (n_tokens, target_loss, background_loss, difference) of whole texts as a column, by a model that is small
-    enough to be sent to all tasks; larger ones fail here, and ``scored`` takes them."""
-    import numpy as np
-
-    small_batches()
-    if models.fours.count() > MOST_HELD:
-        raise ValueError(f"more than {MOST_HELD} different 4-grams: use scored")
-    counts = models.fours.toArrow()
-    grams = np.asarray(counts["gram"]).astype(np.uint32)
-    shared = spark.sparkContext.broadcast(_Held(grams, np.asarray(counts["target"]), np.asarray(counts["both"]), models.of_target / models.of_all))
-
-    @F.arrow_udf(_SCORE)
-    def judged(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts:
-            raw = _bytes(t)
-            sums = [0.0, 0.0]
-            for at in _stretches(raw):
-                sums = [s + float(x.sum()) for s, x in zip(sums, shared.value.losses(_codes(raw, at)), strict=True)]
-            a, b = (s / len(raw) if raw else None for s in sums)
-            out.append({"n_tokens": len(raw), "target_loss": a, "background_loss": b, "difference": None if a is None else a - b})
-        return pa.array(out, pa.struct([("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64()), ("difference", pa.float64())]))
-
-    return judged.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+    # without a target text there is nothing to compare with
+    has_target = F.lit(models.of_target > 0)
+    scores = [F.when(has_target, F.col(c)).alias(c) if c in ("target_loss", "difference") else F.col(c) for c in _SCORE.names]
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], *scores)
