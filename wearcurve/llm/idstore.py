@@ -13,9 +13,9 @@ A store is a folder in shared storage:
 
 Keys are (key, copy): rows that repeat a key are copies 0, 1, ... in the order of shards, so a repeated key may span
 shards; a null key is a key like any other. A look-up hashes a key to its bucket, computes the one place it can have,
-compares the fingerprint, and verifies the key in the record itself, so an unknown key gives no row. The work for a
-key does not depend on the store's size. Shards and buckets are sized by the data; a shard is the largest thing that
-a task holds.
+compares the fingerprint, and verifies the key in the record itself, so an unknown key gives no row. A look-up of few
+keys reads the index folders and the shard files of these keys alone, whatever the store's size. Shards and buckets are
+sized by the data; a shard is the largest thing that a task holds.
 
 Null and empty texts give the end id alone. An empty table gives a store without records. Other columns are not read.
 """
@@ -23,11 +23,11 @@ Null and empty texts give the end id alone. An empty table gives a store without
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearcurve.llm.batches import small_batches
@@ -35,12 +35,14 @@ from wearcurve.llm.bulkbpe import LETTERS, MARK, byte_merger, content, cut, gath
 from wearcurve.llm.bytebpe import LATIN
 from wearcurve.llm.memo import Memo, held, let_go
 from wearcurve.llm.token_counts import Vocabulary
-from wearcurve.sources.tables import scratch_path
+from wearcurve.sources.tables import materialize, scratch_path
 
 #: Bytes of text that make a shard, some 3 MB of ids.
 SHARD_TEXT = 6_000_000
 #: Keys of a bucket, on average.
 BUCKET_KEYS = 20_000
+#: Index folders, and shards, that a look-up names one by one.
+FEW = 1000
 HEAD = 13
 #: Words of a generation that a worker remembers.
 MEMO = 100_000
@@ -191,8 +193,10 @@ def write_store(docs: DataFrame, vocabulary: Vocabulary, end_id: int, id: str =
     return _write_index(spark, path, width)
 
 
-def _shards(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/shards")
+def _shards(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
+    """Number and content of all shard files, or of those named."""
+    glob = "part-*" if only is None else "part-{" + ",".join(f"{k:05d}" for k in only) + "}-*"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(f"{path}/shards")
     return files.where("length > 0").select(F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("int").alias("shard"), "content")
 
 
@@ -235,24 +239,30 @@ def _write_index(spark: SparkSession, path: str, width: int) -> Store:
     walked = _shards(spark, path).mapInArrow(_walk(width), "shard int, key long, copy long, offset long, n long, before long")
     walked.write.parquet(f"{path}/records")
     records = spark.read.parquet(f"{path}/records")
-    # one row for each shard file comes to the driver, to add up ids and copies over shards
     of_shard = records.groupBy("shard").agg(
         F.count("*").alias("records"),
         F.sum("n").alias("n"),
         F.min_by(F.struct("key"), "offset")["key"].alias("first"),
         F.max_by(F.struct("key", "copy"), "offset").alias("last"),
     )
-    start, total, carry, ends, bases = 0, 0, 0, None, []
-    for s in of_shard.orderBy("shard").collect():
-        first, (last, copies) = s["first"], s["last"]
-        carry = carry if ends is not None and ends == (first,) else 0  # copies of its first key in the shards before
-        bases.append((s["shard"], start, carry, first))
-        carry = copies + 1 + (carry if copies + 1 == s["records"] else 0)
-        ends = (last,)
-        start += s["n"]
-        total += s["records"]
+    # ids and copies are added up over shards: one row for each shard file passes the windows
+    order = Window.partitionBy(F.lit(0)).orderBy("shard")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    of_shard = of_shard.withColumns(
+        {
+            "base": F.coalesce(F.sum("n").over(before), F.lit(0)),
+            "row": F.coalesce(F.sum("records").over(before), F.lit(0)),
+            "goes_on": F.lag("shard").over(order).isNotNull() & F.lag("last.key").over(order).eqNullSafe(F.col("first")),
+        }
+    )
+    # the row where the last key of a shard begins; null if a shard is one key that began before it
+    begins = F.when(F.col("last.copy") + 1 < F.col("records"), F.col("row") + F.col("records") - 1 - F.col("last.copy")).when(~F.col("goes_on"), F.col("row"))
+    of_shard = of_shard.withColumn("begins", begins)
+    carry = F.when(F.col("goes_on"), F.col("row") - F.last("begins", ignorenulls=True).over(before)).otherwise(0)
+    base = materialize(of_shard.select("shard", "base", carry.alias("carry"), "first", "records"), "shard_bases")
+    total = base.agg(F.sum("records")).first()[0] or 0
+    base = base.drop("records")
     buckets = 1 + total // BUCKET_KEYS
-    base = spark.createDataFrame(bases, "shard int, base long, carry long, first long")
     placed = records.join(base, "shard").select(
         "shard",
         "key",
@@ -261,12 +271,20 @@ def _write_index(spark: SparkSession, path: str, width: int) -> Store:
         "n",
         (F.col("base") + F.col("before")).alias("start"),
     )
-    schema = "bucket int, size int, levels array<binary>, entries binary"
-    _hashed(placed, buckets).groupBy("bucket").applyInArrow(_build, schema).write.parquet(f"{path}/index")
+    built = _hashed(placed, buckets).groupBy("bucket").applyInArrow(_build, _INDEX)
+    built.withColumn("span", _span()).write.partitionBy("span").parquet(f"{path}/index")
     spark.createDataFrame([(width, buckets, total)], "width int, buckets int, records long").write.parquet(f"{path}/meta")
     return Store(path, width, buckets, total)
 
 
+_INDEX = "bucket int, size int, levels array<binary>, entries binary"
+
+
+def _span() -> Column:
+    """The folder of a bucket's index."""
+    return F.shiftright("bucket", 4)
+
+
 def open_store(spark: SparkSession, path: str) -> Store:
     meta = spark.read.parquet(f"{path}/meta").first()
     return Store(path, meta["width"], meta["buckets"], meta["records"])
@@ -392,15 +410,26 @@ def look_up(keys: DataFrame, store: Store, with_ids: bool = True) -> DataFrame:
     """(key, copy, start, n, crc32, raw) of each distinct (key, copy) in ``keys`` that the store has.
 
     ``crc32`` is that of the ids read, as little-endian unsigned 32-bit integers; without ``with_ids`` the raw ids
-    are null, for a caller that only verifies a store.
+    are null, for a caller that only verifies a store. If the keys fall into up to ``FEW`` folders of the index, only
+    these are read, and only the shards that hold the keys; the numbers of both come to the driver. Keys are hashed
+    before this returns.
     """
     spark = keys.sparkSession
     asked = _hashed(keys.select(F.col("key").cast("long").alias("key"), F.col("copy").cast("long").alias("copy")).distinct(), store.buckets)
-    index = spark.read.schema("bucket int, size int, levels array<binary>, entries binary").parquet(f"{store.path}/index")
-    located = (
-        asked.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(_locate, "key long, copy long, shard long, offset long, n long, start long")
-    )
-    shards = _shards(spark, store.path).withColumn("shard", F.col("shard").cast("long"))
+    index = spark.read.schema(f"{_INDEX}, span int").parquet(f"{store.path}/index")
+    where = "key long, copy long, shard long, offset long, n long, start long"
+    spans = [r["span"] for r in asked.select(_span().alias("span")).distinct().limit(FEW + 1).collect()]
+    few = len(spans) <= FEW
+    if few:
+        index = index.where(F.col("span").isin(spans))
+    located = asked.groupBy("bucket").cogroup(index.drop("span").groupBy("bucket")).applyInArrow(_locate, where)
+    only = None
+    if few:
+        located = materialize(located, "located")
+        found = [r["shard"] for r in located.select("shard").distinct().limit(FEW + 1).collect()]
+        # a pattern that no file has, if no key was found
+        only = (sorted(found) or [-1]) if len(found) <= FEW else None
+    shards = _shards(spark, store.path, only).withColumn("shard", F.col("shard").cast("long"))
     return located.groupBy("shard").cogroup(shards.groupBy("shard")).applyInArrow(
         _fetch(store.width, with_ids), "key long, copy long, start long, n long, crc32 long, raw binary"
     )
