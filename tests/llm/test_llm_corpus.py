@@ -1,5 +1,6 @@
 """Repeated passages, aligned tokenizers, the Merkle manifest and the id store's query, against brute force or the libraries."""
 
+import base64
 import collections
 import hashlib
 import random
@@ -12,7 +13,8 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wearcurve.llm import align, catalogue, idstore, merkle, pieces, repeats, suffixes, token_counts
+import corpus_pipeline
+from wearcurve.llm import align, catalogue, idstore, langid, merkle, pieces, repeats, suffixes, token_counts
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -270,3 +272,51 @@ def test_idstore_query(spark):
         start += len(ids)
     got = catalogue.op10_idstore(spark, SF)
     assert sorted(tuple(r) for r in got.select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == expected
+
+
+def test_look_up_reads_the_named_parts(spark, frame, vocabulary, monkeypatch):
+    monkeypatch.setattr(idstore, "SHARD_TEXT", 2000)
+    monkeypatch.setattr(idstore, "BUCKET_KEYS", 5)
+    rows = [(i // 3 if i < 90 else i, f"text of row {i} " * 5) for i in range(400)] + [(None, "no key"), (None, "none")]
+    store = idstore.write_store(frame(rows, "doc_id long, text string"), vocabulary, 0)
+    assert len(idstore._shards(spark, store.path).inputFiles()) > 5 and store.buckets > 50
+    asked = frame([(5, 2), (350, 0), (9999, 0), (None, 1)], "key long, copy long")
+    found = idstore.look_up(asked, store)
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [span" in plan
+    assert len([f for f in set(found.inputFiles()) if "/shards/" in f]) <= 3
+    got = {(r["key"], r["copy"]): r["n"] for r in found.collect()}
+    assert set(got) == {(5, 2), (350, 0), (None, 1)}
+    every = idstore.look_up(frame([(k, c) for k in {r[0] for r in rows} for c in range(3)], "key long, copy long"), store).collect()
+    assert len(every) == len(rows)
+    starts = sorted((r["start"], r["n"]) for r in every)
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+
+
+# the pipeline
+
+
+def test_stages_with_names_they_use_themselves(spark, frame):
+    text = "the words of a long enough document about nothing " * 4
+    rows = [(i, text + str(i // 2), "en", 1, 2, 3, 4) for i in range(6)]
+    docs = frame(rows, "doc_id long, text string, lang string, kept int, contaminated_key int, row int, found int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert out.count() == (3 if name == "near_duplicates" else 6), name
+
+
+def test_noise_is_rejected_and_clean_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = langid.Classifier(langid.fit(docs))
+    assert not any(r[2] for r in known.judge([r["text"] for r in docs.where("text IS NOT NULL").select("text").collect()]))
+    draw = random.Random(1)
+    for n in (100, 500, 3000):
+        letters = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(n)) for _ in range(20)]
+        packed = [base64.b64encode(draw.randbytes(5 * n)).decode() for _ in range(20)]
+        assert all(r[2] for r in known.judge(letters + packed)), n
+
+
+def test_long_texts_teach(spark, frame):
+    rows = [("xx", "foo bar baz " * 20_000), ("xx", "fob bar zab " * 20_000), ("yy", "ühm äch öde")]
+    assert set(langid.fit(frame(rows, "lang string, text string")).langs) == {"xx", "yy"}

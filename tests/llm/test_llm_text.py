@@ -282,29 +282,33 @@ def test_cross_entropy(spark, frame):
     good, bad = ["the cat sat on the mat", "a cat on a mat", "é the"], ["zx qv zx", "qq zz", None, ""]
     docs = frame([(t, True, 1) for t in good] + [(t, None if t == "qq zz" else False, 1) for t in bad], "text string, good boolean, target int")
     models = crossent.fit(docs, F.col("good"))
-    out = {r["text"]: r["s"] for r in docs.select("text", crossent.score("text", models, spark).alias("s")).collect()}
+    texts = docs.select("text", F.col("text").alias("id"))
+    out = {r["id"]: r for r in crossent.scored(texts, models).collect()}
     for t in good:
         assert abs(out[t]["target_loss"] - brute_loss(t.encode(), [g.encode() for g in good])) < 1e-4
         assert out[t]["difference"] < out["zx qv zx"]["difference"]
         assert out[t]["n_tokens"] == len(t.encode())
     assert out[None]["n_tokens"] == out[""]["n_tokens"] == 0 and out[""]["difference"] is None
-    with pytest.raises(ValueError):
-        crossent.fit(docs.where("text IS NULL"), F.col("good"))
+    # without a target text there is a background loss alone, and an empty table stays empty
+    none = crossent.scored(texts, crossent.fit(docs, F.lit(False))).collect()
+    assert len(none) == len(out) and all(r["target_loss"] is r["difference"] is None for r in none)
+    assert {r["id"] for r in none if r["background_loss"] is None} == {None, ""}
+    everything = [t.encode() for t in [*good, "zx qv zx", "qq zz"]]
+    for r in none:
+        if r["id"]:
+            assert abs(r["background_loss"] - brute_loss(r["id"].encode(), everything)) < 1e-9
+    assert crossent.scored(texts.limit(0), crossent.fit(docs.limit(0), F.col("good"))).count() == 0
     # scaled alike: with the target alone both models agree
     same = crossent.fit(docs.where("good"), F.col("good"))
-    assert all(abs(r[0]["difference"]) < 1e-6 for r in docs.where("good").select(crossent.score("text", same, spark)).collect())
+    assert all(abs(r["difference"]) < 1e-6 for r in crossent.scored(texts.where("text IN ('the cat sat on the mat', 'é the')"), same).collect())
 
 
 def test_cross_entropy_of_long_texts(monkeypatch):
     draw = random.Random(9)
     raw = bytes(draw.choices(b"abcd ", k=5000))
-    codes = crossent._codes(raw)
+    grams = crossent._grams(raw)
     monkeypatch.setattr(crossent, "STRETCH", 700)
-    cut = [crossent._codes(raw, at) for at in range(0, len(raw), 700)]
-    for n in range(4):
-        assert (np.concatenate([c[0][n] for c in cut]) == codes[0][n]).all()
-    for n in range(3):
-        assert (np.concatenate([c[1][n] for c in cut]) == codes[1][n]).all()
+    assert (np.concatenate([crossent._grams(raw, at) for at in range(0, len(raw), 700)]) == grams).all()
 
 
 def test_cross_entropy_counts_are_exact(spark, frame, monkeypatch):
@@ -321,14 +325,13 @@ def test_cross_entropy_counts_are_exact(spark, frame, monkeypatch):
     assert models.fours.count() == len(grams)
     got = {r["doc_id"]: r for r in crossent.scored(docs.select("doc_id", "text"), models).collect()}
     assert sorted(got) == [i for i, _, _ in rows]
-    as_column = {r["doc_id"]: r["s"] for r in docs.select("doc_id", crossent.score("text", models, spark).alias("s")).collect()}
     for i, t, _ in rows:
         r = got[i]
         assert r["n_tokens"] == len((t or "").encode())
         if not t:
             assert r["target_loss"] is r["background_loss"] is r["difference"] is None
             continue
-        assert abs(r["target_loss"] - as_column[i]["target_loss"]) < 1e-9 and abs(r["difference"] - as_column[i]["difference"]) < 1e-9
+        assert abs(r["difference"] - (r["target_loss"] - r["background_loss"])) < 1e-12
         if i % 10 == 0 or i >= 120:
             assert abs(r["target_loss"] - brute_loss(t.encode(), good)) < 1e-9
 
