@@ -44,14 +44,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     plain = numbered.select(F.col(row).alias("row_number"), "doc_id", "text")
     groups = simhash.near_duplicates(plain, keep="row_number")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_number"))["row_number"]
-    kept = groups.groupBy("group").agg(first.alias("kept")).select("kept")
-    return numbered.join(kept, F.col(row) == F.col("kept"), "left_semi").select(*docs.columns)
+    kept = groups.groupBy("group").agg(first.alias(row)).select(row)
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.where("contaminated").select(F.col("key").alias("contaminated_key")).distinct()
-    return docs.join(bad, decontam.text_key(F.col("text")) == F.col("contaminated_key"), "left_anti")
+    key = _unused(docs, "contaminated_key")
+    bad = found.where("contaminated").select(F.col("key").alias(key)).distinct()
+    return docs.withColumn(key, decontam.text_key(F.col("text"))).join(bad, key, "left_anti").select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
