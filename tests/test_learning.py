@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearcurve import CONTIGUOUS as C
-from wearcurve.operators import balance, clustering, metrics, models, selection, splits
+from wearcurve.operators import balance, clustering, metrics, models, risk, selection, splits
 from wearcurve.plans import phases
 from wearcurve.plans.staged import Tables
 from wearcurve.sources import tables as tb
@@ -83,7 +83,7 @@ def test_units_of_any_length_take_the_same_way(spark):
     with pytest.raises(ValueError, match="no linkage"):
         clustering.cluster_units(df, ["sensor_1"], C, linkage="single", method="centroid")
     with pytest.raises(Exception, match="too many to merge"):
-        clustering.cluster_units(df, ["sensor_1"], C, max_rows=4000).count()
+        clustering.cluster_units(df, ["sensor_1"], C, linkage="average", max_rows=4000).count()
 
 
 def test_quality_of_huge_cells(spark):
@@ -278,6 +278,13 @@ def test_run_of_all_phases(spark, tmp_path, labelled):
     # one phase alone from the tables of the run before
     again = phases.run(spark, root, "FD001", phase=4, output_dir=out, resume=True, risk_method="calibrated_minmax", risk_options={"thresholds": {"high": 0.9}})
     assert again.stages is None and again.risk.thresholds.first().high == 0.9
+    assert {"time_model", "train_labels", "test_labels"} <= set(first.saved)
+    # new rows are scored by the saved models: the test units again, as they came
+    wanted = spark.read.parquet(first.saved["test_predictions"]).select("unit_number", "time_cycles", F.col(risk.TIME).alias("_was"))
+    fresh = spark.read.parquet(first.saved["degradation_stages"]).join(wanted.select("unit_number").distinct(), "unit_number", "left_semi").drop("degradation_stage", "RUL")
+    scored = phases.run(spark, root, "FD001", phase=4, output_dir=out, resume=True, new_rows=fresh).risk.rows
+    both = scored.join(wanted, ["unit_number", "time_cycles"])
+    assert both.count() == wanted.count() and both.where(F.abs(F.col(risk.TIME) - F.col("_was")) > 1e-6).count() == 0
     # the test split with the RUL file, and a logistic model with its preset
     other = phases.run(spark, root, "FD003", phase=2, subset="test", class_options={"model_type": "logistic_regression", "top_k": 5})
     assert other.stages.rows.selectExpr("min(RUL)").first()[0] == 20

@@ -16,7 +16,7 @@ from wearcurve.functions.features import METRICS, distance
 from wearcurve.layout import BLOCK, Layout
 from wearcurve.operators import linkage as linkages
 from wearcurve.operators import tiles
-from wearcurve.operators.blocks import Lookback, attach, join_units, positions, range_positions, spread_groups, unit_table
+from wearcurve.operators.blocks import Lookback, attach, join_units, positions, range_positions, shuffle_partitions, spread_groups, unit_table
 
 # executors need not have this package installed
 for _module in (sys.modules[__name__], linkages, tiles):
@@ -185,7 +185,6 @@ def cluster_units(
     longest = unit_table(df, layout, F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] if by_rounds else 0
     if (longest or 0) <= max_rows:
         return spread_groups(_unit_groups(sized, features, layout), names).groupBy(*names).applyInPandas(solve, schema)
-    sized = attach(sized, layout, _rows=F.count(F.lit(1)))
     short = _unit_groups(sized.where(F.col("_rows") <= max_rows), features, layout)
     short = spread_groups(short, names).groupBy(*names).applyInPandas(solve, schema)
     rows = _unit_groups(sized.where(F.col("_rows") > max_rows), features, layout).withColumnRenamed("_cycle", "id")
@@ -523,3 +522,57 @@ def pair_links(
         .withColumn("ward", F.col("_q") / (F.col("_sizes")[F.col("a")] + F.col("_sizes")[F.col("b")]))
         .select(*names, "a", "b", "single", "complete", "average", "ward")
     )
+
+
+def extreme_links(
+    df: DataFrame, features: Sequence[str], layout: Layout, cluster: str, metric: str = "euclidean", tile_rows: int = tiles.TILE_ROWS
+) -> DataFrame:
+    """Single and complete link of every two clusters of a unit, without comparing all tiles of their rows.
+
+    The rows of a cluster are cut into compact tiles. The distances of one row of each tile bound both links, so only
+    tiles whose boxes may hold a nearer or a farther pair are compared; rows of other tiles are shipped nowhere. For
+    distances in a plane of coordinates: Euclidean or Manhattan. The tiles are written before this returns.
+    """
+    from pyspark.sql import types as T
+
+    if metric not in ("euclidean", "manhattan"):
+        raise ValueError(f"no bounds for metric {metric!r}: use pair_links")
+    names = list(layout.unit)
+    vector = F.array(*[F.col(c).cast("double") for c in features])
+    rows = df.select(*names, F.col(cluster).cast("int").alias("_cl"), F.col(layout.cycle).alias("_id"), vector.alias("_x"))
+    cut = tiles.space_tiles(rows, [*names, "_cl"], "_id", "_x", tile_rows)
+    wanted = extreme_pairs(cut, names, len(features), metric)
+    sides = []
+    for side, tile, left in (("a", "_ta", True), ("b", "_tb", False)):
+        own = cut.withColumnsRenamed({"_cl": side, "_tile": tile})
+        sides.append(own.join(wanted, [*names, side, tile]).select(*names, "a", "b", "_ta", "_tb", "_x", F.lit(left).alias("_left")))
+
+    def solve(cell: pa.Table) -> pa.Table:
+        left = cell["_left"].to_numpy(zero_copy_only=False).astype(bool)
+        x = tiles.matrix(cell["_x"])
+        d = linkages.apart(x[left], x[~left], metric)
+        return pa.table({**tiles.keyed(cell, [*names, "a", "b"], 1), "lo": [float(d.min())], "hi": [float(d.max())]})
+
+    schema = tiles.schema_of(wanted, [*names, "a", "b"], lo=T.DoubleType(), hi=T.DoubleType())
+    found = sides[0].unionAll(sides[1]).groupBy(*names, "a", "b", "_ta", "_tb").applyInArrow(solve, schema)
+    links = found.groupBy(*names, "a", "b").agg(F.min("lo").alias("single"), F.max("hi").alias("complete"))
+    return links if metric == "manhattan" else links.withColumns({c: F.sqrt(c) for c in ("single", "complete")})
+
+
+def extreme_pairs(cut: DataFrame, names: Sequence[str], width: int, metric: str, every: bool = False) -> DataFrame:
+    """(unit…, a, b, _ta, _tb): pairs of tiles that may hold the nearest or the farthest rows of two clusters, or all pairs."""
+    salts = shuffle_partitions(cut)
+    box = tiles.boxes(cut, [*names, "_cl"], "_x", width, _rep=F.min_by("_x", "_id"))
+    left = box.select(*names, F.col("_cl").alias("a"), F.col("_tile").alias("_ta"), F.struct("lo", "hi", "_rep").alias("_a"), F.pmod(F.xxhash64("_tile"), F.lit(salts)).alias("_salt"))
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
+    right = box.select(*names, F.col("_cl").alias("b"), F.col("_tile").alias("_tb"), F.struct("lo", "hi", "_rep").alias("_b"), spread)
+    sides = [F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")]
+    pairs = left.join(right, [*names, "_salt"]).where("a < b").withColumns(
+        {"_near": tiles.box_gap(*sides, metric), "_far": tiles.box_reach(*sides, metric), "_one": tiles.gap(F.col("_a._rep"), F.col("_b._rep"), F.col("_b._rep"), metric)}
+    )
+    pairs = pairs.select(*names, "a", "b", "_ta", "_tb", "_near", "_far", "_one")
+    if every:
+        return pairs
+    bounds = pairs.groupBy(*names, "a", "b").agg(F.min("_one").alias("_most"), F.max("_one").alias("_least"))
+    near = (F.col("_near") <= F.col("_most")) | (F.col("_far") >= F.col("_least"))
+    return pairs.join(bounds, [*names, "a", "b"]).where(near).select(*names, "a", "b", "_ta", "_tb")

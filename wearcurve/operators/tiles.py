@@ -59,7 +59,14 @@ def gap(x: Column, lo: Column, hi: Column, metric: str = "euclidean") -> Column:
     return _summed(over, metric)
 
 
-def _box_gap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column, metric: str) -> Column:
+def box_reach(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column, metric: str) -> Column:
+    """The largest distance that points of two boxes can have, as ``gap`` measures it."""
+    over = F.zip_with(F.arrays_zip(a_lo.alias("lo"), a_hi.alias("hi")), F.arrays_zip(b_lo.alias("lo"), b_hi.alias("hi")), lambda a, b: F.greatest(b["hi"] - a["lo"], a["hi"] - b["lo"]))
+    return _summed(over, metric)
+
+
+def box_gap(a_lo: Column, a_hi: Column, b_lo: Column, b_hi: Column, metric: str) -> Column:
+    """The least distance that points of two boxes can have."""
     over = F.zip_with(F.arrays_zip(a_lo.alias("lo"), a_hi.alias("hi")), F.arrays_zip(b_lo.alias("lo"), b_hi.alias("hi")), lambda a, b: F.greatest(b["lo"] - a["hi"], a["lo"] - b["hi"], F.lit(0.0)))
     return _summed(over, metric)
 
@@ -76,7 +83,7 @@ def nearest_tiles(rows: DataFrame, others: DataFrame, vector: str, width: int, m
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))).alias("_salt")
     left = boxes(rows, [], vector, width).select("_tile", F.pmod(F.xxhash64("_tile"), F.lit(many)).alias("_salt"), F.struct("lo", "hi").alias("_a"))
     right = boxes(others, [], vector, width).select(F.col("_tile").alias("_next"), F.struct("lo", "hi").alias("_b"), salts)
-    pairs = left.join(right, "_salt").withColumn("_g", _box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric))
+    pairs = left.join(right, "_salt").withColumn("_g", box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric))
     return pairs.groupBy("_tile").agg(F.min(F.struct("_g", "_next"))["_next"].alias("_next"))
 
 
@@ -116,7 +123,7 @@ def meetings(
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(many - 1).cast("long"))).alias("_salt")
     left = box.select(*keys, F.pmod(F.xxhash64("_tile"), F.lit(many)).alias("_salt"), F.struct("_tile", "lo", "hi", "_most", *more).alias("_a")).where("_a._most IS NOT NULL")
     right = (box.where("_any") if answers else box).select(*keys, salts, F.struct("_tile", "lo", "hi", *more).alias("_b"))
-    between = _box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric)
+    between = box_gap(*[F.col(c) for c in ("_a.lo", "_a.hi", "_b.lo", "_b.hi")], metric)
     near = (F.col("_a._tile") != F.col("_b._tile")) & (bound(between, ("_a._n0", "_a._v0"), ("_b._n0", "_b._v0")) <= F.col("_a._most"))
     pairs = left.join(right, [*keys, "_salt"]).where(near)
     if skip:

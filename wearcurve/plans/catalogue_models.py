@@ -187,6 +187,34 @@ def _(t: Tables):
     return clustering.cluster_units(t.lines, ["sensor_2"], C, linkage="single")
 
 
+# two units of many rows: all lines of every second supplier
+_LONG = "(SELECT unit_number % 2 AS unit_number, CAST(time_cycles AS BIGINT) * 65536 + unit_number AS time_cycles, sensor_2 FROM l)"
+
+# the widest gaps between different values, of equal ones those of later rows
+_LONG_GAPS = f"""WITH x AS {_LONG}, v AS (SELECT unit_number, sensor_2, min(time_cycles) AS head FROM x GROUP BY 1, 2),
+  g AS (SELECT *, sensor_2 - lag(sensor_2) OVER w AS gap, lag(head) OVER w AS before FROM v WINDOW w AS (PARTITION BY unit_number ORDER BY sensor_2)),
+  k AS (SELECT *, row_number() OVER (PARTITION BY unit_number ORDER BY gap DESC NULLS LAST, least(head, before) DESC, greatest(head, before) DESC) AS rk FROM g),
+  c AS (SELECT *, sum(CASE WHEN rk <= 4 THEN 1 ELSE 0 END) OVER (PARTITION BY unit_number ORDER BY sensor_2 ROWS UNBOUNDED PRECEDING) AS part FROM k),
+  f AS (SELECT *, min(head) OVER (PARTITION BY unit_number, part) AS first FROM c)
+  SELECT x.unit_number, x.time_cycles, CAST(dense_rank() OVER (PARTITION BY x.unit_number ORDER BY f.first) - 1 AS INT) AS cluster
+  FROM x JOIN f USING (unit_number, sensor_2)"""
+
+
+def _long_units(t: Tables) -> DataFrame:
+    cycle = F.col("time_cycles").cast("long") * 65536 + F.col("unit_number")
+    return t.lines.select((F.col("unit_number") % 2).alias("unit_number"), cycle.alias("time_cycles"), *[f"sensor_{i}" for i in range(1, 5)])
+
+
+@query("I6_long_unit_labels", [*KEY, "cluster"], (), _LONG_GAPS, "l")
+def _(t: Tables):
+    return clustering.cluster_units(_long_units(t), ["sensor_2"], C.but(contiguous=False), linkage="single", max_rows=1000)
+
+
+@query("I6_cluster_labels_of_sensors", [*KEY, "cluster"])
+def _(t: Tables):
+    return clustering.cluster_units(t.lines, [f"sensor_{i}" for i in range(1, 5)], C)
+
+
 @query("I6_centroid_clusters", ["unit_number", "n", "clusters"], (), "SELECT unit_number, count(*) AS n, 5::BIGINT AS clusters FROM l GROUP BY 1", "l")
 def _(t: Tables):
     rows = clustering.cluster_units(t.lines, [f"sensor_{i}" for i in range(1, 5)], C, method="centroid")
@@ -255,6 +283,16 @@ def _(t: Tables):
     return out
 
 
+@query("I10_importance_values", ["model", "feature"], ["importance"])
+def _(t: Tables):
+    rows, out = t.labelled, None
+    for kind, how in (("random_forest", "splits"), ("random_forest", "impurity"), ("logistic_regression", "impurity")):
+        model = models.fit_classifier(rows, X, "true_stage", kind, models.preset(kind, 1), KEY)
+        one = models.feature_importance(model, X, how).withColumn("model", F.lit(f"{kind} {how}"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("I11_hyper_parameter_search", ["params", "in_range"], (), """SELECT '{"max_depth": ' || d || ', "max_features": "' || f || '", "min_samples_split": ' || s || ', "n_estimators": ' || n || '}' AS params, true AS in_range
   FROM (VALUES (5), (10)) AS a(d), (VALUES ('sqrt'), ('log2')) AS b(f), (VALUES (5), (10)) AS c(s), (VALUES (50), (100)) AS e(n)""")
 def _(t: Tables):
@@ -353,6 +391,11 @@ def _(t: Tables):
     return models.fit_interval(t.labelled, X, TARGET)(t.labelled).withColumn("ordered", F.col("lower_bound") <= F.col("upper_bound"))
 
 
+@query("I16_interval_bounds", KEY, ["lower_bound", "upper_bound"])
+def _(t: Tables):
+    return models.fit_interval(t.labelled, X, TARGET)(t.labelled)
+
+
 @query("I17_gradient_boosting", ["n", "beats_mean"], (), _BEATS, "p")
 def _(t: Tables):
     return _beats_mean(t, models.fit_boosting(t.labelled, X, TARGET))
@@ -407,6 +450,11 @@ def _(t: Tables):
     return profiles.agg(F.countDistinct("stage").alias("stages"), F.sum("n").alias("n"))
 
 
+@query("M2_stage_profile_values", ["stage", "n"], ["w_time_cycles_mean", "w_sensor_1_mean", "w_sensor_2_mean"])
+def _(t: Tables):
+    return phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C).profiles
+
+
 @query("M2_stage_evaluation_by_fold", ["fold"], [*metrics.PERFORMANCE, *metrics.QUALITY])
 def _(t: Tables):
     staged = phases.derive_stages(t.labelled.select(*KEY, "setting_1", *S, "RUL"), C)

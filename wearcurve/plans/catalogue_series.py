@@ -378,6 +378,18 @@ def _(t: Tables):
     return clustering.pair_links(t.labelled, S, C, "cluster")
 
 
+@query(
+    "C4_extreme_links",
+    ["unit_number", "a", "b"],
+    ["single", "complete"],
+    _LINK_SQL.format(rows="p", value=f"min(sqrt({_SQ})) AS single, max(sqrt({_SQ})) AS complete"),
+    "p",
+    digits=4,
+)
+def _(t: Tables):
+    return clustering.extreme_links(t.labelled, S, C, "cluster")
+
+
 _MH = "abs(x.sensor_1 - y.sensor_1) + abs(x.sensor_2 - y.sensor_2)"
 
 

@@ -1,7 +1,7 @@
 """Tables the phases hand to each other, written once per application to the shared folder.
 
 Every phase reads the table before it instead of recomputing the chain, and a lost executor costs one
-read. The key holds the source file's size and time, so changed data is staged again.
+read. The key holds size and time of the source's files, so changed data is staged again.
 """
 
 from __future__ import annotations
@@ -22,8 +22,11 @@ _STAGED: dict[tuple, tuple[str, DataFrame]] = {}
 def _stamp(spark: SparkSession, path: str) -> tuple:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    status = files.getFileStatus(target)
-    return status.getLen(), status.getModificationTime()
+    if not files.getFileStatus(target).isDirectory():
+        status = files.getFileStatus(target)
+        return status.getLen(), status.getModificationTime()
+    parts = list(files.listStatus(target))
+    return len(parts), sum(p.getLen() for p in parts), max((p.getModificationTime() for p in parts), default=0)
 
 
 class Tables:
