@@ -31,8 +31,8 @@ from wearcurve.operators.tiles import TILE_ROWS, keyed, matrix, meetings, schema
 from wearcurve.sources.tables import materialize
 
 _MOST_ROUNDS = 100
-#: Clusters of a unit that one task finishes.
-CHAIN = 2048
+#: Clusters of a unit that one task finishes, and components of a unit that one task follows pointers or edges of.
+CHAIN, POINTERS = 2048, 100_000
 
 
 def apart(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -47,9 +47,26 @@ def apart(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
 # components ---------------------------------------------------------------------------------------------------
 
 
-def _roots(pointers: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, comp, root) from (keys, comp, other): where following ``other`` ends; two that point at each other end at the lesser."""
+def _roots(pointers: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """(keys, comp, root) from (keys, comp, other): where following ``other`` ends; two that point at each other end at the lesser.
+
+    ``most``: no group has more components. Groups of up to ``POINTERS`` are one task each.
+    """
     keys = list(keys)
+    if most <= POINTERS:
+
+        def follow(group: pa.Table) -> pa.Table:
+            comp, other = group["comp"].to_numpy(), group["other"].to_numpy()
+            order = np.argsort(comp)
+            # every component points to another one
+            to = order[np.searchsorted(comp, other, sorter=order)]
+            each = np.arange(len(comp))
+            to = np.where((to[to] == each) & (comp < other), each, to)
+            while (to[to] != to).any():
+                to = to[to]
+            return pa.table({**keyed(group, keys, len(group)), "comp": comp, "root": comp[to]})
+
+        return pointers.groupBy(*keys).applyInArrow(follow, schema_of(pointers, keys, comp=T.LongType(), root=T.LongType()))
     back = pointers.select(*keys, F.col("comp").alias("other"), F.col("other").alias("_back"))
     met = pointers.join(back, [*keys, "other"], "left")
     root = F.when((F.col("_back") == F.col("comp")) & (F.col("comp") < F.col("other")), F.col("comp")).otherwise(F.col("other"))
@@ -73,6 +90,9 @@ def grow(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], more: Callable
     """
     keys = list(keys)
     labels = materialize(nodes.select(*keys, "id", F.col("id").alias("comp")), "components")
+    most = labels.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    if more is None and most <= POINTERS:
+        return _joined(labels, edges, keys), edges
     chosen, open_edges = [], edges
     for _ in range(_MOST_ROUNDS):
         for end, name in (("a", "_ca"), ("b", "_cb")):
@@ -88,7 +108,7 @@ def grow(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], more: Callable
             best = _least(best.unionAll(more(labels, best).select(best.columns)), keys)
         best = materialize(best, "best-edges")
         chosen.append(best.select(*keys, "a", "b", "d").distinct())
-        roots = _roots(best.select(*keys, "comp", "other"), keys)
+        roots = _roots(best.select(*keys, "comp", "other"), keys, most)
         labels = labels.join(roots, [*keys, "comp"], "left").select(*keys, "id", F.coalesce("root", "comp").alias("comp"))
         labels = materialize(labels, "components")
     else:
@@ -99,6 +119,26 @@ def grow(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], more: Callable
     return labels, forest
 
 
+def _joined(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Components, named by their least node, of groups that are one task each."""
+
+    def join(group_nodes: pa.Table, group_edges: pa.Table) -> pa.Table:
+        ids = np.sort(group_nodes["id"].to_numpy())
+        to = np.arange(len(ids))
+        a, b = (np.searchsorted(ids, group_edges[c].to_numpy()) for c in ("a", "b"))
+        while len(a):
+            low = np.minimum(to[a], to[b])
+            for end in (a, b):  # the roots of both ends go to the lesser one
+                np.minimum.at(to, to[end], low)
+            while (to[to] != to).any():
+                to = to[to]
+            still = to[a] != to[b]
+            a, b = a[still], b[still]
+        return pa.table({**keyed(group_nodes, keys, len(ids)), "id": ids, "comp": ids[to]})
+
+    return nodes.groupBy(*keys).cogroup(edges.groupBy(*keys)).applyInArrow(join, schema_of(nodes, [*keys, "id", "comp"]))
+
+
 def _least(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     best = edges.groupBy(*keys, "comp").agg(F.min(F.struct("d", "a", "b", "other")).alias("_e"))
     return best.select(*keys, "comp", "_e.other", "_e.d", "_e.a", "_e.b")
