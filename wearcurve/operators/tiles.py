@@ -50,11 +50,13 @@ def space_tiles(rows: DataFrame, keys: Sequence[str], id: str, vector: str, tile
 
 
 def _summed(gaps: Column, metric: str) -> Column:
+    if metric == "maximum":
+        return F.array_max(gaps)
     return F.aggregate(gaps, F.lit(0.0), lambda s, g: s + (g if metric == "manhattan" else g * g))
 
 
 def gap(x: Column, lo: Column, hi: Column, metric: str = "euclidean") -> Column:
-    """Distance of a point to a box: Manhattan, or squared Euclidean."""
+    """Distance of a point to a box: Manhattan, the largest coordinate's, or squared Euclidean."""
     over = F.zip_with(x, F.arrays_zip(lo.alias("lo"), hi.alias("hi")), lambda v, b: F.greatest(b["lo"] - v, v - b["hi"], F.lit(0.0)))
     return _summed(over, metric)
 
