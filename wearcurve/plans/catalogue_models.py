@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearcurve.layout import CONTIGUOUS as C
-from wearcurve.operators import balance, clustering, features, labels, metrics, models, selection, splits
+from wearcurve.operators import balance, clustering, features, information, labels, metrics, models, selection, splits
 from wearcurve.plans import phases
 from wearcurve.plans.catalogue_series import _UNIT_RANK
 from wearcurve.plans.registry import query
@@ -113,6 +113,51 @@ def _(t: Tables):
     return selection.mutual_information(t.labelled, X, "true_stage", discrete_target=True)
 
 
+def _psi_sql(n: str) -> str:
+    """The digamma function of a whole number, by its series from 16 more on."""
+    return f"(ln({n} + 16.0::DOUBLE) - 0.5 / ({n} + 16.0::DOUBLE) - 1 / (12 * pow({n} + 16.0::DOUBLE, 2)) + 1 / (120 * pow({n} + 16.0::DOUBLE, 4)) - list_sum([1.0::DOUBLE / ({n} + i) FOR i IN range(16)]))"
+
+
+def _nudged_sql(c: str) -> str:
+    unit = f"(SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END FROM p)"
+    size = f"(SELECT pow(2, floor(log2(1e-10::DOUBLE * greatest(1, avg(abs({c})) / {unit})))) FROM p)"
+    return f"{c} / {unit} + {size} * (('0x' || substr(md5(unit_number || ':' || time_cycles || ':{c}:42'), 1, 13))::BIGINT / pow(16, 13))"
+
+
+def _pairs_sql(names: list[str], y: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(unit_number AS BIGINT) * 100000 + time_cycles AS id, {_nudged_sql(c)} AS x, {y} AS y FROM p" for c in names)
+
+
+def _inside_sql(v: str) -> str:
+    return f"(SELECT a.feature, a.id, count(*) AS m FROM r a JOIN r b ON a.feature = b.feature AND b.{v} < a.{v} + a.r AND b.{v} > a.{v} - a.r GROUP BY 1, 2)"
+
+
+_STEPS = ", ".join(f"abs(x - {f}(x, {j}) OVER o)" for j in (1, 2, 3) for f in ("lag", "lead"))
+_CLASS_MI_SQL = f"""
+  WITH z AS ({_pairs_sql(X, "true_stage")}),
+  g AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS n, list_sort(list_filter([{_STEPS}], lambda e: e IS NOT NULL)) AS near FROM z WINDOW o AS (PARTITION BY feature, y ORDER BY x)),
+  r AS (SELECT *, least(3, n - 1) AS k, near[least(3, n - 1)] AS r FROM g WHERE n > 1)
+  SELECT feature, greatest(0, {_psi_sql("count(*)")} + avg({_psi_sql("k")} - {_psi_sql("n")} - {_psi_sql("m")})) AS score
+  FROM r JOIN {_inside_sql("x")} USING (feature, id) GROUP BY 1"""
+_NUMBER_MI_SQL = f"""
+  WITH z AS MATERIALIZED ({_pairs_sql(S, _nudged_sql("RUL"))}),
+  r AS MATERIALIZED (SELECT a.feature, a.id, any_value(a.x) AS x, any_value(a.y) AS y, list_max(min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 3)) AS r
+    FROM z a JOIN z b ON a.feature = b.feature AND a.id <> b.id GROUP BY 1, 2)
+  SELECT feature, greatest(0, {_psi_sql("count(*)")} + {_psi_sql("3")} - avg({_psi_sql("mx.m")}) - avg({_psi_sql("my.m")})) AS score
+  FROM {_inside_sql("x")} mx JOIN {_inside_sql("y")} my USING (feature, id) GROUP BY 1"""
+
+
+@query("I4_neighbour_information_with_class", ["feature"], ["score"], _CLASS_MI_SQL, "p", digits=4)
+def _(t: Tables):
+    return information.neighbour_information(t.labelled, X, "true_stage", KEY, discrete_target=True)
+
+
+@query("I4_neighbour_information", ["feature"], ["score"], _NUMBER_MI_SQL, "p", digits=4)
+def _(t: Tables):
+    return information.neighbour_information(t.labelled, S, "RUL", KEY)
+
+
+
 # --- I5: over-sampling -------------------------------------------------------------------------
 
 _SMOTE_SQL = """
