@@ -180,6 +180,47 @@ def test_url_aliases(spark, frame):
     assert urls.judge(pages, rules.limit(0)).where("verdict = 'block'").count() == 0
 
 
+LINKS = [
+    ("http://h.net/a/b?q", "https://X.com/p?z#f", "x.com/p?z"),
+    ("http://h.net/a/b?q", "//y.com", "y.com/"),
+    ("http://h.net/a/b?q", "/c/./d/../e?r=1&amp;s=2#t", "h.net/c/e?r=1&s=2"),
+    ("http://h.net/a/b?q", "c", "h.net/a/c"),
+    ("http://h.net/a/b?q", "../../../c/..", "h.net/"),
+    ("http://h.net/a/b?q", "?x=://no.net/", "h.net/a/b?x=://no.net/"),
+    ("http://H.net", "c/", "h.net/c/"),
+    ("http://h.net?q", "?x", "h.net/?x"),
+    ("http://h.net/a/", "c", "h.net/a/c"),
+    ("http://h.net/a", "/go?to=http://evil.com/", "h.net/go?to=http://evil.com/"),
+    ("http://h.net/a", "mailto:me@x.com", None),
+    ("http://h.net/a", "#top", None),
+    ("http://h.net/a", "", None),
+    ("http://h.net/a", None, None),
+    ("no address", "c", None),
+    (None, "/c", None),
+    (None, "http://x.com/", "x.com/"),
+]
+
+
+def test_link_targets(frame):
+    rows = frame([(i, u, t) for i, (u, t, _) in enumerate(LINKS)], "i long, url string, link string")
+    out = rows.select("i", urls.target_of(F.col("link"), F.col("url")).alias("node")).orderBy("i").collect()
+    assert [r["node"] for r in out] == [node for _, _, node in LINKS]
+
+
+def test_relative_links_are_aliases(spark, frame):
+    pages = frame(
+        [
+            (1, "http://bad.example.com/de/x", ""),
+            (2, "http://m.net/a/b", '<link rel="canonical" href="../old?a=1&amp;b=2">'),
+            (3, "http://m.net/old?a=1&b=2", '<meta http-equiv="refresh" content="0; url=//bad.example.com/de/x">'),
+            (4, "http://m.net/other", '<link rel=canonical href="/free">'),
+        ],
+        "page_id long, url string, html string",
+    )
+    out = {r["page_id"]: (r["verdict"], r["by"]) for r in urls.judge(pages, urls.rule_table(spark, catalogue.RULES)).collect()}
+    assert out == {1: ("block", "rule"), 2: ("block", "alias"), 3: ("block", "alias"), 4: ("allow", "default")}
+
+
 def test_url_rules_longest_and_allow_first(spark, frame):
     pages = frame([(1, "http://a.b.c/x/y", "")], "page_id long, url string, html string")
     judged = lambda rules: urls.judge(pages, urls.rule_table(spark, rules)).first()

@@ -5,8 +5,10 @@ wins, and an equally long allow rule precedes a block rule. What no rule judges
 are aliases if a redirect or canonical link leads from one to the other. A page is blocked if a block rule holds
 for an alias of it, unless a rule allows the page itself: explicit allow precedes. All else is allowed.
 
-Links come from the pages themselves (``<link rel=canonical>``, ``<meta http-equiv=refresh>`` with absolute
-addresses) and, if given, from a table of redirects. An address without its scheme and fragment is a node;
+Links come from the pages themselves (``<link rel=canonical>``, ``<meta http-equiv=refresh>``) and, if given, from a
+table of redirects. Links of a page may be absolute, begin with ``//``, ``/`` or ``?``, or be relative to its folder (dots
+are resolved), and ``&amp;`` stands for ``&``; other schemes, empty links and bare fragments lead nowhere, and a ``<base>``
+is not looked at. An address without its scheme and fragment is a node;
 components are found by distributed stars, so a host or an alias group of any size is split. Rules are joined by
 host suffix, one equality join for each number of labels among the rules; they are broadcast only if there are at
 most ``BROADCAST_RULES``.
@@ -55,6 +57,38 @@ def node_of(url: Column) -> Column:
     return F.when(host != "", F.concat(host, F.when(F.substring(tail, 1, 1) == "/", tail).otherwise(F.concat(F.lit("/"), tail))))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from ``/`` on with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)),
+        none,
+        lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).when(x == ".", a).otherwise(F.concat(a, F.array(x))),
+    )
+    ends = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+    return F.concat(F.lit("/"), F.array_join(F.concat(kept, ends), "/"))
+
+
+def target_of(link: Column, url: Column) -> Column:
+    """The node that a link on the page ``url`` leads to; null if there is none."""
+    to = F.trim(F.regexp_replace(link, "(?i)&(amp|#38|#x26);", "&"))
+    host = host_of(url)
+    path, asked = F.regexp_extract(to, "^[^?#]*", 0), F.regexp_extract(to, r"^[^?#]*(\?[^#]*)", 1)
+    folder = F.concat(F.lit("/"), F.regexp_extract(path_of(url), "^/(.*/)?[^/]*$", 1))
+    inside = (
+        F.when(F.startswith(to, F.lit("/")), F.concat(_without_dots(path), asked))
+        .when(F.startswith(to, F.lit("?")), F.concat(F.when(path_of(url) == "", "/").otherwise(path_of(url)), asked))
+        .otherwise(F.concat(_without_dots(F.concat(folder, path)), asked))
+    )
+    return (
+        F.when((to == "") | F.startswith(to, F.lit("#")), F.lit(None).cast("string"))
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(to.rlike("^[^:]*://"), node_of(to)))
+        .when(F.startswith(to, F.lit("//")), node_of(F.concat(F.lit("http:"), to)))
+        .when(host != "", F.concat(host, inside))
+    )
+
+
 def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Rules (action, host, path) as a table."""
     return spark.createDataFrame(list(rules), "action string, host string, path string")
@@ -70,8 +104,8 @@ def links_of(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
         F.filter(F.regexp_extract_all(html, F.lit(_META), 0), lambda x: x.rlike(r"""(?is)\bhttp-equiv\s*=\s*["']?refresh\b""")),
         lambda x: F.regexp_extract(x, _REFRESH, 1),
     )
-    found = pages.select(node_of(F.col(url)).alias("a"), F.explode(F.concat(canonical, refresh)).alias("to"))
-    return found.select("a", node_of(F.col("to")).alias("b")).where("a != b").distinct()
+    found = pages.select(F.col(url).alias("url"), F.explode(F.concat(canonical, refresh)).alias("to"))
+    return found.select(node_of(F.col("url")).alias("a"), target_of(F.col("to"), F.col("url")).alias("b")).where("a != b").distinct()
 
 
 def judge(
