@@ -267,6 +267,9 @@ def test_run_of_all_phases(spark, tmp_path, labelled):
     runs, compared = phases.run_datasets(spark, root, class_options=small, time_options=quick, output_dir=out)
     assert {r.dataset_id for r in compared.collect()} == {"FD001", "FD003"}
     first = runs["FD001"]
+    assert list(runs) == ["FD001", "FD003"] and all(f"dataset_id={d}" in p for d, r in runs.items() for p in r.saved.values())
+    with pytest.raises(FileNotFoundError, match="FD002"):
+        phases.run_datasets(spark, root, ["FD002", "FD001"], phase=1, at_once=1)
     assert {"unit_metrics", "fold_metrics", "average_metrics", "class_confusion", "feature_importance", "regression_stage_metrics", "model_rmse", "risk_thresholds", "stage_model"} <= set(first.saved)
     assert first.stages.rows.count() == wide.count()  # no row is left out
     # the saved model takes rows as they are

@@ -286,6 +286,14 @@ def _(t: Tables):
     return risk.fleet_totals(t.assessed)
 
 
+@query("H8_run_time", ["risk_level", "n", "well_formed"], (), "SELECT risk_level, count(*) AS n, true AS well_formed FROM v GROUP BY 1", "v")
+def _(t: Tables):
+    """The stamp of a run is the time of the query to the second."""
+    stamped = risk.with_run_time(t.assessed.groupBy("risk_level").agg(F.count(F.lit(1)).alias("n")))
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("timestamp", "yyyy-MM-dd HH:mm:ss")
+    return stamped.select("risk_level", "n", ((F.length("timestamp") == 19) & (age == 0)).alias("well_formed"))
+
+
 @query("K16_level_shares", ["risk_level", "n"], ["share"], "SELECT risk_level, count(*) AS n, count(*) / (SELECT count(*) FROM v) AS share FROM v GROUP BY 1", "v")
 def _(t: Tables):
     return risk.level_shares(t.assessed)

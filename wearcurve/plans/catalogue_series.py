@@ -131,6 +131,26 @@ def _(t: Tables):
     return tb.read_table(t.spark, path, rows.schema, "csv")
 
 
+@query("A6_required_paths", ["dataset_id", "units", "missing"], (), "SELECT dataset_id, count(DISTINCT unit_number) AS units, 'dataset_id=' || dataset_id || 'x' AS missing FROM p GROUP BY 1", "p")
+def _(t: Tables):
+    """Each dataset is read once its folder is known to be there; of a list with a folder too many, that one is named."""
+    path = tb.scratch_path(t.spark, "required")
+    tb.write_table(t.labelled.select("dataset_id", "unit_number"), path, partition_by=["dataset_id"])
+    found = None
+    for name in text.DATASETS:
+        here = f"{path}/dataset_id={name}"
+        tb.require_paths(t.spark, [here])
+        try:
+            tb.require_paths(t.spark, [here, f"{here}x"])
+            named = []
+        except FileNotFoundError as error:
+            named = [part.rsplit("/", 1)[-1] for part in str(error).split(", ")]
+        one = t.spark.read.schema("unit_number int").parquet(here).agg(F.countDistinct("unit_number").alias("units"))
+        one = one.select(F.lit(name).alias("dataset_id"), "units", F.lit(",".join(named)).alias("missing"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query("A7_partitioned_sink", ["dataset_id", "n"], ["total"], "SELECT dataset_id, count(*) AS n, sum(sensor_1) AS total FROM p GROUP BY 1", "p", digits=4)
 def _(t: Tables):
     path = tb.scratch_path(t.spark, "parts")
