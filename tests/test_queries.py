@@ -34,3 +34,13 @@ def test_entry_points(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() == 1
+
+
+def test_weighted_bootstrap_returns_drawn_rows(spark, con):
+    """Each drawn row with its draws, not a sum for each unit."""
+    q = registry.load_all()["L8_weighted_bootstrap"]
+    df = registry.runnable(q)(spark, SF)
+    assert df.columns == ["unit_number", "time_cycles", "draws"]
+    rows, series = df.collect(), con.execute("SELECT count(*), count(DISTINCT user_id) FROM events").fetchone()
+    assert len(rows) == len({(r["unit_number"], r["time_cycles"]) for r in rows}) > series[1]
+    assert all(r["draws"] > 0 for r in rows) and abs(sum(r["draws"] for r in rows) - series[0]) < 5 * series[0] ** 0.5
