@@ -57,15 +57,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pieces.load_model(tokenizer_path("piece"))
-    ids = docs.select("doc_id", "lang", "source", "text", pieces.encode("text", model).alias("ids"))
-    both = ids.select("*", pieces.decode("ids", model).alias("decoded"))
-    return both.select(
+    found = docs.select("doc_id", "lang", "source", pieces.round_trip("text", model).alias("found"))
+    return found.select(
         "doc_id",
         "lang",
         "source",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.SPACE), F.lit(" "))).alias("round_trip"),
+        "found.ids",
+        F.size("found.ids").cast("long").alias("n_tokens"),
+        F.col("found.same").alias("round_trip"),
     )
 
 

@@ -364,3 +364,18 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_encodes_in_one_call(spark, frame):
+    """Two Python calls in a row keep twice as many workers with vocabularies."""
+    texts = [None, "", "Plain words", "a▁b  c ", "日本語 \x00 é", "▁▁"]
+    docs = frame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    out = corpus_pipeline.encoding(spark, docs, SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    model = pieces.load_model(catalogue.tokenizer_path("piece"))
+    ids = docs.select("doc_id", "text", pieces.encode("text", model).alias("ids"))
+    plain = {r["doc_id"]: r for r in ids.select("*", pieces.decode("ids", model).alias("back")).collect()}
+    for r in out.collect():
+        p = plain[r["doc_id"]]
+        assert r["ids"] == p["ids"] and r["n_tokens"] == len(p["ids"]) and r["lang"] == "en" and r["source"] == "s"
+        assert r["round_trip"] == (p["back"] == (p["text"] or "").replace("▁", " "))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearcurve.llm.batches import small_batches
-from wearcurve.llm.memo import held
+from wearcurve.llm.memo import held, let_go
 from wearcurve.sources.tables import materialize
 
 DIMS, CLUSTERS, SAMPLE, PIECES, MOST_LANGUAGES = 4096, 4, 800, 3, 500
@@ -232,9 +232,13 @@ def predict(text: Column | str, model: Model, spark) -> Column:
     shared = spark.sparkContext.broadcast(model)
     key = model.key
 
+    def build() -> Classifier:
+        let_go()
+        return Classifier(shared.value)
+
     @F.arrow_udf("struct<lang string, score double, rejected boolean>")
     def judged(texts: pa.Array) -> pa.Array:
-        found = held("lang" + key, lambda: Classifier(shared.value)).judge(texts.to_pylist())
+        found = held("lang" + key, build).judge(texts.to_pylist())
         kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
         return pa.array([{"lang": a, "score": b, "rejected": c} for a, b, c in found], kind)
 

@@ -233,6 +233,15 @@ def _decoded(raw: bytes) -> str:
     return out
 
 
+def _lists(packed: list[bytes]) -> pa.ListArray:
+    """Packed ids as lists."""
+    import numpy as np
+
+    offsets = np.zeros(len(packed) + 1, dtype=np.int32)
+    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
+
+
 def encode(text: Column | str, model: PieceModel, end: bool = True) -> Column:
     """Ids of whole texts as ``array<int>``, equal to the library's ``encode(text, add_eos=end)``."""
     key = model.key
@@ -242,18 +251,33 @@ def encode(text: Column | str, model: PieceModel, end: bool = True) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        import numpy as np
-
         encoder = held("enc" + key, lambda: Encoder(model))
-        packed = [encoder.encode(t) + tail for t in texts.to_pylist()]
-        offsets = np.zeros(len(packed) + 1, dtype=np.int32)
-        np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
+        return _lists([encoder.encode(t) + tail for t in texts.to_pylist()])
 
     # else the optimizer may put the call into every expression that reads the ids
     return ids.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
 
+def round_trip(text: Column | str, model: PieceModel, end: bool = True) -> Column:
+    """Struct (ids, same): what ``encode`` gives, and whether ``decode`` gives the text back, with its pieces' space as a space.
+
+    Both in one call: two calls in a row keep twice as many Python workers, each with a vocabulary and its memos.
+    """
+    key = model.key
+    tail = _packed([model.end_id]) if end else b""
+    small_batches()
+
+    @F.arrow_udf("struct<ids array<int>, same boolean>")
+    def both(texts: pa.Array) -> pa.Array:
+        encoder, decoder = held("enc" + key, lambda: Encoder(model)), held("dec" + key, lambda: Decoder(model))
+        known = [t or "" for t in texts.to_pylist()]
+        packed = [encoder.encode(t) + tail for t in known]
+        same = [decoder.decode(array("i", p).tolist()) == t.replace(SPACE, " ") for t, p in zip(known, packed, strict=True)]
+        return pa.StructArray.from_arrays([_lists(packed), pa.array(same, pa.bool_())], ["ids", "same"])
+
+    return both.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+
+
 def _plain(ids: pa.Array | None) -> list[int | None]:
     if ids is None:
         return []
