@@ -81,3 +81,13 @@ def test_deep_tree_has_every_cell_in_one_leaf():
     assert sum(n["rawCount"] for n in leaves) == 256
     assert sum(n["prediction"] * n["rawCount"] for n in leaves) == pytest.approx(y.sum())
     assert all(n["leftChild"] > i for i, n in enumerate(nodes) if n["leftChild"] >= 0)
+
+
+def test_forest_of_numbers_is_grown_from_cells(rows, monkeypatch):
+    grown = []
+    grow = forest.grown_numbers
+    monkeypatch.setattr(forest, "grown_numbers", lambda *a: grown.append(grow(*a)) or grown[-1])
+    model = models.fit_forest(rows, ["a", "b"], "z", trees=10, depth=8)
+    assert grown[0] is not None and grown[0].getNumTrees == 10
+    error, spread = model.predict(rows, "p").agg(F.avg(F.pow(F.col("p") - F.col("z"), 2)), F.var_pop("z")).first()
+    assert error < 0.02 * spread

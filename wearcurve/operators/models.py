@@ -263,6 +263,9 @@ def fit_forest(df: DataFrame, columns: Sequence[str], target: str, trees: int =
     estimator = RandomForestRegressor(
         featuresCol=FEATURES, labelCol=target, numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed
     )
+    grown = forest.grown_numbers(estimator, df, columns, target)
+    if grown is not None:
+        return Regressor("RandomForest", PipelineModel(stages=[assembler(columns), grown]))
     return Regressor("RandomForest", Pipeline(stages=[assembler(columns), estimator]).fit(df))
 
 
