@@ -82,3 +82,9 @@ def test_equal_gaps_on_a_line_are_cut_like_trees(spark, monkeypatch):
     monkeypatch.setattr(linkage, "_on_a_line", lambda *_: False)
     assert line == sorted(map(tuple, linkage.long_clusters(values, ["unit"], 5, "single", "euclidean").collect()))
     assert len({c for _, _, c in line}) == 5
+
+
+def test_bottom_up_takes_nulls_as_not_a_number(units):
+    some = units.withColumn("y", F.when((F.col("unit_number") != 1) | (F.col("time_cycles") > 3), F.col("y")))
+    found, plain = labels(clustering.cluster_units(some, ["x", "y"], C, 4)), labels(clustering.cluster_units(units, ["x", "y"], C, 4))
+    assert len(found) == 240 and all(found[k] == plain[k] for k in found if k[0] != 1)
